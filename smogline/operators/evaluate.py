@@ -74,14 +74,12 @@ def classification_metrics(df: DataFrame, truth: str, prediction: str) -> DataFr
     precision 0.
     """
     counts = confusion_counts(df, truth, prediction)
+    hit = "if(label = prediction, n, 0L)"
     sides = counts.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("label").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted"), F.lit(0).cast("long").alias("hits")),
-                F.struct(F.col("prediction").alias("class"), F.lit(0).cast("long"), F.col("n"), F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)),
-            )
-        ).alias("e")
-    ).select("e.*")
+        F.expr(f"stack(2, label, n, 0L, 0L, prediction, 0L, n, {hit})").alias(
+            "class", "support", "predicted", "hits"
+        )
+    )
     per_class = sides.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
 
     def ratio(a: Column, b: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from smogline.functions.scalars import bucket_colour, month_text
 from smogline.operators.correlation import correlation_matrix
 from smogline.schema import BUCKET, CORRELATED, DATE, INDEX, PLACE, bucket_domain, present
+from smogline.session import small_table
 
 
 def mean_by(df: DataFrame, group: str, value: str, name: str = "mean_value") -> DataFrame:
@@ -66,7 +67,7 @@ def histogram(df: DataFrame, column: str = INDEX, bins: int = 60) -> DataFrame:
     low, high = known.agg(F.min("v"), F.max("v")).first()
     spark = df.sparkSession
     if low is None:
-        return spark.createDataFrame([], "bin int, low double, high double, n long")
+        return small_table(spark, [], {"bin": "int", "low": "double", "high": "double", "n": "long"})
     if low == high:
         low, high = low - 0.5, high + 0.5
     step = (high - low) / bins
@@ -109,7 +110,7 @@ def density(df: DataFrame, column: str = INDEX, points: int = 300) -> DataFrame:
     ).first()
     spark = df.sparkSession
     if not n:
-        return spark.createDataFrame([], "point int, x double, density double")
+        return small_table(spark, [], {"point": "int", "x": "double", "density": "double"})
     step = (high - low) / (points - 1)
     place = F.when(F.col("point") == points - 1, F.lit(high)).otherwise(
         F.lit(low) + F.col("point") * F.lit(step)

@@ -34,7 +34,7 @@ from smogline.operators.evaluate import (
     regression_metrics,
 )
 from smogline.schema import BUCKET, CALENDAR, INDEX, PLACE_CODE, POLLUTANTS, present
-from smogline.session import shared_folder
+from smogline.session import shared_folder, small_table
 
 
 log = logging.getLogger(__name__)
@@ -189,13 +189,13 @@ def train(
         fitted = estimator.fit(vectors)
         seconds[name] = round(time.monotonic() - started, 3)
         scored = measure(fitted.transform(held_out), "label", "prediction").collect()
-        scores.append((task, name, spark.createDataFrame(scored, "metric string, value double")))
+        scores.append((task, name, small_table(spark, scored, {"metric": "string", "value": "double"})))
         models[name] = PipelineModel(
             stages=[*encoders.stages, *scaler.stages, fitted, *_class_names(task, encoders)]
         )
     vectors.unpersist()
     held_out.unpersist()
-    spent = spark.createDataFrame(list(seconds.items()), "model string, fit_seconds double")
+    spent = small_table(spark, list(seconds.items()), {"model": "string", "fit_seconds": "double"})
     board = (
         leaderboard(scores)
         .join(spent, "model")
@@ -236,7 +236,7 @@ def importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
         rows = [(name, total / whole) for name, total in zip(names, totals)]
     else:
         log.warning("%s has no feature importances", type(fitted).__name__)
-    return spark.createDataFrame(rows, "feature string, importance double")
+    return small_table(spark, rows, {"feature": "string", "importance": "double"})
 
 
 def scaler_stats(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -13,11 +13,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from smogline.session import small_table
+
 # Rows of one interval that a single task may rank.
-RANKED_ROWS = 1 << 20
+RANKED_ROWS = 1 << 18
 SKETCH_ACCURACY = 10_000
 
 
@@ -191,8 +193,13 @@ def exact_quantiles(
 
 
 def _between(low: float, high: float, share: float) -> float:
-    # Halves are averaged, so that a median is the mean of the middle two.
-    return (low + high) / 2 if share == 0.5 else low + (high - low) * share
+    # Halves are averaged, so that a median is the mean of the middle two;
+    # otherwise the step starts from the nearer neighbour.
+    if share == 0.5:
+        return (low + high) / 2
+    if share < 0.5:
+        return low + (high - low) * share
+    return high - (high - low) * (1 - share)
 
 
 def exact_medians(
@@ -204,6 +211,5 @@ def exact_medians(
 
 def median_table(df: DataFrame, columns: list[str]) -> DataFrame:
     """The medians as rows (column, median)."""
-    spark: SparkSession = df.sparkSession
     rows = list(exact_medians(df, columns).items())
-    return spark.createDataFrame(rows, "column string, median double")
+    return small_table(df.sparkSession, rows, {"column": "string", "median": "double"})

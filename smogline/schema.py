@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from smogline.session import small_table
+
 # The measured columns, in table order. A dot in a name breaks
 # Spark ML, so the column written "PM2.5" in files is PM2_5 inside.
 POLLUTANTS = [
@@ -69,7 +71,7 @@ def present(df: DataFrame, columns: list[str]) -> list[str]:
 def bucket_domain(spark: SparkSession) -> DataFrame:
     """The six buckets as a table (bucket, ord, colour)."""
     rows = [(b, i, colour) for i, (b, colour) in enumerate(BUCKETS.items())]
-    return spark.createDataFrame(rows, f"{BUCKET} string, ord int, colour string")
+    return small_table(spark, rows, {BUCKET: "string", "ord": "int", "colour": "string"})
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

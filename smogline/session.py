@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that hold at any size. Partition counts start high and AQE merges
@@ -74,3 +75,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = staged_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_ARROW = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+
+
+def small_table(spark: SparkSession, rows: list[tuple], columns: dict[str, str]) -> DataFrame:
+    """A few driver-side rows as a table, planned as literals.
+
+    Built from Arrow columns, so that no Python worker has to unpickle rows.
+    """
+    arrays = [pa.array([r[k] for r in rows], _ARROW[t]) for k, t in enumerate(columns.values())]
+    return spark.createDataFrame(pa.table(arrays, names=list(columns)))
