@@ -6,6 +6,7 @@ import logging
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from smogline.operators.quantiles import exact_medians
 from smogline.schema import POLLUTANTS, TARGETS, present
@@ -14,8 +15,16 @@ log = logging.getLogger(__name__)
 
 
 def drop_missing_targets(df: DataFrame, targets: list[str] = TARGETS) -> DataFrame:
-    """Keep rows in which every target is known (F1)."""
-    return df.dropna(how="any", subset=targets)
+    """Keep rows in which every target is known (F1).
+
+    Written as predicates, not as ``dropna``, so that they reach the scan.
+    """
+    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    for target in targets:
+        df = df.where(F.col(target).isNotNull())
+        if target in floats:
+            df = df.where(~F.isnan(target))
+    return df
 
 
 def fill_medians(

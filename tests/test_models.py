@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import pytest
+from conftest import rows
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+
+from smogline.operators import evaluate, models, split
+from smogline.plans import pipeline
+from smogline.plans.observations import staged_observations
+from smogline.schema import BUCKET, FEATURES
+from smogline.sources import readers, writers
+
+TINY = models.Profile("tiny", trees=4, depth=6, stages=3, stage_depth=4, iterations=20, bins=32, memory_mb=64)
+
+
+@pytest.fixture(scope="module")
+def regression(cleaned):
+    return models.train(models.REGRESSION, split.random_split(cleaned.drop("k")), TINY)
+
+
+@pytest.fixture(scope="module")
+def classification(cleaned):
+    return models.train(models.CLASSIFICATION, split.stratified_split(cleaned.drop("k"), BUCKET), TINY)
+
+
+def scores(trained, metric):
+    return {r["model"]: r["value"] for r in trained.board.where(F.col("metric") == metric).collect()}
+
+
+def test_parameters_of_the_full_profile():
+    forest = models.regressors()["Random Forest Regressor"]
+    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMinInstancesPerNode()) == (200, 15, 2)
+    boosted = models.regressors()["Gradient Boosting Regressor"]
+    assert (boosted.getMaxIter(), boosted.getStepSize(), boosted.getMaxDepth()) == (200, 0.1, 5)
+    logistic = models.classifiers(train_rows=1000)["Logistic Regression"]
+    assert logistic.getRegParam() == 0.001 and logistic.getMaxIter() == 1000
+
+
+def test_trees_beat_the_linear_model(regression):
+    r2 = scores(regression, "R2")
+    assert r2["Random Forest Regressor"] > r2["Linear Regression"] > 0.5
+    assert regression.best_name != "Linear Regression"
+    assert set(regression.seconds) == set(r2)
+
+
+def test_classifiers(classification):
+    f1 = scores(classification, "F1_Score")
+    assert f1["Gradient Boosting Classifier"] > f1["Logistic Regression"] > 0.4
+    accuracy, recall = scores(classification, "Accuracy"), scores(classification, "Recall")
+    assert accuracy == recall
+
+
+def test_importances_sum_to_one(spark, regression, classification):
+    for model in (regression.models["Random Forest Regressor"], classification.models["Gradient Boosting Classifier"]):
+        found = dict(rows(models.importances(spark, model)))
+        assert list(found) == FEATURES and abs(sum(found.values()) - 1) < 1e-9
+        assert max(found, key=found.get) in ("PM2_5", "PM10")
+    assert models.importances(spark, regression.models["Linear Regression"]).count() == 0
+
+
+def test_saved_model_scores_plain_rows_alike(spark, cleaned, classification, tmp_path):
+    model = classification.models["Random Forest Classifier"]
+    path = str(tmp_path / "model")
+    writers.save_model(model, path)
+    table = cleaned.drop("k", BUCKET, "AQI")
+    ours = models.score(model, table).select("predicted_bucket", "prediction")
+    theirs = models.score(PipelineModel.load(path), table).select("predicted_bucket", "prediction")
+    assert rows(ours) == rows(theirs)
+    unseen = models.score(model, table.limit(3).withColumn("City", F.lit("nowhere")))
+    assert unseen.count() == 3
+
+
+def test_scaler_statistics(table, cleaned):
+    df = table({"a": "double", "b": "double"}, (1.0, 5.0), (3.0, 5.0))
+    stats = models.scaler_stats(df, ["a", "b"])
+    assert rows(stats) == [("a", 2.0, 1.0), ("b", 5.0, 0.0)]
+    assert rows(models.scaled(df, stats, ["a", "b"])) == [(-1.0, 0.0), (1.0, 0.0)]
+
+
+def test_imputing_inside_the_model_scores_rows_with_gaps(spark, folder):
+    raw = staged_observations(spark, folder).drop("k").dropna(subset=["AQI", BUCKET]).dropDuplicates()
+    one = models.Profile("one", trees=1, depth=3, stages=1, stage_depth=2, iterations=5, bins=32, memory_mb=64)
+    trained = models.train(models.REGRESSION, split.random_split(raw), one, impute=True)
+    assert models.score(trained.best, raw).where(F.col("prediction").isNotNull()).count() == raw.count()
+
+
+def test_whole_job(spark, folder, tmp_path):
+    source, target = str(tmp_path / "raw"), str(tmp_path / "out")
+    writers.write_csv(staged_observations(spark, folder).drop("k"), source)
+    one = models.Profile("one", trees=1, depth=3, stages=1, stage_depth=2, iterations=5, bins=32, memory_mb=64)
+    results = pipeline.run(spark, source, target, one)
+    cleaned = readers.read_table(spark, results.paths["cleaned"])
+    assert cleaned.count() == results.clean_rows
+    schema = (
+        "generated_at string, task string, models map<string, map<string, double>>, "
+        "best_model string, best_metrics map<string, double>"
+    )
+    metrics = readers.read_json(spark, results.paths["metrics"], schema)
+    assert {r["task"]: r["best_model"] for r in metrics.collect()} == results.best
+    assert readers.metric_rows(metrics).count() == 3 * 3 + 3 * 4
+    confusion = spark.read.option("header", True).csv(results.paths["confusion_matrix"])
+    held_out = split.test_size(results.clean_rows)
+    assert confusion.agg(F.sum(F.col("n").cast("long"))).first()[0] == held_out
+    board = spark.read.option("header", True).csv(results.paths["leaderboard"])
+    assert board.count() == 6 and board.where("is_best = 'true'").count() == 2
