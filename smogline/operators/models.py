@@ -56,10 +56,12 @@ class Profile:
     seed: int = 42
     # Room for node statistics per pass over the data.
     memory_mb: int = 1024
+    # Boosted classifiers fitted at once; each keeps its own binned copy.
+    parallelism: int = 2
 
 
 FULL = Profile("full", trees=200, depth=15, stages=200, stage_depth=5, iterations=1000, bins=128)
-SMOKE = Profile("smoke", trees=10, depth=8, stages=5, stage_depth=5, iterations=100, bins=32, memory_mb=256)
+SMOKE = Profile("smoke", trees=10, depth=8, stages=5, stage_depth=5, iterations=50, bins=32, memory_mb=256, parallelism=6)
 
 REGRESSION = "regression"
 CLASSIFICATION = "classification"
@@ -68,7 +70,7 @@ CLASSIFICATION = "classification"
 def regressors(p: Profile = FULL) -> dict[str, object]:
     """Estimators by name, in order of preference (M6-M8)."""
     io = {"featuresCol": "features", "labelCol": "label"}
-    trees = {"seed": p.seed, "maxBins": p.bins, "maxMemoryInMB": p.memory_mb, "cacheNodeIds": True}
+    trees = {"seed": p.seed, "maxBins": p.bins, "maxMemoryInMB": p.memory_mb}
     return {
         "Linear Regression": LinearRegression(regParam=0.0, solver="normal", **io),
         "Random Forest Regressor": RandomForestRegressor(
@@ -81,14 +83,14 @@ def regressors(p: Profile = FULL) -> dict[str, object]:
     }
 
 
-def classifiers(p: Profile = FULL, train_rows: int = 1, parallelism: int = 2) -> dict[str, object]:
+def classifiers(p: Profile = FULL, train_rows: int = 1) -> dict[str, object]:
     """Estimators by name.
 
     The penalty of the logistic model is that of C = 1 on a summed loss. Spark
     boosts two classes only, hence one boosted model per class.
     """
     io = {"featuresCol": "features", "labelCol": "label"}
-    trees = {"seed": p.seed, "maxBins": p.bins, "maxMemoryInMB": p.memory_mb, "cacheNodeIds": True}
+    trees = {"seed": p.seed, "maxBins": p.bins, "maxMemoryInMB": p.memory_mb}
     boosted = GBTClassifier(maxIter=p.stages, stepSize=p.rate, maxDepth=p.stage_depth, **trees, **io)
     return {
         "Logistic Regression": LogisticRegression(
@@ -99,7 +101,7 @@ def classifiers(p: Profile = FULL, train_rows: int = 1, parallelism: int = 2) ->
             numTrees=p.trees, maxDepth=p.depth, minInstancesPerNode=p.leaf,
             featureSubsetStrategy="sqrt", **trees, **io,
         ),
-        "Gradient Boosting Classifier": OneVsRest(classifier=boosted, parallelism=parallelism, **io),
+        "Gradient Boosting Classifier": OneVsRest(classifier=boosted, parallelism=p.parallelism, **io),
     }
 
 

@@ -21,6 +21,8 @@ from smogline.session import small_table
 # Rows of one interval that a single task may rank.
 RANKED_ROWS = 1 << 18
 SKETCH_ACCURACY = 10_000
+# Counters per pass.
+COUNTERS = 60
 
 
 @dataclass(frozen=True)
@@ -50,11 +52,14 @@ def select_ranks(
     ranks: dict[str, list[int]],
     counts: dict[str, int],
     ranked_rows: int = RANKED_ROWS,
+    guesses: dict[str, list[float]] | None = None,
 ) -> dict[str, dict[int, float]]:
     """Values at zero-based ranks of each series, NULLs left out.
 
     ``counts`` has the number of non-NULL values per series. All series share
-    one numeric type; integers must fit a double exactly.
+    one numeric type; integers must fit a double exactly. ``guesses`` gives
+    the first pivots where the distribution is known; a bad guess costs a
+    pass, not the result.
     """
     found: dict[str, dict[int, float]] = {name: {} for name in ranks}
     todo = [
@@ -64,7 +69,10 @@ def select_ranks(
     ]
     while wide := [i for i in todo if i.inside > ranked_rows]:
         todo = [i for i in todo if i.inside <= ranked_rows]
-        pivots = _suggest_pivots(df, series, wide)
+        if guesses is None:
+            pivots = _suggest_pivots(df, series, wide)
+        else:
+            pivots, guesses = [sorted(set(guesses[i.series])) for i in wide], None
         sizes = _count_around(df, series, wide, pivots)
         for interval, values, around in zip(wide, pivots, sizes):
             hits, narrower = _narrow(interval, values, around)
@@ -80,7 +88,13 @@ def _suggest_pivots(df, series, intervals) -> list[list[float]]:
     sketches = []
     for number, interval in enumerate(intervals):
         places = [(r - interval.below) / max(interval.inside - 1, 1) for r in interval.ranks]
-        around = {min(1.0, max(0.0, p + m)) for p in places for m in (-margin, margin)}
+        around = set()
+        for k, place in enumerate(places):
+            # Neighbouring ranks share a pair of pivots.
+            if k == 0 or place - places[k - 1] > margin:
+                around.add(max(0.0, place - margin))
+            if k + 1 == len(places) or places[k + 1] - place > margin:
+                around.add(min(1.0, place + margin))
         sketches.append(
             F.percentile_approx(
                 interval.kept(series[interval.series]), sorted(around), SKETCH_ACCURACY
@@ -90,14 +104,31 @@ def _suggest_pivots(df, series, intervals) -> list[list[float]]:
 
 
 def _count_around(df, series, intervals, pivots) -> list[list[tuple[int, int]]]:
-    """For each pivot, how many values lie below it and up to it."""
-    counts = []
+    """For each pivot, how many values lie below it and up to it.
+
+    Counters go in batches small enough for compiled code. A batch holds whole
+    series, so the batches together read each column once.
+    """
+    around: list[list[tuple[int, int]]] = []
+    batch: list[tuple[Column, list[float]]] = []
+
+    def count() -> None:
+        counters = [
+            F.count_if(c)
+            for value, values in batch
+            for v in values
+            for c in (value < F.lit(v), value <= F.lit(v))
+        ]
+        flat = iter(df.agg(*[c.alias(f"n{k}") for k, c in enumerate(counters)]).first())
+        around.extend([(next(flat), next(flat)) for _ in values] for _, values in batch)
+        batch.clear()
+
     for interval, values in zip(intervals, pivots):
-        for value in values:
-            counts.append(F.count_if(series[interval.series] < F.lit(value)))
-            counts.append(F.count_if(series[interval.series] <= F.lit(value)))
-    flat = iter(df.agg(*[c.alias(f"n{k}") for k, c in enumerate(counts)]).first())
-    return [[(next(flat), next(flat)) for _ in values] for values in pivots]
+        if batch and 2 * sum(len(vs) for _, vs in batch) + 2 * len(values) > COUNTERS:
+            count()
+        batch.append((series[interval.series], values))
+    count()
+    return around
 
 
 def _narrow(interval, pivots, around) -> tuple[dict[int, float], list[Interval]]:

@@ -21,9 +21,13 @@ SEED = 42
 TEST_SHARE = 0.2
 
 
+# Keys are even over this many values.
+KEYS = 1 << 52
+
+
 def row_key(columns: list[str], seed: int = SEED) -> Column:
-    """53-bit key from the content of the columns."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 11)
+    """52-bit key from the content of the columns."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 12)
 
 
 def text_key(text: Column, seed: int = SEED) -> Column:
@@ -36,6 +40,13 @@ def test_size(rows: int, share: float = TEST_SHARE) -> int:
     return math.ceil(share * rows)
 
 
+def _expected(rank: int, rows: int) -> list[int]:
+    """Where the key of a rank should lie, as keys are even: the place and a margin."""
+    place = (rank + 0.5) / rows
+    margin = 6.0 * math.sqrt(place * (1 - place) / rows)
+    return [int(KEYS * min(1.0, max(0.0, place + m))) for m in (-margin, margin)]
+
+
 def random_split(
     df: DataFrame,
     key: Column | None = None,
@@ -43,13 +54,23 @@ def random_split(
     name: str = "is_test",
     ranked_rows: int = RANKED_ROWS,
 ) -> DataFrame:
-    """Mark ceil(share * rows) rows as test rows (M3)."""
+    """Mark ceil(share * rows) rows as test rows (M3).
+
+    ``key`` is a whole number below KEYS, even over that range.
+    """
     key = row_key(df.columns) if key is None else key
     rows = df.count()
     wanted = test_size(rows, share)
     if not wanted:
         return df.withColumn(name, F.lit(False))
-    last = select_ranks(df, {"all": key}, {"all": [wanted - 1]}, {"all": rows}, ranked_rows)
+    last = select_ranks(
+        df.select(key.alias("key")),
+        {"all": F.col("key")},
+        {"all": [wanted - 1]},
+        {"all": rows},
+        ranked_rows,
+        {"all": _expected(wanted - 1, rows)},
+    )
     return df.withColumn(name, key <= F.lit(last["all"][wanted - 1]))
 
 
@@ -80,7 +101,14 @@ def stratified_split(
     sizes = {c: n for c, n in class_test_sizes(counts, share).items() if n}
     if not sizes:
         return df.withColumn(name, F.lit(False))
-    series = {c: F.when(F.col(label) == F.lit(c), key) for c in sizes}
-    found = select_ranks(df, series, {c: [n - 1] for c, n in sizes.items()}, counts, ranked_rows)
+    series = {c: F.when(F.col(label) == F.lit(c), F.col("key")) for c in sizes}
+    found = select_ranks(
+        df.select(label, key.alias("key")),
+        series,
+        {c: [n - 1] for c, n in sizes.items()},
+        counts,
+        ranked_rows,
+        {c: _expected(n - 1, counts[c]) for c, n in sizes.items()},
+    )
     limits = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (c, found[c][n - 1])])
     return df.withColumn(name, F.coalesce(key <= F.try_element_at(limits, F.col(label)), F.lit(False)))

@@ -84,7 +84,7 @@ def observations(spark: SparkSession, folder: str) -> DataFrame:
 _STAGED: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _once(kind: str, spark: SparkSession, folder: str, build) -> DataFrame:
+def once(kind: str, spark: SparkSession, folder: str, build) -> DataFrame:
     """Stage a table once per application; queries then scan the files."""
     where = (spark.sparkContext.applicationId, folder, kind)
     if where not in _STAGED:
@@ -93,8 +93,8 @@ def _once(kind: str, spark: SparkSession, folder: str, build) -> DataFrame:
 
 
 def staged_observations(spark: SparkSession, folder: str) -> DataFrame:
-    return _once("observations", spark, folder, lambda: observations(spark, folder))
+    return once("observations", spark, folder, lambda: observations(spark, folder))
 
 
 def staged_clean(spark: SparkSession, folder: str) -> DataFrame:
-    return _once("clean", spark, folder, lambda: clean(staged_observations(spark, folder)))
+    return once("clean", spark, folder, lambda: clean(staged_observations(spark, folder)))

@@ -15,7 +15,7 @@ from smogline.operators import clean as cleaning
 from smogline.operators import encode, evaluate, explore, models, profile, quantiles, split
 from smogline.operators.correlation import correlation_matrix as correlate
 from smogline.plans import pipeline
-from smogline.plans.observations import observations, staged_clean, staged_observations
+from smogline.plans.observations import observations, once, staged_clean, staged_observations
 from smogline.schema import (
     BUCKET,
     CORRELATED,
@@ -204,26 +204,35 @@ def explore_bundle(spark, folder):
 
 # Splits and scaling
 
-def marked(spark, folder):
+def split_rows(spark, folder):
     return split.random_split(staged_clean(spark, folder), content_key())
 
 
-def marked_by_class(spark, folder):
+def split_classes(spark, folder):
     return split.stratified_split(staged_clean(spark, folder), BUCKET, content_key())
 
 
+def marked(spark, folder):
+    """The cleaned rows with their split, staged for the queries that follow it."""
+    return once("marked", spark, folder, lambda: split_rows(spark, folder))
+
+
+def marked_by_class(spark, folder):
+    return once("marked-by-class", spark, folder, lambda: split_classes(spark, folder))
+
+
 def random_split(spark, folder):
-    return day_as_text(marked(spark, folder).select("k", PLACE, DATE, INDEX, "is_test"))
+    return day_as_text(split_rows(spark, folder).select("k", PLACE, DATE, INDEX, "is_test"))
 
 
 def split_counts(spark, folder):
-    return marked(spark, folder).groupBy("is_test").agg(
+    return split_rows(spark, folder).groupBy("is_test").agg(
         F.count(F.lit(1)).alias("n"), F.sum(INDEX).alias("sum_aqi")
     )
 
 
 def stratified_counts(spark, folder):
-    return marked_by_class(spark, folder).groupBy(BUCKET, "is_test").agg(
+    return split_classes(spark, folder).groupBy(BUCKET, "is_test").agg(
         F.count(F.lit(1)).alias("n"), F.sum(INDEX).alias("sum_aqi")
     )
 
