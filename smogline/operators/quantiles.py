@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +26,14 @@ SKETCH_ACCURACY = 10_000
 COUNTERS = 60
 
 
+class Hit(NamedTuple):
+    """A value at a wanted rank, and how many values lie below and up to it."""
+
+    value: float
+    below: int
+    upto: int
+
+
 @dataclass(frozen=True)
 class Interval:
     """Open interval of one series that holds the wanted ranks."""
@@ -53,7 +62,7 @@ def select_ranks(
     counts: dict[str, int],
     ranked_rows: int = RANKED_ROWS,
     guesses: dict[str, list[float]] | None = None,
-) -> dict[str, dict[int, float]]:
+) -> dict[str, dict[int, Hit]]:
     """Values at zero-based ranks of each series, NULLs left out.
 
     ``counts`` has the number of non-NULL values per series. All series share
@@ -61,7 +70,7 @@ def select_ranks(
     the first pivots where the distribution is known; a bad guess costs a
     pass, not the result.
     """
-    found: dict[str, dict[int, float]] = {name: {} for name in ranks}
+    found: dict[str, dict[int, Hit]] = {name: {} for name in ranks}
     todo = [
         Interval(name, tuple(sorted(set(wanted))), 0, counts[name])
         for name, wanted in ranks.items()
@@ -78,8 +87,8 @@ def select_ranks(
             hits, narrower = _narrow(interval, values, around)
             found[interval.series].update(hits)
             todo.extend(narrower)
-    for name, rank, value in _rank_inside(df, series, todo):
-        found[name][rank] = value
+    for name, rank, hit in _rank_inside(df, series, todo):
+        found[name][rank] = hit
     return found
 
 
@@ -131,13 +140,13 @@ def _count_around(df, series, intervals, pivots) -> list[list[tuple[int, int]]]:
     return around
 
 
-def _narrow(interval, pivots, around) -> tuple[dict[int, float], list[Interval]]:
-    hits: dict[int, float] = {}
+def _narrow(interval, pivots, around) -> tuple[dict[int, Hit], list[Interval]]:
+    hits: dict[int, Hit] = {}
     gaps: dict[int, list[int]] = {}
     for rank in interval.ranks:
         position = sum(upto <= rank for _, upto in around)
         if position < len(pivots) and around[position][0] <= rank:
-            hits[rank] = pivots[position]
+            hits[rank] = Hit(pivots[position], *around[position])
         else:
             gaps.setdefault(position, []).append(rank)
     end = interval.below + interval.inside
@@ -158,7 +167,7 @@ def _narrow(interval, pivots, around) -> tuple[dict[int, float], list[Interval]]
     return hits, narrower
 
 
-def _rank_inside(df, series, intervals) -> list[tuple[str, int, float]]:
+def _rank_inside(df, series, intervals) -> list[tuple[str, int, Hit]]:
     if not intervals:
         return []
     names = [f"i{k}" for k in range(len(intervals))]
@@ -185,10 +194,13 @@ def _rank_inside(df, series, intervals) -> list[tuple[str, int, float]]:
         (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
     )
     by_name = dict(zip(names, intervals))
-    return [
-        (by_name[r["interval"]].series, r["rank"] + by_name[r["interval"]].below, r["value"])
-        for r in hits.select("interval", "rank", "value").collect()
-    ]
+    found = []
+    for r in hits.select("interval", "rank", "value", "n", "upto").collect():
+        interval = by_name[r["interval"]]
+        upto = interval.below + r["upto"]
+        hit = Hit(r["value"], upto - r["n"], upto)
+        found.append((interval.series, interval.below + r["rank"], hit))
+    return found
 
 
 def present_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
@@ -217,7 +229,9 @@ def exact_quantiles(
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
     for c, xs in places.items():
         result[c] = [
-            _between(values[c][math.floor(x)], values[c][math.ceil(x)], x - math.floor(x))
+            _between(
+                values[c][math.floor(x)].value, values[c][math.ceil(x)].value, x - math.floor(x)
+            )
             for x in xs
         ]
     return result

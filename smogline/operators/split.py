@@ -3,19 +3,18 @@
 Each row gets a pseudo-random key that depends on its content only. The test
 rows are those with the smallest keys, up to a threshold found by exact rank
 selection. So the split is a filter: no shuffle of rows, the same result for
-any partitioning, and again after a lost executor. Rows with equal content
-share their key and stay on one side; after copies are dropped there are none,
-and the size is exact.
+any partitioning, and again after a lost executor. Copies of a row share their
+key; where the threshold falls on them, they are divided by their number.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smogline.operators.quantiles import RANKED_ROWS, select_ranks
+from smogline.operators.quantiles import RANKED_ROWS, Hit, select_ranks
 
 SEED = 42
 TEST_SHARE = 0.2
@@ -23,6 +22,10 @@ TEST_SHARE = 0.2
 
 # Keys are even over this many values.
 KEYS = 1 << 52
+# Copies written out by one task at a time.
+CHUNK = 1_000_000
+# Name of the only class of an unstratified split.
+ALL = "all"
 
 
 def row_key(columns: list[str], seed: int = SEED) -> Column:
@@ -47,6 +50,60 @@ def _expected(rank: int, rows: int) -> list[int]:
     return [int(KEYS * min(1.0, max(0.0, place + m))) for m in (-margin, margin)]
 
 
+def _mark(
+    df: DataFrame, key: Column, name: str, hits: dict[str, Hit], sizes: dict[str, int], label: str | None
+) -> DataFrame:
+    """Mark the rows up to the last key of their class.
+
+    Usually the last key ends exactly at the wanted size. Where it belongs to
+    more rows, which are copies of each other, only part of them is marked.
+    """
+
+    def of_class(values: dict[str, int]) -> Column:
+        if label is None:
+            return F.lit(values[ALL])
+        return F.try_element_at(
+            F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col(label)
+        )
+
+    marked = df.withColumn(name, F.coalesce(key <= of_class({c: h.value for c, h in hits.items()}), F.lit(False)))
+    tied = {c: h for c, h in hits.items() if h.upto != sizes[c]}
+    if not tied:
+        return marked
+    is_tied = F.coalesce(key == of_class({c: h.value for c, h in tied.items()}), F.lit(False))
+    left = of_class({c: sizes[c] - h.below for c, h in tied.items()})
+    shared = _share_copies(df.where(is_tied), df.columns, left, label, name)
+    return marked.where(~is_tied).unionByName(shared)
+
+
+def _share_copies(tied: DataFrame, columns: list[str], left: Column, label: str | None, name: str) -> DataFrame:
+    """Of rows that equal each other, put ``left`` on the test side.
+
+    The copies are counted, the counts divided, and the copies written out
+    again in chunks, so that no task holds them all.
+    """
+    earlier = (
+        Window.partitionBy(*([label] if label else []))
+        .orderBy(*columns)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    counted = tied.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    divided = counted.withColumn(
+        "_test",
+        F.greatest(F.lit(0), F.least("_n", left - F.coalesce(F.sum("_n").over(earlier), F.lit(0)))),
+    )
+    sides = divided.select(
+        *columns, F.expr("stack(2, true, _test, false, _n - _test)").alias(name, "_copies")
+    ).where("_copies > 0")
+    chunks = sides.withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {CHUNK}L)")))
+    size = F.least(F.lit(CHUNK), F.col("_copies") - F.col("_chunk") * CHUNK)
+    return (
+        chunks.repartition("_chunk")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size)))
+        .select(*columns, name)
+    )
+
+
 def random_split(
     df: DataFrame,
     key: Column | None = None,
@@ -63,15 +120,15 @@ def random_split(
     wanted = test_size(rows, share)
     if not wanted:
         return df.withColumn(name, F.lit(False))
-    last = select_ranks(
+    hits = select_ranks(
         df.select(key.alias("key")),
-        {"all": F.col("key")},
-        {"all": [wanted - 1]},
-        {"all": rows},
+        {ALL: F.col("key")},
+        {ALL: [wanted - 1]},
+        {ALL: rows},
         ranked_rows,
-        {"all": _expected(wanted - 1, rows)},
+        {ALL: _expected(wanted - 1, rows)},
     )
-    return df.withColumn(name, key <= F.lit(last["all"][wanted - 1]))
+    return _mark(df, key, name, {ALL: hits[ALL][wanted - 1]}, {ALL: wanted}, None)
 
 
 def class_test_sizes(counts: dict[str, int], share: float = TEST_SHARE) -> dict[str, int]:
@@ -110,5 +167,4 @@ def stratified_split(
         ranked_rows,
         {c: _expected(n - 1, counts[c]) for c, n in sizes.items()},
     )
-    limits = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (c, found[c][n - 1])])
-    return df.withColumn(name, F.coalesce(key <= F.try_element_at(limits, F.col(label)), F.lit(False)))
+    return _mark(df, key, name, {c: found[c][n - 1] for c, n in sizes.items()}, sizes, label)

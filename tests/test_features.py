@@ -62,6 +62,39 @@ def test_split_is_disjoint_complete_and_without_shuffle(cleaned):
     assert "Exchange" not in plan(marked)
 
 
+def with_copies(spark):
+    """3000 rows, a third of them copies of one row."""
+    return spark.range(3000).select(
+        F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("id"),
+        F.when(F.col("id") < 1500, "a").otherwise("b").alias("label"),
+    )
+
+
+def test_split_divides_copies_at_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(split, "CHUNK", 64)
+    df = with_copies(spark)
+    divided = 0
+    for seed in range(6):
+        key = split.row_key(df.columns, seed)
+        marked = split.random_split(df, key, share=0.5, ranked_rows=(100, 10_000)[seed % 2])
+        assert marked.where("is_test").count() == 1500
+        assert marked.drop("is_test").exceptAll(df).count() == 0 and marked.count() == 3000
+        divided += marked.where("id = -1").select("is_test").distinct().count() == 2
+    assert divided > 0
+
+
+def test_stratified_split_divides_copies_at_the_threshold(spark):
+    df = with_copies(spark)
+    divided = 0
+    for seed in range(4):
+        key = split.row_key(df.columns, seed)
+        marked = split.stratified_split(df, "label", key, share=0.5, ranked_rows=200)
+        assert dict(rows(marked.where("is_test").groupBy("label").count())) == {"a": 750, "b": 750}
+        assert marked.drop("is_test").exceptAll(df).count() == 0 and marked.count() == 3000
+        divided += marked.where("id = -1").select("is_test").distinct().count() == 2
+    assert divided > 0
+
+
 def test_seed_changes_the_split(spark):
     df = spark.range(500)
     keyed = [split.random_split(df, split.row_key(["id"], seed)).where("is_test") for seed in (1, 2)]
