@@ -96,10 +96,10 @@ def cleaning_audit(
         left_total.alias("values_still_missing"),
     )
     after = cleaned.agg(F.count(F.lit(1)).alias("clean_rows"))
-    long = steps.unpivot([], steps.columns, "step", "n").unionByName(
+    both = steps.unpivot([], steps.columns, "step", "n").unionByName(
         after.unpivot([], after.columns, "step", "n")
     )
-    kept = F.sum(F.when(F.col("step") == "rows_with_targets", F.col("n")))
-    left = F.sum(F.when(F.col("step") == "clean_rows", F.col("n")))
-    copies = long.agg((kept - left).alias("n")).select(F.lit("copies_removed").alias("step"), "n")
-    return long.unionByName(copies).select("step", F.col("n").cast("long").alias("n"))
+    names = [*steps.columns, *after.columns]
+    wide = both.agg(*[F.sum(F.when(F.col("step") == s, F.col("n"))).alias(s) for s in names])
+    copies = F.col("rows_with_targets") - F.col("clean_rows")
+    return wide.withColumn("copies_removed", copies).unpivot([], [*names, "copies_removed"], "step", "n")

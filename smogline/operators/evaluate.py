@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smogline.functions.scalars import one_if_zero
+from smogline.session import stage
 
 # The score that decides per task.
 DECIDING = {"regression": "R2", "classification": "F1_Score"}
@@ -43,9 +44,10 @@ def confusion_matrix(df: DataFrame, truth: str, prediction: str) -> DataFrame:
     """Every pair of classes with its count and percentage of all rows.
 
     Classes are those that occur on either side; pairs that do not occur count
-    zero. Only the counts, one row per pair of classes, are looked at twice.
+    zero. The counts, one row per pair, are staged: they are needed twice, and
+    scoring the rows again would cost far more.
     """
-    counts = confusion_counts(df, truth, prediction)
+    counts = stage(confusion_counts(df, truth, prediction), "confusion")
     classes = counts.agg(
         F.array_union(F.collect_set("label"), F.collect_set("prediction")).alias("classes")
     )

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from smogline.functions.scalars import bucket_colour, month_text
+from smogline.functions.scalars import at_least_zero, bucket_colour, month_text
 from smogline.operators.correlation import correlation_matrix
 from smogline.schema import BUCKET, CORRELATED, DATE, INDEX, PLACE, bucket_domain, present
 from smogline.session import small_table
@@ -136,7 +136,7 @@ def density(df: DataFrame, column: str = INDEX, points: int = 300) -> DataFrame:
 def axis_range(df: DataFrame, column: str = INDEX, pad: float = 5.0) -> DataFrame:
     """Padded range of a chart axis, not below zero."""
     return df.agg(
-        F.greatest(F.lit(0.0), F.min(column) - pad).alias("axis_low"),
+        at_least_zero(F.min(column) - pad).alias("axis_low"),
         (F.max(column) + pad).alias("axis_high"),
     )
 

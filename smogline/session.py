@@ -69,7 +69,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write the table to the shared folder and read it back.
 
     This cuts the lineage, survives lost executors, and gives later plans a
-    columnar scan with real size statistics.
+    columnar scan with real size statistics. Tables go under the application's
+    id, so that its folder can be removed as a whole afterwards.
     """
     spark = df.sparkSession
     path = staged_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
