@@ -59,7 +59,8 @@ def drop_copies(df: DataFrame) -> DataFrame:
 def clean(df: DataFrame, columns: list[str] = POLLUTANTS, targets: list[str] = TARGETS) -> DataFrame:
     """Targets, then medians over what is left, then copies.
 
-    Copies go last: rows that filling makes equal fall together.
+    Copies go last: rows that filling makes equal fall together. The medians
+    scan the table several times, so stage raw text first.
     """
     return drop_copies(fill_medians(drop_missing_targets(df, targets), columns))
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import logging
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -56,12 +58,14 @@ class Profile:
     seed: int = 42
     # Room for node statistics per pass over the data.
     memory_mb: int = 1024
-    # Boosted classifiers fitted at once; each keeps its own binned copy.
+    # Boosted classifiers and models fitted at once. Each keeps its own binned
+    # copy of the rows, so more than one pays where the rows are few.
     parallelism: int = 2
+    at_once: int = 1
 
 
 FULL = Profile("full", trees=200, depth=15, stages=200, stage_depth=5, iterations=1000, bins=128)
-SMOKE = Profile("smoke", trees=10, depth=8, stages=5, stage_depth=5, iterations=50, bins=32, memory_mb=256, parallelism=6)
+SMOKE = Profile("smoke", trees=10, depth=8, stages=5, stage_depth=5, iterations=50, bins=32, memory_mb=256, parallelism=6, at_once=3)
 
 REGRESSION = "regression"
 CLASSIFICATION = "classification"
@@ -165,7 +169,8 @@ def train(
 
     Dictionaries cover the whole table, means and deviations the train rows
     only. Both are fitted once, and the vectors are kept for all fits. Each fit
-    is a distributed job; the loop holds only models and a few scores.
+    is a distributed job; the driver holds only models and a few scores. With
+    several fits at once, the fit times include waiting for each other.
     """
     spark = marked.sparkSession
     shared_folder(spark)
@@ -185,12 +190,18 @@ def train(
     estimators = regressors(profile) if task == REGRESSION else classifiers(profile, max(rows, 1))
     measure = regression_metrics if task == REGRESSION else classification_metrics
 
-    models, seconds, scores = {}, {}, []
-    for name, estimator in estimators.items():
+    @inheritable_thread_target(spark)
+    def fit(estimator):
         started = time.monotonic()
         fitted = estimator.fit(vectors)
-        seconds[name] = round(time.monotonic() - started, 3)
-        scored = measure(fitted.transform(held_out), "label", "prediction").collect()
+        spent = round(time.monotonic() - started, 3)
+        return fitted, spent, measure(fitted.transform(held_out), "label", "prediction").collect()
+
+    with ThreadPoolExecutor(profile.at_once) as pool:
+        outcomes = dict(zip(estimators, pool.map(fit, estimators.values())))
+    models, seconds, scores = {}, {}, []
+    for name, (fitted, spent, scored) in outcomes.items():
+        seconds[name] = spent
         scores.append((task, name, small_table(spark, scored, {"metric": "string", "value": "double"})))
         models[name] = PipelineModel(
             stages=[*encoders.stages, *scaler.stages, fitted, *_class_names(task, encoders)]

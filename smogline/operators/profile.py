@@ -99,9 +99,7 @@ def describe_dates(df: DataFrame, columns: list[str] | None = None) -> DataFrame
         columns = [f.name for f in df.schema if isinstance(f.dataType, T.DateType)]
     days = df.select(*[F.unix_date(c).cast("double").alias(c) for c in columns])
     table = describe(days, columns, digits=None)
+    # Moments without a time zone, as dates have none.
+    moment = "TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, round({} * 86400D))"
     moments = ["mean", "min", "q25", "q50", "q75", "max"]
-    return table.select(
-        "column",
-        "count",
-        *[F.timestamp_seconds(F.round(F.col(m) * 86400.0)).alias(m) for m in moments],
-    )
+    return table.select("column", "count", *[F.expr(moment.format(m)).alias(m) for m in moments])

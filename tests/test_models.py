@@ -28,7 +28,7 @@ def scores(trained, metric):
     return {r["model"]: r["value"] for r in trained.board.where(F.col("metric") == metric).collect()}
 
 
-def test_parameters_of_the_full_profile():
+def test_parameters_of_the_full_profile(spark):
     forest = models.regressors()["Random Forest Regressor"]
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMinInstancesPerNode()) == (200, 15, 2)
     boosted = models.regressors()["Gradient Boosting Regressor"]
