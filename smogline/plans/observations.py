@@ -20,6 +20,12 @@ GAPS = {
 COPIED = 50
 
 
+def spread(df: DataFrame, scan: DataFrame) -> DataFrame:
+    """Share out what comes from fewer files than there are cores; leave any other."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(scan.inputFiles()) < cores else df
+
+
 def observations(spark: SparkSession, folder: str) -> DataFrame:
     """Raw observations with gaps and copies, one row per order line.
 
@@ -36,12 +42,12 @@ def observations(spark: SparkSession, folder: str) -> DataFrame:
     sellers = table("supplier", "s_suppkey", "s_nationkey", "s_acctbal").join(
         table("nation", "n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey")
     )
+    scanned = table(
+        "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
+    )
     lines = (
-        table(
-            "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
-        )
-        .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+        scanned.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part", "p_partkey", "p_size", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
         .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -76,9 +82,10 @@ def observations(spark: SparkSession, folder: str) -> DataFrame:
     named = scored.withColumn(BUCKET, bucket)
     with_gaps = named.withColumns({c: F.when(F.col("k") % m != 0, F.col(c)) for c, m in GAPS.items()})
     times = F.when(F.col("k") % COPIED == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return with_gaps.withColumn("copy", F.explode(times)).select(
+    rows = with_gaps.withColumn("copy", F.explode(times)).select(
         PLACE, DATE, "k", *POLLUTANTS, INDEX, BUCKET
     )
+    return spread(rows, scanned)
 
 
 _STAGED: dict[tuple[str, str, str], DataFrame] = {}

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from smogline.operators import evaluate, models, split
@@ -44,6 +46,19 @@ def test_trees_beat_the_linear_model(regression):
     assert set(regression.seconds) == set(r2)
 
 
+def test_linear_model_is_least_squares(cleaned):
+    """Predictions equal those of NumPy's solver on the same train rows."""
+    marked = split.random_split(cleaned.drop("k"))
+    trained = models.train(models.REGRESSION, marked, TINY)
+    scored = trained.models["Linear Regression"].transform(marked)
+    data = scored.select(vector_to_array("raw_features").alias("x"), "AQI", "prediction", "is_test").collect()
+    x = np.array([[1.0, *r["x"]] for r in data])
+    y = np.array([r["AQI"] for r in data])
+    fit_rows = np.array([not r["is_test"] for r in data])
+    weights = np.linalg.lstsq(x[fit_rows], y[fit_rows], rcond=None)[0]
+    assert np.allclose(x @ weights, [r["prediction"] for r in data], atol=1e-6)
+
+
 def test_classifiers(classification):
     f1 = scores(classification, "F1_Score")
     assert f1["Gradient Boosting Classifier"] > f1["Logistic Regression"] > 0.4
