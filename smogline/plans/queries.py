@@ -403,8 +403,7 @@ def metrics_round_trip(spark, folder):
     path = scratch(spark, "metrics")
     board = stage(_board(spark, folder), "board")
     writers.write_metrics(board, evaluate.best_model(board), path)
-    schema = "generated_at string, task string, models map<string, map<string, double>>"
-    return readers.metric_rows(readers.read_json(spark, path, schema))
+    return readers.metric_rows(readers.read_metrics(spark, path))
 
 
 def dataset_facts(spark, folder):

@@ -53,6 +53,15 @@ OBSERVATION = T.StructType(
 )
 
 
+# The metrics file: one object per task.
+TASKS = ["regression", "classification"]
+_TASK = (
+    "struct<models: map<string, map<string, double>>, best_model: string, "
+    "best_metrics: map<string, double>>"
+)
+METRICS = "generated_at string, " + ", ".join(f"{task} {_TASK}" for task in TASKS)
+
+
 def file_name(column: str) -> str:
     """Name of a column at a file or report edge."""
     return FILE_NAMES.get(column, column)

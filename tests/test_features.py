@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 from conftest import plan, rows
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from smogline.functions import scalars
@@ -107,6 +109,15 @@ def test_class_sizes():
     assert sum(sizes.values()) == split.test_size(52)
 
 
+@given(st.dictionaries(st.text("abcdef", min_size=1, max_size=3), st.integers(1, 10**12), min_size=1))
+def test_class_sizes_add_up_and_stay_next_to_their_share(counts):
+    sizes, rows_in_all = split.class_test_sizes(counts), sum(counts.values())
+    wanted = split.test_size(rows_in_all)
+    assert sum(sizes.values()) == wanted
+    for c, n in counts.items():
+        assert abs(sizes[c] * rows_in_all - n * wanted) <= rows_in_all
+
+
 def test_stratified_split(spark):
     df = spark.range(15).select("id", F.when(F.col("id") < 10, "a").otherwise("b").alias("label"))
     marked = split.stratified_split(df, "label")

@@ -107,12 +107,12 @@ def test_whole_job(spark, folder, tmp_path):
     results = pipeline.run(spark, source, target, one)
     cleaned = readers.read_table(spark, results.paths["cleaned"])
     assert cleaned.count() == results.clean_rows
-    schema = (
-        "generated_at string, task string, models map<string, map<string, double>>, "
-        "best_model string, best_metrics map<string, double>"
-    )
-    metrics = readers.read_json(spark, results.paths["metrics"], schema)
-    assert {r["task"]: r["best_model"] for r in metrics.collect()} == results.best
+    metrics = readers.read_metrics(spark, results.paths["metrics"])
+    (document,) = metrics.collect()
+    assert document["generated_at"].endswith("Z")
+    for task, name in results.best.items():
+        assert document[task]["best_model"] == name
+        assert document[task]["best_metrics"] == document[task]["models"][name]
     assert readers.metric_rows(metrics).count() == 3 * 3 + 3 * 4
     confusion = spark.read.option("header", True).csv(results.paths["confusion_matrix"])
     held_out = split.test_size(results.clean_rows)
