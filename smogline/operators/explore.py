@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smogline.functions.scalars import at_least_zero, bucket_colour, month_text
@@ -13,6 +14,32 @@ from smogline.schema import BUCKET, CORRELATED, DATE, INDEX, PLACE, bucket_domai
 from smogline.session import small_table
 
 
+class Extent(NamedTuple):
+    """Size and range of a column, missing values left out."""
+
+    n: int
+    low: float | None
+    high: float | None
+    deviation: float | None
+    different: int
+
+
+def _extent_columns(column: str) -> list[Column]:
+    value = F.col(column).cast("double")
+    return [
+        F.count(value),
+        F.min(value),
+        F.max(value),
+        F.stddev_pop(value),
+        F.approx_count_distinct(value),
+    ]
+
+
+def extent(df: DataFrame, column: str) -> Extent:
+    """One pass over a column (A10, A13); the number of different values is rough."""
+    return Extent(*df.agg(*[c.alias(f"e{k}") for k, c in enumerate(_extent_columns(column))]).first())
+
+
 def mean_by(df: DataFrame, group: str, value: str, name: str = "mean_value") -> DataFrame:
     """Mean of a value per group (A3)."""
     return df.groupBy(group).agg(F.avg(value).alias(name))
@@ -56,7 +83,9 @@ def bucket_counts(df: DataFrame, bucket: str = BUCKET) -> DataFrame:
     )
 
 
-def histogram(df: DataFrame, column: str = INDEX, bins: int = 60) -> DataFrame:
+def histogram(
+    df: DataFrame, column: str = INDEX, bins: int = 60, known_extent: Extent | None = None
+) -> DataFrame:
     """Counts in equal bins over the range, the last one closed.
 
     Bin edges are computed as start + k * step, and a value goes where the
@@ -64,7 +93,7 @@ def histogram(df: DataFrame, column: str = INDEX, bins: int = 60) -> DataFrame:
     with one value gets a range of one unit around it.
     """
     known = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    low, high = known.agg(F.min("v"), F.max("v")).first()
+    _, low, high, _, _ = known_extent or extent(df, column)
     spark = df.sparkSession
     if low is None:
         return small_table(spark, [], {"bin": "int", "low": "double", "high": "double", "n": "long"})
@@ -97,7 +126,9 @@ def histogram(df: DataFrame, column: str = INDEX, bins: int = 60) -> DataFrame:
     )
 
 
-def density(df: DataFrame, column: str = INDEX, points: int = 300) -> DataFrame:
+def density(
+    df: DataFrame, column: str = INDEX, points: int = 300, known_extent: Extent | None = None
+) -> DataFrame:
     """Gaussian kernel density on an even grid.
 
     Equal values are merged into one weighted value where that pays; each then
@@ -105,9 +136,7 @@ def density(df: DataFrame, column: str = INDEX, points: int = 300) -> DataFrame:
     all that is shuffled.
     """
     known = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    n, low, high, deviation, different = known.agg(
-        F.count("v"), F.min("v"), F.max("v"), F.stddev_pop("v"), F.approx_count_distinct("v")
-    ).first()
+    n, low, high, deviation, different = known_extent or extent(df, column)
     spark = df.sparkSession
     if not n:
         return small_table(spark, [], {"point": "int", "x": "double", "density": "double"})
@@ -142,11 +171,20 @@ def axis_range(df: DataFrame, column: str = INDEX, pad: float = 5.0) -> DataFram
 
 
 def explore(df: DataFrame) -> dict[str, DataFrame]:
-    """All exploratory results of a cleaned table."""
+    """All exploratory results of a cleaned table.
+
+    One pass gathers what histogram, density and correlation need beforehand.
+    """
+    columns = present(df, CORRELATED)
+    facts = df.agg(
+        *[F.avg(c).alias(c) for c in columns],
+        *[c.alias(f"e{k}") for k, c in enumerate(_extent_columns(INDEX))],
+    ).first()
+    index = Extent(*facts[len(columns) :])
     return {
-        "histogram": histogram(df),
-        "density": density(df),
-        "correlation": correlation_matrix(df, present(df, CORRELATED)),
+        "histogram": histogram(df, known_extent=index),
+        "density": density(df, known_extent=index),
+        "correlation": correlation_matrix(df, columns, dict(zip(columns, facts))),
         "top_cities": top_means(df),
         "monthly_trend": monthly_trend(df),
         "bucket_counts": bucket_counts(df),
