@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from smogline.llm.common import texts
 from smogline.llm.components import linked
@@ -26,6 +27,8 @@ from smogline.session import stage
 
 MIN_CHARS = 48
 LIMIT = 2
+#: Classes of characters (code point modulo this) whose counts two lines are compared by.
+CLASSES = 16
 #: Bits of the map of wanted lines: 2 MB at any size of the input.
 WANTED = 1 << 24
 
@@ -59,18 +62,44 @@ def within(a: str, b: str, limit: int) -> bool:
     return bool(rows[limit] >> (m - n + limit) & 1)
 
 
-def segment_keys(line: Column, limit: int = LIMIT) -> Column:
+def segment_keys(line: str, limit: int = LIMIT) -> set[int]:
     """Keys of a line's segments and of the substrings that may equal another line's segment."""
-    n, keys = F.char_length(line), []
+    n, keys = len(line), set()
     for shorter in range(limit + 1):
         length = n - shorter
         for i in range(limit + 1):
-            start = F.floor(length * i / (limit + 1)).cast("int")
-            size = F.floor(length * (i + 1) / (limit + 1)).cast("int") - start
+            start, end = length * i // (limit + 1), length * (i + 1) // (limit + 1)
+            seed = length * (limit + 1) + i
             # seen from the left at most i edits came before, from the right at most limit - i come after
             for shift in range(max(-i, shorter - (limit - i)), min(i, shorter + (limit - i)) + 1):
-                keys.append(F.xxhash64(length, F.lit(i), F.substring(line, start + shift + 1, size)))
-    return F.array_distinct(F.array(*keys))
+                keys.add(xxh64_intdigest(line[start + shift : end + shift].encode("utf-8", "replace"), seed))
+    return keys
+
+
+def keyed_lines(docs: DataFrame, min_chars: int, limit: int) -> DataFrame:
+    """``id``, ``n`` characters and ``key``: a row per key of every line, a task's copies once."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done: set[int] = set()
+        for batch in batches:
+            ids, sizes, keys, counts = [], [], [], []
+            for text in batch["text"]:
+                for line in text.split("\n"):
+                    if len(line) >= min_chars:
+                        i = xxh64_intdigest(line.encode("utf-8", "replace"), 42)  # as Spark's xxhash64
+                        if i not in done:
+                            done.add(i)
+                            found = segment_keys(line, limit)
+                            ids.append(i)
+                            sizes.append(len(line))
+                            counts.append(len(found))
+                            keys += found
+            counts = np.array(counts, np.int64)
+            for name in (ids, keys):
+                name[:] = [np.array(name, np.uint64).view(np.int64)] if name else [np.empty(0, np.int64)]
+            yield pd.DataFrame({"id": np.repeat(ids[0], counts), "n": np.repeat(np.array(sizes, np.int32), counts), "key": keys[0]})
+
+    return docs.select("text").mapInPandas(run, "id long, n int, key long")
 
 
 def lines_of(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -80,7 +109,7 @@ def lines_of(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def line_texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``id``, ``line`` of the wanted lines (column ``item``), each once."""
+    """``id``, ``line`` and counts of character classes of the wanted lines (column ``item``), each once."""
     width = 1 << 15
     slot = F.expr(f"pmod(item, {WANTED})")
     marked = wanted.groupBy(F.floor(slot / width).cast("int").alias("part")).agg(F.expr(f"bitmap_construct_agg(pmod(pmod(item, {WANTED}), {width}))").alias("bits"))
@@ -92,20 +121,24 @@ def line_texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             s = batch["id"].to_numpy(dtype=np.int64) % WANTED
-            yield batch[(shared.value[s >> 3] >> (s & 7)) & 1 == 1].drop_duplicates("id")
+            some = batch[(shared.value[s >> 3] >> (s & 7)) & 1 == 1].drop_duplicates("id")
+            chars = [np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) % CLASSES for x in some["line"]]
+            yield some.assign(mix=[np.bincount(c, minlength=CLASSES).astype(np.int32) for c in chars])
 
-    some = lines.select("id", "line").mapInPandas(keep, "id long, line string")
-    return some.join(wanted.select(F.col("item").alias("id")), "id", "left_semi").groupBy("id").agg(F.first("line").alias("line"))
+    some = lines.select("id", "line").mapInPandas(keep, "id long, line string, mix array<int>")
+    some = some.join(wanted.select(F.col("item").alias("id")), "id", "left_semi")
+    return some.groupBy("id").agg(F.first("line").alias("line"), F.first("mix").alias("mix"))
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, limit: int = LIMIT) -> DataFrame:
     """``doc_id``, ``twin`` and the numbers of the lines that go, for documents that lose some."""
     lines = lines_of(docs, min_chars)
-    keyed = lines.select("id", F.char_length("line").alias("n"), F.explode(segment_keys(F.col("line"), limit)).alias("key"))
+    keyed = keyed_lines(docs, min_chars, limit)
     in_key = Window.partitionBy("key")
     shared = keyed.withColumns({"lo": F.min("id").over(in_key), "hi": F.max("id").over(in_key)}).where("lo <> hi")
     postings = stage(shared.select("key", F.col("id").alias("item"), "n").distinct(), "postings")
     found = stage(line_texts(lines, postings.select("item").distinct()), "lines")
+    postings = postings.join(found.select(F.col("id").alias("item"), *[F.col("mix")[j].alias(f"c{j}") for j in range(CLASSES)]), "item")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -115,7 +148,13 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, limit: int = LIMI
         a, b = found.select(F.col("id").alias("a"), F.col("line").alias("x")), found.select(F.col("id").alias("b"), F.col("line").alias("y"))
         return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInPandas(check, "a long, b long")
 
-    labels = linked(postings, verify, lambda x, y: F.abs(F.col(f"{x}.n") - F.col(f"{y}.n")) <= limit, ["n"])
+    def may_link(x: str, y: str) -> Column:
+        """An edit changes the length by one at most, and the counts of character classes by two in all."""
+        apart = lambda c: F.abs(F.col(f"{x}.{c}") - F.col(f"{y}.{c}"))
+        return (apart("n") <= limit) & (sum((apart(f"c{j}") for j in range(CLASSES)), F.lit(0)) <= 2 * limit)
+
+    labels = linked(postings, verify, may_link, ["n"])
+    lines = stage(lines.select("doc_id", "twin", "at", "id"), "places")
     distinct = lines.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("times"))
     labelled = distinct.join(labels, distinct["id"] == labels["item"], "left").select("id", "doc_id", "times", F.coalesce("label", "id").alias("label"))
     groups = labelled.groupBy("label").agg(F.min("doc_id").alias("owner"), F.sum("times").alias("times"))
