@@ -16,12 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smogline.llm.common import texts, words_of
 from smogline.llm.components import linked
-from smogline.llm.shingles import WordHashes, digest, rolling
+from smogline.llm.shingles import digest, rolling
 from smogline.session import stage
 
 #: Slots of the rarity sketch and of the map of wanted documents: 4 MB and 2 MB at any size of the input.
@@ -35,20 +35,20 @@ def common_slots(docs: DataFrame, k: int) -> np.ndarray:
     """Level per slot: 0 for ordinary shingles, higher for slots that documents share often."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, counts, seen = WordHashes(), np.zeros(SLOTS, dtype=np.int32), 0
+        some, seen = [], 0
 
         def heavy() -> pd.DataFrame:
-            slots = np.flatnonzero(counts > 8 + 4 * seen // SLOTS)
-            return pd.DataFrame({"slot": slots.astype(np.int32), "n": counts[slots].astype(np.int64)})
+            slots, n = np.unique(np.concatenate([np.empty(0, np.uint32), *some]), return_counts=True)
+            often = n > 8 + 4 * seen // SLOTS
+            return pd.DataFrame({"slot": slots[often].astype(np.int32), "n": n[often].astype(np.int64)})
 
         for batch in batches:
             for text in batch["text"]:
-                s = np.unique(rolling(words_of(text), hashes, k) & np.uint64(SLOTS - 1)).astype(np.int64)
-                counts[s] += 1
-                seen += len(s)
+                some.append((rolling(words_of(text), k) & np.uint64(SLOTS - 1)).astype(np.uint32))
+                seen += len(some[-1])
                 if seen >= COUNTED:
                     yield heavy()
-                    counts[:], seen = 0, 0
+                    some, seen = [], 0
         yield heavy()
 
     found = docs.select("text").mapInPandas(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
@@ -59,21 +59,23 @@ def common_slots(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Per document the size of its set, a digest of the set, of its prefix, and the prefix."""
+    """Per document the size of its set, a digest of the set and of its prefix; the prefix with its first document in a task."""
     level = docs.sparkSession.sparkContext.broadcast(common_slots(docs, k))  # SLOTS bytes
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        done = set()  # copies hand on their prefix once a task
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                s = np.unique(rolling(words_of(text), hashes, k))
+                s = np.unique(rolling(words_of(text), k))
                 n = len(s)
                 if n:
                     rank = level.value[(s & np.uint64(SLOTS - 1)).astype(np.int64)]
                     size = n - -(-percent * n // 100) + 1
                     prefix = s[np.argsort(rank, kind="stable")[:size]] if rank.any() else s[:size]
-                    rows.append((n, digest(s), digest(prefix), prefix.view(np.int64)))
+                    group = digest(prefix)
+                    rows.append((n, digest(s), group, prefix[: 0 if (group, n) in done else size].view(np.int64)))
+                    done.add((group, n))
                 else:
                     rows.append((0, 0, 0, np.empty(0, dtype=np.int64)))
             out = pd.DataFrame(rows, columns=["n_shingles", "item", "prefix_digest", "prefix"], index=batch.index)
@@ -98,12 +100,11 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for batch in batches:
             s = batch["slot"].to_numpy(dtype=np.int64)
             rows = []
             for text in batch["text"][(shared.value[s >> 3] >> (s & 7)) & 1 == 1]:
-                found = np.unique(rolling(words_of(text), hashes, k))
+                found = np.unique(rolling(words_of(text), k))
                 rows.append((digest(found), len(found), found.tobytes()))
             if rows:
                 yield pd.DataFrame(rows, columns=["item", "n", "shingles"])
@@ -112,8 +113,8 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return rows.join(wanted.select("item"), "item", "left_semi").groupBy("item", "n").agg(F.first("shingles").alias("shingles"))
 
 
-def similar(sets: DataFrame, percent: int):
-    """Keep the pairs whose sets have at least that similarity."""
+def similar(docs: DataFrame, members: DataFrame, k: int, percent: int):
+    """Keep the pairs whose sets have at least that similarity; only the pairs' sets are fetched."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -125,6 +126,8 @@ def similar(sets: DataFrame, percent: int):
             yield batch.loc[keep, ["a", "b"]]
 
     def verify(pairs: DataFrame) -> DataFrame:
+        items = pairs.select(F.explode(F.array("a", "b")).alias("item")).distinct()
+        sets = stage(fetch_sets(docs, items.join(members.select("item", "doc_id"), "item"), k), "wanted")
         a = sets.select(F.col("item").alias("a"), F.col("shingles").alias("x"))
         b = sets.select(F.col("item").alias("b"), F.col("shingles").alias("y"))
         return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInPandas(check, "a long, b long")
@@ -146,20 +149,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
     group = F.xxhash64("prefix_digest", "n_shingles").alias("g")
     # equal sets are one member: the smallest document stands for it
     members = stage(full.groupBy("item", group, "n_shingles").agg(F.min("doc_id").alias("doc_id")), "members")
-    grouped = full.select(group, F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("pos", "key")).distinct()
-    shared = stage(grouped, "grouped")
-    # a key of a single group of one member links nothing
-    sizes = members.groupBy("g").agg(F.count("*").alias("m"))
-    keys = shared.groupBy("key").agg(F.count("*").alias("c"), F.min("g").alias("g1")).where("c > 1").select("key")
-    postings = shared.join(keys, "key").join(members.select("g", "item"), "g").select("key", "item", "n", "pos")
+    # a key of one group alone links nothing, and most keys are of one group
+    in_key = Window.partitionBy("key")
+    keyed = full.select(group, F.col("n_shingles").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "key"))
+    shared = keyed.withColumns({"lo": F.min("g").over(in_key), "hi": F.max("g").over(in_key)}).where("lo <> hi")
+    shared = shared.select("key", "g", "n", "pos").distinct()
+    postings = shared.join(members.select("g", "item"), "g").select("key", "item", "n", "pos")
     # members of one group have all prefix shingles in common: one key, their group, is enough
+    sizes = members.groupBy("g").agg(F.count("*").alias("m"))
     inside = members.join(sizes.where("m > 1").select("g"), "g")
     postings = postings.unionByName(
-        inside.select(F.col("g").alias("key"), "item", F.col("n_shingles").alias("n"), F.lit(0).alias("pos"))
+        inside.select(F.col("g").alias("key"), "item", F.col("n_shingles").cast("int").alias("n"), F.lit(0).alias("pos"))
     )
-    postings = stage(postings, "postings")
-    wanted = postings.select("item").distinct().join(members.select("item", "doc_id"), "item")
-    sets = stage(fetch_sets(docs, wanted, k), "wanted")
 
     def may_link(x: str, y: str) -> Column:
         nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
@@ -170,7 +171,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
             & (F.lit(100 + percent) * overlap >= F.lit(percent) * (nx + ny))
         )
 
-    labels = linked(postings, similar(sets, percent), may_link, ["n"])
+    labels = linked(postings, similar(docs, members, k, percent), may_link, ["n"])
     label = members.join(labels, "item", "left").select("item", "doc_id", F.coalesce("label", "item").alias("label"))
     lowest = label.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     found = label.join(lowest, "label").select("item", "component_id")

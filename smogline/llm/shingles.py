@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+from xxhash import xxh3_64_intdigest
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
@@ -18,31 +19,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """64-bit hash of a word, remembered for up to ``most`` words."""
-
-    def __init__(self, most: int = 400_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return value
-
-
-def rolling(words: list[bytes], hashes: WordHashes, k: int = 5) -> np.ndarray:
+def rolling(words: list[bytes], k: int = 5) -> np.ndarray:
     """Hash of every run of ``k`` words in order; of the whole sequence if there are fewer; none without words."""
     if not words:
         return np.empty(0, dtype=np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+    h = np.fromiter(map(xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
     size = min(k, len(words))
     n = len(words) - size + 1
     total = np.full(n, size, dtype=np.uint64)
     for j in range(size):
-        total = mix(total + h[j : j + n] * _MULTIPLIERS[j % 5])
-    return total
+        total += h[j : j + n] * _MULTIPLIERS[j % 5]
+    return mix(total)
 
 
 def digest(values: np.ndarray) -> int:

@@ -18,16 +18,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from smogline.llm.common import parts_for, texts, words_of
-from smogline.llm.shingles import WordHashes, mix, rolling
+from smogline.llm.shingles import mix, rolling
 
 BITS = 128
 #: Text that one sorted bucket of neighbouring documents holds, on average.
 BUCKET_BYTES = 32 << 20
 
 
-def fingerprint(text: str, hashes: WordHashes, k: int = 5) -> bytes:
+def fingerprint(text: str, k: int = 5) -> bytes:
     """16 bytes. A shingle that occurs n times votes with weight 1 + ln n; without words all bits are 0."""
-    runs = rolling(words_of(text), hashes, k)
+    runs = rolling(words_of(text), k)
     if not len(runs):
         return bytes(BITS // 8)
     terms, counts = np.unique(runs, return_counts=True)
@@ -50,9 +50,8 @@ def fingerprints(docs: DataFrame, k: int = 5) -> DataFrame:
     """``doc_id``, ``fingerprint`` (hexadecimal) per document; a missing text is empty."""
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for batch in batches:
-            found = [fingerprint(t, hashes, k).hex() for t in batch["text"]]
+            found = [fingerprint(t, k).hex() for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fingerprint": found})
 
     return texts(docs).mapInPandas(score, "doc_id long, fingerprint string")
@@ -117,17 +116,16 @@ def edited_fingerprints(docs: DataFrame, k: int = 5) -> DataFrame:
     )
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for batch in batches:
             out = []
             for text, tail, extra in zip(batch["text"], batch["tail"], batch["borrowed"]):
-                own = fingerprint(text, hashes, k)
+                own = fingerprint(text, k)
                 n = len(text)
                 if extra:
                     out.append((n, None, own.hex(), None, None))
                     continue
                 edited = text[: n - n // 2] + (tail or "")
-                other = fingerprint(edited, hashes, k) if edited != text else own
+                other = fingerprint(edited, k) if edited != text else own
                 out.append((n, hashlib.sha256(edited.encode("utf-8", "replace")).hexdigest(), own.hex(), other.hex(), likeness(own, other)))
             found = pd.DataFrame(out, columns=["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited"])
             for name in ("doc_id", "bucket", "borrowed", "row"):

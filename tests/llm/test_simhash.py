@@ -2,7 +2,6 @@ import hashlib
 
 from llm_data import documents
 
-from smogline.llm.shingles import WordHashes
 from smogline.llm.simhash import edited_fingerprints, fingerprint, fingerprints, likeness, within_radius
 
 SCHEMA = "doc_id long, text string, bucket string, place string, n int"
@@ -13,15 +12,15 @@ def rows(spark, texts):
 
 
 def expected(texts):
-    hashes, out = WordHashes(), []
+    out = []
     order = sorted([(-(2**63) if i is None else i, t or "", i) for i, t in texts], key=lambda x: (-x[0], x[1]))
     for k, (_, text, doc_id) in enumerate(order):
         after = order[(k + 1) % len(order)][1]
         half = len(text) // 2
         edited = text[: len(text) - half] + after[:half]
-        own = fingerprint(text, hashes)
-        other = fingerprint(edited, hashes)
-        out.append((doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), own.hex(), other.hex(), likeness(own, other), likeness(own, fingerprint(after, hashes))))
+        own = fingerprint(text)
+        other = fingerprint(edited)
+        out.append((doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), own.hex(), other.hex(), likeness(own, other), likeness(own, fingerprint(after))))
     return sorted(out, key=str)
 
 
