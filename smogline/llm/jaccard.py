@@ -59,11 +59,15 @@ def common_slots(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Per document the size of its set, a digest of the set and of its prefix; the prefix with its first document in a task."""
+    """Per document the size of its set, a digest of the set and of its prefix; the prefix with its first document in a task.
+
+    ``shape`` counts a set's hashes by their first nine bits, once per set and
+    task; it is left out where a count does not fit in a byte.
+    """
     level = docs.sparkSession.sparkContext.broadcast(common_slots(docs, k))  # SLOTS bytes
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        done = set()  # copies hand on their prefix once a task
+        done = set()  # copies hand on prefix and shape once a task
         for batch in batches:
             rows = []
             for text in batch["text"]:
@@ -74,15 +78,18 @@ def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     size = n - -(-percent * n // 100) + 1
                     prefix = s[np.argsort(rank, kind="stable")[:size]] if rank.any() else s[:size]
                     group = digest(prefix)
-                    rows.append((n, digest(s), group, prefix[: 0 if (group, n) in done else size].view(np.int64)))
-                    done.add((group, n))
+                    item = digest(s)
+                    counts = np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=512)
+                    shape = counts.astype(np.uint8).tobytes() if item not in done and counts.max() < 256 else b""
+                    rows.append((n, item, shape, group, prefix[: 0 if (group, n) in done else size].view(np.int64)))
+                    done |= {(group, n), item}
                 else:
-                    rows.append((0, 0, 0, np.empty(0, dtype=np.int64)))
-            out = pd.DataFrame(rows, columns=["n_shingles", "item", "prefix_digest", "prefix"], index=batch.index)
+                    rows.append((0, 0, b"", 0, np.empty(0, dtype=np.int64)))
+            out = pd.DataFrame(rows, columns=["n_shingles", "item", "shape", "prefix_digest", "prefix"], index=batch.index)
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
             yield out
 
-    return docs.mapInPandas(describe, "doc_id long, n_shingles long, item long, prefix_digest long, prefix array<long>")
+    return docs.mapInPandas(describe, "doc_id long, n_shingles long, item long, shape binary, prefix_digest long, prefix array<long>")
 
 
 def fetch_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -113,8 +120,24 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return rows.join(wanted.select("item"), "item", "left_semi").groupBy("item", "n").agg(F.first("shingles").alias("shingles"))
 
 
-def similar(docs: DataFrame, members: DataFrame, k: int, percent: int):
-    """Keep the pairs whose sets have at least that similarity; only the pairs' sets are fetched."""
+def similar(docs: DataFrame, described: DataFrame, members: DataFrame, k: int, percent: int):
+    """Keep the pairs whose sets have at least that similarity.
+
+    Two sets share at most the sum of the smaller counts of their shapes; only
+    the sets of pairs for which that is enough are fetched and intersected.
+    """
+
+    def may_reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch["x"], batch["y"]):
+                if x is None or y is None:
+                    keep.append(True)
+                    continue
+                x, y = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
+                most, total = int(np.minimum(x, y).sum(dtype=np.int64)), int(x.sum(dtype=np.int64) + y.sum(dtype=np.int64))
+                keep.append(100 * most >= percent * (total - most))
+            yield batch.loc[keep, ["a", "b"]]
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -126,6 +149,12 @@ def similar(docs: DataFrame, members: DataFrame, k: int, percent: int):
             yield batch.loc[keep, ["a", "b"]]
 
     def verify(pairs: DataFrame) -> DataFrame:
+        items = pairs.select(F.explode(F.array("a", "b")).alias("item")).distinct()
+        shapes = described.where("length(shape) > 0").select("item", "shape").join(items, "item", "left_semi")
+        shapes = shapes.groupBy("item").agg(F.first("shape").alias("shape"))
+        x, y = shapes.select(F.col("item").alias("a"), F.col("shape").alias("x")), shapes.select(F.col("item").alias("b"), F.col("shape").alias("y"))
+        likely = pairs.join(x, "a", "left").join(y, "b", "left").select("a", "b", "x", "y")
+        pairs = stage(likely.mapInPandas(may_reach, "a long, b long"), "likely")
         items = pairs.select(F.explode(F.array("a", "b")).alias("item")).distinct()
         sets = stage(fetch_sets(docs, items.join(members.select("item", "doc_id"), "item"), k), "wanted")
         a = sets.select(F.col("item").alias("a"), F.col("shingles").alias("x"))
@@ -171,7 +200,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
             & (F.lit(100 + percent) * overlap >= F.lit(percent) * (nx + ny))
         )
 
-    labels = linked(postings, similar(docs, members, k, percent), may_link, ["n"])
+    labels = linked(postings, similar(docs, described, members, k, percent), may_link, ["n"])
     label = members.join(labels, "item", "left").select("item", "doc_id", F.coalesce("label", "item").alias("label"))
     lowest = label.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     found = label.join(lowest, "label").select("item", "component_id")
