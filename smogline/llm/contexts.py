@@ -81,16 +81,20 @@ def merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 class ChunkKeys:
     """Distinct grams and words of a chunk's documents with their training counts."""
 
-    def __init__(self):
+    def __init__(self, counted: bool = True):
+        self.counted = counted  # else only which keys there are, in the same order
         self.words: Counter[bytes] = Counter()
         self.found: list[tuple[np.ndarray, np.ndarray]] = []
 
     def add(self, block: list[tuple]) -> None:
         for held in (False, True):
             blobs = [b for _, h, b in block if h is held]
-            if blobs:
+            if blobs and not self.counted:
+                self.found.append((np.unique(grams(blobs)), None))
+            elif blobs:
                 keys, n = np.unique(grams(blobs), return_counts=True)
                 self.found.append((keys, n.astype(np.int64) * (not held)))
+            if blobs:
                 if held:
                     for b in blobs:
                         for w in (*b.split(), END):
@@ -100,7 +104,14 @@ class ChunkKeys:
                         self.words.update(b.split())
                     self.words[END] += len(blobs)
         if len(self.found) > 16:
+            self.merge()
+
+    def merge(self) -> None:
+        if self.counted:
             self.found = [merged(self.found)]
+        else:
+            keys = np.unique(np.concatenate([np.empty(0, np.uint64), *[k for k, _ in self.found]]))
+            self.found = [(keys, np.zeros(len(keys), np.int64))]
 
     def dealt(self, kind: int, parts: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """Per part its keys and counts, and where they stand in the chunk's order."""
@@ -109,8 +120,8 @@ class ChunkKeys:
             counts = np.fromiter(self.words.values(), np.int64, len(self.words))
             part = keys % np.uint64(parts)
         else:
-            keys, counts = merged(self.found)
-            self.found = [(keys, counts)]
+            self.merge()
+            [(keys, counts)] = self.found
             part = mix((keys >> np.uint64(8)) & np.uint64(0xFFFF)) % np.uint64(parts)
         order = np.lexsort((keys, part))
         cuts = np.flatnonzero(np.diff(part[order].astype(np.int64), prepend=-1))
@@ -309,7 +320,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
 
     def score(group: pd.DataFrame) -> pd.DataFrame:
         blocks = [unpack(d) for d in group["keys"][group["kind"] == DOCS]]
-        keys = ChunkKeys()
+        keys = ChunkKeys(counted=False)
         for block in blocks:
             keys.add(block)
         given = {(k, p): v for k, p, v in zip(group["kind"], group["part"], group["keys"]) if k != DOCS}
@@ -326,10 +337,13 @@ def lm_scores(docs: DataFrame) -> DataFrame:
             value[at] = np.frombuffer(given[GRAMS, part], np.float32)
         out = []
         for block in blocks:
-            for i, held, b in block:
+            every = grams([b for _, _, b in block])
+            own = np.unique(every)  # lookups in order stay near each other
+            scores = value[np.searchsorted(distinct_grams, own)][np.searchsorted(own, every)]
+            begins = np.cumsum([0] + [len(b) + 1 for _, _, b in block[:-1]])
+            for (i, held, b), total in zip(block, np.add.reduceat(scores, begins)):
                 tokens = np.array([number[w] for w in (*b.split(), END)], np.int64)
-                g = grams([b])
-                out.append((i, held, len(tokens), int((count[tokens] > 0).sum()), train_tokens, float(logs[tokens].sum() - len(tokens) * log_total), float(value[np.searchsorted(distinct_grams, g)].sum())))
+                out.append((i, held, len(tokens), int((count[tokens] > 0).sum()), train_tokens, float(logs[tokens].sum() - len(tokens) * log_total), float(total)))
         frame = pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
         frame["doc_id"] = frame["doc_id"].astype("Int64")
         return frame
