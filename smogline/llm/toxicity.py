@@ -168,7 +168,7 @@ class Scorer:
         words = [tokens(t) for t in batch]
         if len(self.rows) > KEPT:
             self.rows = {}
-        new = list({w for some in words for w in some} - self.rows.keys())
+        new = [w for w in {w for some in words for w in some} if w not in self.rows]
         if new:
             known = np.array([self.vocabulary.get(w, 0) for w in new])
             x = inputs(self.net, known, *trigrams(new))
