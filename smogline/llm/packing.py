@@ -12,6 +12,7 @@ patterns; pieces stay distributed.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,7 +26,7 @@ from smogline.llm.common import texts
 from smogline.session import stage
 
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 #: Pieces that are ranked together in one task, on average.
 RANKED = 200_000
 
@@ -34,6 +35,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 @lru_cache(1)
 def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share the cores already
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
@@ -54,6 +56,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer, self.known = _tokenizer(path), _ids_by_word(path)
+        [self.bar] = self.tokenizer.encode("|", add_special_tokens=False).ids
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -64,21 +67,26 @@ class Encoder:
             kept = dict(list(known.items())[: REMEMBERED // 2])
             known.clear()
             known.update(kept)
-            words = {w for w in words if w not in known}
+        words = {w for w in words if w not in known}
         # a comma or full stop after an ASCII letter or digit is a token of its own
         tails = {w for w in words if len(w) > 1 and w[-1:] in b".," and w[-2:-1].isalnum()}
-        bare = list({w[:-1] for w in tails if w[:-1] not in known} | (words - tails) | ({b".", b","} - known.keys()))
-        for start in range(0, len(bare), 4096):
-            some = bare[start : start + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            for word, e in zip(some, found):
-                known[word] = np.array(e.ids, "<u4").tobytes()
+        bare = list({w[:-1] for w in tails if w[:-1] not in known} | (words - tails) | {w for w in (b".", b",") if w not in known})
+        for w in [w for w in bare if b"|" in w]:
+            known[w] = self.whole(w.decode("utf-8", "replace"))
+        bare = [w for w in bare if b"|" not in w]
+        for start in range(0, len(bare), 1024):  # many words in one call, bars between them
+            some = bare[start : start + 1024]
+            text = " | ".join([w.decode("utf-8", "replace") for w in some])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self.bar).tolist()
+            for word, begin, end in zip(some, [0, *[c + 1 for c in cuts]], [*cuts, len(ids)]):
+                known[word] = ids[begin:end].tobytes()
         for w in tails:
             known[w] = known[w[:-1]] + known[w[-1:]]
 
     def encode(self, batch: list[str]) -> list[bytes]:
         plain = [None if "<|" in t else t.encode("utf-8", "replace").lower().split() for t in batch]
-        self.learn({w for words in plain if words for w in words if w not in self.known})
+        self.learn({w for words in plain if words for w in words})
         known = self.known
         return [self.whole(t) if words is None else b"".join([known[w] for w in words]) for t, words in zip(batch, plain)]
 

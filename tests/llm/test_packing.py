@@ -19,7 +19,7 @@ def rows(spark, texts):
 
 
 def test_encoder_equals_the_tokenizer():
-    texts = ["", "Hello, WORLD.", "a.b, c.. d,. ,", "x<|endoftext|>y <|STARTOFTEXT|>", "ÉCOLE İstanbul Σας é. ÅB", "it's 10,000.50.", "tab\tand\x0bvt\x85nel em", "one, one. one"]
+    texts = ["", "Hello, WORLD.", "a.b, c.. d,. ,", "x<|endoftext|>y <|STARTOFTEXT|>", "ÉCOLE İstanbul Σας é. ÅB", "it's 10,000.50.", "tab\tand\x0bvt\x85nel em", "one, one. one", "a|b | c || d|, |. x"]
     whole = Tokenizer.from_file(PATH)
     found = Encoder(PATH).encode(texts)
     for text, ids in zip(texts, found):
@@ -33,6 +33,16 @@ def test_encoder_on_documents():
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_forgetting_words_changes_nothing(monkeypatch):
+    texts = [t or "" for _, t in documents()]
+    monkeypatch.setattr("smogline.llm.packing.REMEMBERED", 50)
+    whole = Tokenizer.from_file(PATH)
+    encoder = Encoder(PATH)
+    for k in range(0, len(texts), 10):
+        for text, ids in zip(texts[k : k + 10], encoder.encode(texts[k : k + 10])):
+            assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_pieces_and_places(spark):
     texts = [(1, None), (2, ""), (3, "word " * 5000), (3, "word " * 5000), (None, "a b"), (4, "same"), (5, "same")]
     texts += documents()
