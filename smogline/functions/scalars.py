@@ -9,8 +9,8 @@ from smogline.schema import BUCKETS, OTHER_COLOUR
 
 
 def safe_divide(a: Column, b: Column, default: Column | None = None) -> Column:
-    """a / b, or the default where that is undefined."""
-    quotient = F.try_divide(a.cast("double"), b.cast("double"))
+    """a / b, or the default where that is undefined or either is no number."""
+    quotient = F.try_divide(a.try_cast("double"), b.try_cast("double"))
     return quotient if default is None else F.coalesce(quotient, default)
 
 

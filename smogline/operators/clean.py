@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,16 +14,20 @@ from smogline.schema import POLLUTANTS, TARGETS, present
 log = logging.getLogger(__name__)
 
 
+def _known(df: DataFrame, target: str) -> list[Column]:
+    """Conditions under which a target is known: neither NULL nor NaN."""
+    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return [F.col(target).isNotNull(), *([~F.isnan(target)] if target in floats else [])]
+
+
 def drop_missing_targets(df: DataFrame, targets: list[str] = TARGETS) -> DataFrame:
     """Keep rows in which every target is known (F1).
 
     Written as predicates, not as ``dropna``, so that they reach the scan.
     """
-    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     for target in targets:
-        df = df.where(F.col(target).isNotNull())
-        if target in floats:
-            df = df.where(~F.isnan(target))
+        for condition in _known(df, target):
+            df = df.where(condition)
     return df
 
 
@@ -79,7 +83,8 @@ def cleaning_audit(
     columns = present(raw, columns)
     known = F.lit(True)
     for target in targets:
-        known = known & F.col(target).isNotNull()
+        for condition in _known(raw, target):
+            known = known & condition
     gaps = {c: F.count_if(known & F.col(c).isNull()) for c in columns}
     before = raw.agg(
         F.count(F.lit(1)).alias("rows"),

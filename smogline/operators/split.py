@@ -152,9 +152,11 @@ def stratified_split(
     name: str = "is_test",
     ranked_rows: int = RANKED_ROWS,
 ) -> DataFrame:
-    """Mark test rows so that every class keeps its share (M4)."""
+    """Mark test rows so that every class keeps its share (M4). The label is required."""
     key = row_key(df.columns) if key is None else key
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if None in counts:
+        raise ValueError(f"rows without {label}; drop them before a stratified split")
     sizes = {c: n for c, n in class_test_sizes(counts, share).items() if n}
     if not sizes:
         return df.withColumn(name, F.lit(False))

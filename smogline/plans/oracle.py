@@ -387,7 +387,7 @@ ORACLE: dict[str, str] = {
         CLEAN,
         "SELECT feature, round(r, 6) AS importance, round(100e0*r/sum(r) OVER (), 6) AS share FROM ("
         + _union(f"SELECT '{c}' AS feature, abs(corr({c}, AQI)) AS r FROM clean" for c in MEASURED)
-        + " ORDER BY r DESC, feature LIMIT 8)",
+        + " ORDER BY r DESC, feature LIMIT 15)",
     ),
     "safe_divide": _with(
         OBSERVED,

@@ -346,7 +346,7 @@ def top_importances(spark, folder):
     weights = matrix.where((F.col("col") == INDEX) & (F.col("row") != INDEX)).select(
         F.col("row").alias("feature"), F.abs("value").alias("importance")
     )
-    return rounded(evaluate.top_importances(weights, 8), "importance", "share")
+    return rounded(evaluate.top_importances(weights), "importance", "share")
 
 
 # Scalar functions

@@ -86,8 +86,8 @@ def bucket_domain(spark: SparkSession) -> DataFrame:
 def nan_to_null(df: DataFrame) -> DataFrame:
     """One notion of a missing number: NULL."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in floats})
 
 
 def missing_text_to_null(column: str) -> Column:
-    return F.when(~F.col(column).isin(MISSING_TEXTS), F.col(column))
+    return F.when(~F.col(f"`{column}`").isin(MISSING_TEXTS), F.col(f"`{column}`"))

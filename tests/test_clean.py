@@ -99,3 +99,11 @@ def test_filling_is_a_projection_and_pruning_reaches_the_scan(spark, folder):
 def test_copies_are_merged_before_the_shuffle(spark, folder):
     text = plan(clean.drop_copies(staged_observations(spark, folder)))
     assert text.count("HashAggregate") == 2 and text.count("Exchange") == 1
+
+
+def test_audit_counts_a_nan_target_as_missing(table):
+    from smogline.operators.clean import clean, cleaning_audit
+
+    raw = table({"NO": "double", "AQI": "double", "AQI_Bucket": "string"}, (1.0, 5.0, "Good"), (2.0, float("nan"), "Good"))
+    steps = {r["step"]: r["n"] for r in cleaning_audit(raw, clean(raw)).collect()}
+    assert steps["dropped_without_target"] == 1 and steps["copies_removed"] == 0

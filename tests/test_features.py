@@ -167,3 +167,21 @@ def test_display_texts(table):
 def test_utc_text(spark):
     text = spark.sql("SELECT TIMESTAMP '2024-05-06 07:08:09.123456' AS t").select(scalars.utc_text(F.col("t")))
     assert text.first()[0] == "2024-05-06T07:08:09.123456Z"
+
+
+def test_safe_divide_of_text_gives_the_default(table):
+    from pyspark.sql import functions as F
+
+    from smogline.functions.scalars import safe_divide
+
+    df = table({"a": "string", "b": "double"}, ("x", 2.0), ("3", 2.0))
+    assert [r[0] for r in df.select(safe_divide(F.col("a"), F.col("b"), F.lit(-1.0))).collect()] == [-1.0, 1.5]
+
+
+def test_stratified_split_asks_for_labels(table):
+    import pytest
+
+    from smogline.operators.split import stratified_split
+
+    with pytest.raises(ValueError, match="without c"):
+        stratified_split(table({"c": "string", "x": "double"}, ("a", 1.0), (None, 2.0)), "c")

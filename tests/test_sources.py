@@ -70,3 +70,14 @@ def test_stage_uses_the_shared_folder(spark, table):
     staged = session.stage(table({"x": "long"}, (1,), (2,)), "numbers")
     assert sorted(rows(staged)) == [(1,), (2,)]
     assert session.shared_folder(spark) in staged.inputFiles()[0].replace("file://", "")
+
+
+def test_dotted_names_in_files(spark, tmp_path):
+    from smogline.sources.readers import read_csv, read_table
+
+    rows = spark.createDataFrame([(float("nan"), "x"), (2.0, "NA")], "`PM2.5` double, `Note.1` string")
+    rows.write.parquet(str(tmp_path / "p"))
+    rows.write.option("header", True).csv(str(tmp_path / "c"))
+    found = read_table(spark, str(tmp_path / "p"), nan_is_missing=True)
+    assert sorted(r["PM2_5"] or 0.0 for r in found.collect()) == [0.0, 2.0]
+    assert sorted(r["Note.1"] or "" for r in read_csv(spark, str(tmp_path / "c")).collect()) == ["", "x"]
