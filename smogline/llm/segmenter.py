@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -72,8 +73,8 @@ class Sampler:
 
     def clear(self) -> None:
         self.unit: dict[str, int] = {}  # its last node
-        self.first, self.last, self.cum, self.back, self.piece = [], [], [], [], []
-        self.arrays = None
+        self.first, self.last, self.back, self.piece = (array("q") for _ in range(4))
+        self.cum = array("d")
 
     def learn(self, unit: str) -> int:
         """Filter a unit's lattice; nodes are its characters' ends, edges the pieces that end there."""
@@ -111,7 +112,6 @@ class Sampler:
                 self.piece.append(k)
             self.last.append(len(self.cum) - 1)
         self.unit[unit] = base + m - 1
-        self.arrays = None
         return base + m - 1
 
     def sample(self, batch: list[str], keys: list[int]) -> list[np.ndarray]:
@@ -124,9 +124,9 @@ class Sampler:
             for u in some:
                 if u not in known:
                     self.learn(u)
-        if self.arrays is None:
-            self.arrays = tuple(np.array(x, dtype=t) for x, t in ((self.first, np.int64), (self.last, np.int64), (self.cum, np.float64), (self.back, np.int64), (self.piece, np.int64)))
-        first, last, cum, back, piece = self.arrays
+        # views without a copy, gone before the next units are learnt
+        first, last, back, piece = (np.frombuffer(x, np.int64) for x in (self.first, self.last, self.back, self.piece))
+        cum = np.frombuffer(self.cum, np.float64)
         counts = np.array([len(u) for u in units], dtype=np.int64)
         node = np.fromiter((known[u] for some in units for u in some), dtype=np.int64, count=int(counts.sum()))
         start = np.repeat(np.cumsum(counts) - counts, counts)
