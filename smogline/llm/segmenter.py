@@ -27,8 +27,10 @@ from smogline.llm.common import texts
 from smogline.llm.shingles import mix
 
 UNIT = re.compile(r"\n| *[^ \n]+| +")
-#: Lattice nodes that a worker keeps before it starts anew.
-NODES = 1_200_000
+#: Lattice nodes that a worker keeps before it drops the newer half; frequent units came first.
+NODES = 2_400_000
+#: Weight of a character that is no piece, as bytes.
+AS_BYTES = 1e-9
 #: Characters sampled at once.
 AT_ONCE = 400_000
 
@@ -56,7 +58,39 @@ class Pieces:
                 # merges are ranked by use: a Zipf law over ranks, made flatter or steeper by alpha
                 self.weight[text] = (1.0 / (i + 10)) ** alpha
         self.longest = max(map(len, self.ids))
-        self.starts = {t[:k] for t in self.ids for k in range(1, len(t) + 1)}
+        # a state per beginning of a piece; moves are (state, next character) in order
+        starts = sorted({t[:k] for t in self.ids for k in range(1, len(t) + 1)})
+        state = {"": 0} | {t: k + 1 for k, t in enumerate(starts)}
+        moves = np.array([state[t[:-1]] << 21 | ord(t[-1]) for t in starts], dtype=np.int64)
+        order = np.argsort(moves)
+        self.moves, self.to = moves[order], (order + 1).astype(np.int64)
+        self.id_of = np.array([-1, *[self.ids.get(t, -1) for t in starts]], dtype=np.int64)
+        self.weight_of = np.array([0.0, *[self.weight.get(t, 0.0) for t in starts]])
+
+    def edges(self, codes: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First and last character, id and weight of every piece in units put in a row, and of characters that are none.
+
+        ``stop`` is the end of each character's unit.
+        """
+        at, state = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64)
+        found, alone = [], np.zeros(len(codes), dtype=bool)
+        for step in range(self.longest):
+            key = state << 21 | codes[at + step]
+            k = np.minimum(np.searchsorted(self.moves, key), len(self.moves) - 1)
+            hit = self.moves[k] == key
+            at, state = at[hit], self.to[k[hit]]
+            is_piece = self.id_of[state] >= 0
+            first = at[is_piece]
+            found.append((first, first + step, self.id_of[state[is_piece]], self.weight_of[state[is_piece]]))
+            if step == 0:
+                alone[first] = True
+            on = at + step + 1 < stop[at]
+            at, state = at[on], state[on]
+            if not len(at):
+                break
+        rest = np.flatnonzero(~alone)
+        found.append((rest, rest, -codes[rest] - 1, np.full(len(rest), AS_BYTES)))
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 @lru_cache(2)
@@ -65,67 +99,78 @@ def pieces_of(path: str, alpha: float) -> Pieces:
 
 
 class Sampler:
-    """Forward-filtered lattices of units, and backward sampling over many units at once."""
+    """Forward-filtered lattices of units, and backward sampling over many units at once.
+
+    A node is the end of a character in its unit. ``first`` has its first edge,
+    the last edge before the next node's; an edge has its piece, the node
+    before the piece (-1: none) and the probability of the node's edges up to it.
+    """
 
     def __init__(self, path: str, alpha: float = 1.0, seed: int = 42):
         self.pieces, self.seed = pieces_of(path, alpha), seed
-        self.clear()
-
-    def clear(self) -> None:
         self.unit: dict[str, int] = {}  # its last node
-        self.first, self.last, self.back, self.piece = (array("q") for _ in range(4))
-        self.cum = array("d")
-
-    def learn(self, unit: str) -> int:
-        """Filter a unit's lattice; nodes are its characters' ends, edges the pieces that end there."""
-        p = self.pieces
-        base, m = len(self.first), len(unit)
-        edges: list[list[tuple[float, int, int]]] = [[] for _ in range(m)]
-        alpha = [1.0] + [0.0] * m
-        for i in range(m):
-            reach = alpha[i]
-            if reach < 1e-200 or reach > 1e200:  # only ratios matter
-                alpha = [a / reach for a in alpha]
-                edges = [[(w / reach, f, x) for w, f, x in e] for e in edges]
-                reach = 1.0
-            found = False
-            for j in range(i + 1, min(m, i + p.longest) + 1):
-                part = unit[i:j]
-                if part not in p.starts:
-                    break
-                k = p.ids.get(part)
-                if k is not None:
-                    found = found or j == i + 1
-                    w = reach * p.weight[part]
-                    edges[j - 1].append((w, i, k))
-                    alpha[j] += w
-            if not found:  # no piece of its own: bytes
-                edges[i].append((reach * 1e-9, i, -ord(unit[i]) - 1))
-                alpha[i + 1] += reach * 1e-9
-        for j, into in enumerate(edges):
-            total, so_far = sum(w for w, _, _ in into), 0.0
-            self.first.append(len(self.cum))
-            for w, i, k in into:
-                so_far += w
-                self.cum.append(base + j + so_far / total)
-                self.back.append(base + i - 1 if i else -1)
-                self.piece.append(k)
-            self.last.append(len(self.cum) - 1)
-        self.unit[unit] = base + m - 1
-        return base + m - 1
+        self.first, self.back, self.piece, self.cum = array("i"), array("i"), array("i"), array("d")
+        self.marks: list[tuple[int, int]] = []  # nodes and edges after each time units were learnt
+
+    def shrink(self, nodes: int) -> None:
+        """Keep that many of the oldest nodes at most; what was learnt at once stays or goes as a whole."""
+        self.marks = [m for m in self.marks if m[0] <= nodes]
+        nodes, edges = self.marks[-1] if self.marks else (0, 0)
+        self.unit = {u: k for u, k in self.unit.items() if k < nodes}
+        del self.first[nodes:], self.back[edges:], self.piece[edges:], self.cum[edges:]
+
+    def learn(self, units: list[str]) -> None:
+        """Filter the lattices of new units, all at once by the characters' places in them."""
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        sizes = np.array([len(u) for u in units], dtype=np.int64)
+        begin, n = np.cumsum(sizes) - sizes, len(codes)
+        place = np.arange(n) - np.repeat(begin, sizes)
+        first_char, last_char, piece, weight = self.pieces.edges(codes, np.repeat(begin + sizes, sizes))
+        # nodes by place, then unit: what a node needs comes before it
+        node = np.empty(n, dtype=np.int64)
+        node[np.argsort(place, kind="stable")] = np.arange(n)
+        into = node[last_char]
+        order = np.argsort(into * (self.pieces.longest + 1) + last_char - first_char)
+        into, piece, weight, first_char = into[order], piece[order], weight[order], first_char[order]
+        back = np.where(place[first_char] > 0, node[first_char - 1], -1)
+        counts = np.bincount(into, minlength=n)  # at least one each
+        first = np.cumsum(counts) - counts
+        # sums of weights as mantissa and exponent; -1 is where a unit begins
+        mantissa, exponent = np.full(n + 1, 0.5), np.ones(n + 1, dtype=np.int64)
+        share = np.empty(len(into))
+        ends = np.cumsum(np.bincount(place))
+        for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
+            lo, hi = first[a], first[b] if b < n else len(into)
+            here, many, e = first[a:b] - lo, counts[a:b], exponent[back[lo:hi]]
+            top = np.maximum.reduceat(e, here)
+            w = np.ldexp(mantissa[back[lo:hi]] * weight[lo:hi], e - np.repeat(top, many))
+            total = np.add.reduceat(w, here)
+            share[lo:hi] = w / np.repeat(total, many)
+            mantissa[a:b], more = np.frexp(total)
+            exponent[a:b] = top + more
+        for rank in range(1, int(counts.max())):
+            edge = first[counts > rank] + rank
+            share[edge] += share[edge - 1]
+        share[first + counts - 1] = 2.0  # the last edge takes what rounding leaves
+        nodes, edges = len(self.first), len(self.cum)
+        self.first.frombytes((first + edges).astype(np.int32).tobytes())
+        self.back.frombytes(np.where(back < 0, -1, back + nodes).astype(np.int32).tobytes())
+        self.piece.frombytes(piece.astype(np.int32).tobytes())
+        self.cum.frombytes(share.tobytes())
+        self.unit.update(zip(units, (node[begin + sizes - 1] + nodes).tolist()))
+        self.marks.append((len(self.first), len(self.cum)))
 
     def sample(self, batch: list[str], keys: list[int]) -> list[np.ndarray]:
         """Ids per text. A space is put before a text that is not empty; decoding takes it away."""
         if len(self.first) > NODES:
-            self.clear()
-        known = self.unit
+            self.shrink(NODES // 2)
         units = [UNIT.findall(" " + t) if t else [] for t in batch]
-        for some in units:
-            for u in some:
-                if u not in known:
-                    self.learn(u)
+        new = [u for u in dict.fromkeys(u for some in units for u in some) if u not in self.unit]
+        if new:
+            self.learn(new)
+        known = self.unit
         # views without a copy, gone before the next units are learnt
-        first, last, back, piece = (np.frombuffer(x, np.int64) for x in (self.first, self.last, self.back, self.piece))
+        first, back, piece = (np.frombuffer(x, np.int32) for x in (self.first, self.back, self.piece))
         cum = np.frombuffer(self.cum, np.float64)
         counts = np.array([len(u) for u in units], dtype=np.int64)
         node = np.fromiter((known[u] for some in units for u in some), dtype=np.int64, count=int(counts.sum()))
@@ -136,12 +181,16 @@ class Sampler:
         drawn = []
         while len(active):
             u = (mix(state[active] + steps[active].astype(np.uint64)) >> np.uint64(11)) * 2.0**-53
-            k = node[active]
-            edge = np.clip(np.searchsorted(cum, k + u, "right"), first[k], last[k])
+            edge = first[node[active]].astype(np.int64)
+            beyond = np.flatnonzero(cum[edge] <= u)
+            while len(beyond):
+                edge[beyond] += 1
+                beyond = beyond[cum[edge[beyond]] <= u[beyond]]
             drawn.append((active, piece[edge]))
             steps[active] += 1
-            node[active] = back[edge]
-            active = active[back[edge] >= 0]
+            before = back[edge]
+            node[active] = before
+            active = active[before >= 0]
         ends = np.cumsum(steps)
         out = np.zeros(int(steps.sum()), dtype=np.int64)
         for step, (which, found) in enumerate(drawn):
@@ -159,6 +208,12 @@ class Sampler:
         return np.array(out, dtype="<u4")
 
 
+@lru_cache(1)
+def sampler_of(path: str, alpha: float, seed: int) -> Sampler:
+    """One per worker: its tasks share what it has learnt, which changes no result."""
+    return Sampler(path, alpha, seed)
+
+
 def decode(ids: list[int], pieces: Pieces) -> str:
     """The text of ids, without the space put before it."""
     return b"".join(map(pieces.bytes.__getitem__, ids)).decode("utf-8", "replace")[1:]
@@ -181,7 +236,7 @@ def encode(docs: DataFrame, model: str, alpha: float = 1.0, seed: int = 42) -> D
     """``doc_id`` and sampled ``ids``. An empty or missing text has none; a missing key counts as -1."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sampler = Sampler(model, alpha, seed)
+        sampler = sampler_of(model, alpha, seed)
         for batch in batches:
             keys = batch["doc_id"].astype("Int64").fillna(-1).tolist()
             for at, some, k in _batches(batch["text"], keys):
@@ -206,7 +261,7 @@ def encoding_digest(docs: DataFrame, model: str, alpha: float = 1.0, seed: int =
     """Ids of every document as count and checksum, and whether decoding gives back the text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sampler = Sampler(model, alpha, seed)
+        sampler = sampler_of(model, alpha, seed)
         for batch in batches:
             keys, rows = batch["doc_id"].astype("Int64").fillna(-1).tolist(), []
             for _, some, k in _batches(batch["text"], keys):
