@@ -18,6 +18,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -62,11 +63,22 @@ class Pieces:
         starts = sorted({t[:k] for t in self.ids for k in range(1, len(t) + 1)})
         state = {"": 0} | {t: k + 1 for k, t in enumerate(starts)}
         moves = np.array([state[t[:-1]] << 21 | ord(t[-1]) for t in starts], dtype=np.int64)
-        order = np.argsort(moves)
-        self.moves, self.to = moves[order], (order + 1).astype(np.int64)
+        # open addressing: a move stands in the first free slot from its hash on; -1 is free
+        self.shift = np.uint64(64 - (4 * len(moves)).bit_length())
+        self.moves, self.to = np.full(1 << (64 - int(self.shift)), -1), np.zeros(1 << (64 - int(self.shift)), dtype=np.int64)
+        left, slot = np.arange(len(moves)), self.slot(moves)
+        while len(left):
+            free = self.moves[slot] < 0
+            self.moves[slot[free]] = moves[left[free]]  # one of those that want the slot gets it
+            placed = self.moves[slot] == moves[left]
+            self.to[slot[placed]] = left[placed] + 1
+            left, slot = left[~placed], (slot[~placed] + 1) & (len(self.moves) - 1)
         self.id_of = np.array([-1, *[self.ids.get(t, -1) for t in starts]], dtype=np.int64)
         self.weight_of = np.array([0.0, *[self.weight.get(t, 0.0) for t in starts]])
 
+    def slot(self, moves: np.ndarray) -> np.ndarray:
+        return ((moves.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
     def edges(self, codes: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First and last character, id and weight of every piece in units put in a row, and of characters that are none.
 
@@ -76,7 +88,11 @@ class Pieces:
         found, alone = [], np.zeros(len(codes), dtype=bool)
         for step in range(self.longest):
             key = state << 21 | codes[at + step]
-            k = np.minimum(np.searchsorted(self.moves, key), len(self.moves) - 1)
+            k = self.slot(key)
+            on = np.flatnonzero((self.moves[k] != key) & (self.moves[k] >= 0))
+            while len(on):  # taken by another move
+                k[on] = (k[on] + 1) & (len(self.moves) - 1)
+                on = on[(self.moves[k[on]] != key[on]) & (self.moves[k[on]] >= 0)]
             hit = self.moves[k] == key
             at, state = at[hit], self.to[k[hit]]
             is_piece = self.id_of[state] >= 0
@@ -165,15 +181,14 @@ class Sampler:
         if len(self.first) > NODES:
             self.shrink(NODES // 2)
         units = [UNIT.findall(" " + t) if t else [] for t in batch]
-        new = [u for u in dict.fromkeys(u for some in units for u in some) if u not in self.unit]
-        if new:
-            self.learn(new)
-        known = self.unit
+        every = list(chain.from_iterable(units))
+        if new := set(every).difference(self.unit):
+            self.learn(list(new))
         # views without a copy, gone before the next units are learnt
         first, back, piece = (np.frombuffer(x, np.int32) for x in (self.first, self.back, self.piece))
         cum = np.frombuffer(self.cum, np.float64)
         counts = np.array([len(u) for u in units], dtype=np.int64)
-        node = np.fromiter((known[u] for some in units for u in some), dtype=np.int64, count=int(counts.sum()))
+        node = np.fromiter(map(self.unit.__getitem__, every), dtype=np.int64, count=len(every))
         start = np.repeat(np.cumsum(counts) - counts, counts)
         seeds = mix(np.array(keys, dtype=np.int64).view(np.uint64) + np.uint64(self.seed))
         state = mix(np.repeat(seeds, counts) + (np.arange(len(node)) - start).astype(np.uint64))
@@ -195,17 +210,21 @@ class Sampler:
         out = np.zeros(int(steps.sum()), dtype=np.int64)
         for step, (which, found) in enumerate(drawn):
             out[ends[which] - 1 - step] = found
+        out, added = self.expand(out)
         cut = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return [self.expand(out[a:b]) for a, b in zip(cut[:-1], cut[1:])]
-
-    def expand(self, ids: np.ndarray) -> np.ndarray:
-        """Byte ids for characters that are no piece."""
-        if not len(ids) or ids.min() >= 0:
-            return ids.astype("<u4")
-        out: list[int] = []
-        for i in ids.tolist():
-            out += [i] if i >= 0 else [self.pieces.first_byte + b for b in chr(-i - 1).encode("utf-8", "surrogatepass")]
-        return np.array(out, dtype="<u4")
+        cut += np.concatenate([[0], np.cumsum(added)])[cut]
+        out = out.astype("<u4")
+        return [out[a:b] for a, b in zip(cut[:-1], cut[1:])]
+
+    def expand(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Byte ids in place of characters that are no piece, and how many ids each of ``ids`` adds."""
+        odd = np.flatnonzero(ids < 0)
+        blobs = [chr(c).encode("utf-8", "surrogatepass") for c in (-ids[odd] - 1).tolist()]
+        size = np.ones(len(ids), dtype=np.int64)
+        size[odd] = [len(b) for b in blobs]
+        out = np.repeat(ids, size)
+        out[out < 0] = self.pieces.first_byte + np.frombuffer(b"".join(blobs), np.uint8).astype(np.int64)
+        return out, size - 1
 
 
 @lru_cache(1)
