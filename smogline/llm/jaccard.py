@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from smogline.llm.common import texts, words_of
 from smogline.llm.components import linked
-from smogline.llm.shingles import digest, rolling
+from smogline.llm.shingles import digest, distinct, rolling
 from smogline.session import stage
 
 #: Slots of the rarity sketch and of the map of wanted documents: 4 MB and 2 MB at any size of the input.
@@ -71,7 +71,7 @@ def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                s = np.unique(rolling(words_of(text), k))
+                s = distinct(rolling(words_of(text), k))
                 n = len(s)
                 if n:
                     rank = level.value[(s & np.uint64(SLOTS - 1)).astype(np.int64)]
@@ -111,7 +111,7 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             s = batch["slot"].to_numpy(dtype=np.int64)
             rows = []
             for text in batch["text"][(shared.value[s >> 3] >> (s & 7)) & 1 == 1]:
-                found = np.unique(rolling(words_of(text), k))
+                found = distinct(rolling(words_of(text), k))
                 rows.append((digest(found), len(found), found.tobytes()))
             if rows:
                 yield pd.DataFrame(rows, columns=["item", "n", "shingles"])
