@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smogline.llm.common import fold, parts_for, texts
-from smogline.llm.shingles import mix
+from smogline.llm.shingles import distinct, mix
 from smogline.session import stage
 
 DEPTH = 5
@@ -90,7 +90,7 @@ class ChunkKeys:
         for held in (False, True):
             blobs = [b for _, h, b in block if h is held]
             if blobs and not self.counted:
-                self.found.append((np.unique(grams(blobs)), None))
+                self.found.append((distinct(grams(blobs)), None))
             elif blobs:
                 keys, n = np.unique(grams(blobs), return_counts=True)
                 self.found.append((keys, n.astype(np.int64) * (not held)))
@@ -110,7 +110,7 @@ class ChunkKeys:
         if self.counted:
             self.found = [merged(self.found)]
         else:
-            keys = np.unique(np.concatenate([np.empty(0, np.uint64), *[k for k, _ in self.found]]))
+            keys = distinct(np.concatenate([np.empty(0, np.uint64), *[k for k, _ in self.found]]))
             self.found = [(keys, np.zeros(len(keys), np.int64))]
 
     def dealt(self, kind: int, parts: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -338,11 +338,15 @@ def lm_scores(docs: DataFrame) -> DataFrame:
         out = []
         for block in blocks:
             every = grams([b for _, _, b in block])
-            own = np.unique(every)  # lookups in order stay near each other
-            scores = value[np.searchsorted(distinct_grams, own)][np.searchsorted(own, every)]
+            order = np.argsort(every)  # lookups in order stay near each other
+            own = every[order]
+            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            scores = np.empty(len(every))
+            scores[order] = np.repeat(value[np.searchsorted(distinct_grams, own[first])], np.diff(first, append=len(own)))
             begins = np.cumsum([0] + [len(b) + 1 for _, _, b in block[:-1]])
             for (i, held, b), total in zip(block, np.add.reduceat(scores, begins)):
-                tokens = np.array([number[w] for w in (*b.split(), END)], np.int64)
+                words = (*b.split(), END)
+                tokens = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
                 out.append((i, held, len(tokens), int((count[tokens] > 0).sum()), train_tokens, float(logs[tokens].sum() - len(tokens) * log_total), float(total)))
         frame = pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
         frame["doc_id"] = frame["doc_id"].astype("Int64")
