@@ -51,25 +51,28 @@ def linked(
     may_link: Callable[[str, str], Column],
     order: list[str],
     extra: DataFrame | None = None,
+    sketches: DataFrame | None = None,
+    near: Callable[[str, str], Column] | None = None,
 ) -> DataFrame:
     """``item``, ``label`` of items linked by verified pairs that share a key.
 
     postings: ``key``, ``item`` and attributes, a row once. Two items can only
     be linked if they share a key. verify: pairs ``a < b`` -> those that are
     links. may_link: a cheap necessary condition on the attributes of aliases.
+    sketches: ``item`` once and more attributes, and near a second necessary
+    condition on these; a pair with a missing attribute stays.
 
     First only neighbours in each key's order are verified; their number is
     linear, and they join the members of a large group. Then every pair that
     still lies in different components is verified, so no link is lost, while
     members of a component that is already known make no pairs.
     """
-    postings = stage(postings, "postings")
     in_key = Window.partitionBy("key").orderBy(*order, "item")
-    chained = postings.select(
-        F.struct(*[F.col(c) for c in postings.columns]).alias("x"),
-        F.lead(F.struct(*[F.col(c) for c in postings.columns])).over(in_key).alias("y"),
-    ).where("y is not null")
-    chained = chained.where(may_link("x", "y"))
+    whole = F.struct(*[F.col(c) for c in postings.columns if c != "key"])
+    postings = postings.select("key", whole.alias("x"), F.lead(whole).over(in_key).alias("y"), F.count("*").over(Window.partitionBy("key")).alias("many"))
+    postings = postings.withColumn("y", F.when(F.col("y").isNotNull() & may_link("x", "y"), F.col("y")))
+    postings = stage(postings.where("y is not null or many > 2"), "postings")
+    chained = postings.where("y is not null")
     pair = [F.least("x.item", "y.item").alias("a"), F.greatest("x.item", "y.item").alias("b")]
     first = chained.select(*pair).where("a <> b")
     if extra is not None:
@@ -78,12 +81,14 @@ def linked(
     links = stage(verify(first), "links")
     labels = components(links)
 
-    labelled = postings.join(labels, "item", "left").withColumn("label", F.coalesce("label", "item"))
+    # keys of two items have had their only pair
+    labelled = postings.where("many > 2").select("key", "x.*").join(labels, "item", "left").withColumn("label", F.coalesce("label", "item"))
     mixed = labelled.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    open_rows = stage(labelled.join(mixed.where("n > 2 and lo <> hi").select("key"), "key"), "open")
+    open_rows = labelled.join(mixed.where("n > 2 and lo <> hi").select("key"), "key")
+    open_rows = stage(open_rows if sketches is None else open_rows.join(sketches, "item", "left"), "open")
     x, y = open_rows.alias("x"), open_rows.alias("y")
     rest = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.item") < F.col("y.item")) & (F.col("x.label") != F.col("y.label")) & may_link("x", "y"))
+        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.item") < F.col("y.item")) & (F.col("x.label") != F.col("y.label")) & may_link("x", "y") & (F.lit(True) if near is None else F.coalesce(near("x", "y"), F.lit(True))))
         .select(F.col("x.item").alias("a"), F.col("y.item").alias("b"))
         .distinct()
         .join(first, ["a", "b"], "left_anti")

@@ -62,7 +62,8 @@ def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Per document the size of its set, a digest of the set and of its prefix; the prefix with its first document in a task.
 
     ``shape`` counts a set's hashes by their first nine bits, once per set and
-    task; it is left out where a count does not fit in a byte.
+    task; it is left out where a count does not fit in a byte. ``sketch`` has
+    the last bit of every count, 512 in all.
     """
     level = docs.sparkSession.sparkContext.broadcast(common_slots(docs, k))  # SLOTS bytes
 
@@ -81,15 +82,16 @@ def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     item = digest(s)
                     counts = np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=512)
                     shape = counts.astype(np.uint8).tobytes() if item not in done and counts.max() < 256 else b""
-                    rows.append((n, item, shape, group, prefix[: 0 if (group, n) in done else size].view(np.int64)))
+                    sketch = np.packbits((counts & 1).astype(np.uint8)).view(np.int64) if item not in done else np.empty(0, dtype=np.int64)
+                    rows.append((n, item, shape, sketch, group, prefix[: 0 if (group, n) in done else size].view(np.int64)))
                     done |= {(group, n), item}
                 else:
-                    rows.append((0, 0, b"", 0, np.empty(0, dtype=np.int64)))
-            out = pd.DataFrame(rows, columns=["n_shingles", "item", "shape", "prefix_digest", "prefix"], index=batch.index)
+                    rows.append((0, 0, b"", np.empty(0, dtype=np.int64), 0, np.empty(0, dtype=np.int64)))
+            out = pd.DataFrame(rows, columns=["n_shingles", "item", "shape", "sketch", "prefix_digest", "prefix"], index=batch.index)
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
             yield out
 
-    return docs.mapInPandas(describe, "doc_id long, n_shingles long, item long, shape binary, prefix_digest long, prefix array<long>")
+    return docs.mapInPandas(describe, "doc_id long, n_shingles long, item long, shape binary, sketch array<long>, prefix_digest long, prefix array<long>")
 
 
 def fetch_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -200,7 +202,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
             & (F.lit(100 + percent) * overlap >= F.lit(percent) * (nx + ny))
         )
 
-    labels = linked(postings, similar(docs, described, members, k, percent), may_link, ["n"])
+    def near(x: str, y: str) -> Column:
+        """Every bit in which sketches differ is an element that only one set has."""
+        bits = [F.bit_count(F.col(f"{x}.sketch")[i].bitwiseXOR(F.col(f"{y}.sketch")[i])) for i in range(8)]
+        return F.lit(100 + percent) * sum(bits[1:], bits[0]) <= F.lit(100 - percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+
+    sketches = full.where("size(sketch) > 0").groupBy("item").agg(F.first("sketch").alias("sketch"))
+    labels = linked(postings, similar(docs, described, members, k, percent), may_link, ["n"], sketches=sketches, near=near)
     label = members.join(labels, "item", "left").select("item", "doc_id", F.coalesce("label", "item").alias("label"))
     lowest = label.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     found = label.join(lowest, "label").select("item", "component_id")
