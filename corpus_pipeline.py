@@ -8,7 +8,7 @@ folder and reads it back for the next one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smogline.llm.common import table
@@ -40,16 +40,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar documents the one with the smallest id; repeated rows once.
+    """Of each component of similar rows one: of the smallest id the longest text; missing ids come last.
 
-    Rows without id, and texts without words, stay.
+    Rows are compared by their texts, whatever their ids; texts without words stay.
     """
-    parts = jaccard_components(docs.select("doc_id", "text")).where("doc_id is not null")
-    parts = parts.groupBy(F.col("doc_id").alias("_id")).agg(F.min("component_id").alias("_component"), F.max("n_shingles").alias("_shingles"))
-    joined = docs.join(parts, docs["doc_id"].cast("long") == F.col("_id"), "left")
-    joined = joined.withColumn("_row", F.row_number().over(Window.partitionBy("_id").orderBy(F.desc(F.length("text")), "text")))
-    stays = F.col("_id").isNull() | (F.col("_shingles") == 0) | ((F.col("_component") == F.col("_id")) & (F.col("_row") == 1))
-    return joined.where(stays).select(*docs.columns)
+    docs = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    parts = jaccard_components(docs.select(F.col("_row").alias("doc_id"), "text"))
+    parts = stage(parts.select(F.col("doc_id").alias("_row"), "n_shingles", F.col("component_id").alias("_component")), "parts")
+    number = F.col("doc_id").cast("long")
+    order = F.struct(number.isNull(), number, -F.length("text"), F.xxhash64("text"), F.col("_row").alias("_row"))
+    found = docs.select("_row", order.alias("_order")).join(parts.where("n_shingles > 0").select("_row", "_component"), "_row")
+    first = found.groupBy("_component").agg(F.min("_order").alias("_order")).select("_order._row")
+    stays = first.unionByName(parts.where("n_shingles = 0").select("_row"))
+    return docs.join(stays, "_row", "left_semi").drop("_row")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

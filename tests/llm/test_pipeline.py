@@ -54,3 +54,28 @@ def test_empty_documents(spark):
     for _, function in corpus_pipeline.STAGES:
         docs = function(spark, docs, FOLDER)
     assert docs.collect() == []
+
+
+def near(spark, texts):
+    found = corpus_pipeline.near_copies(spark, spark.createDataFrame(texts, "doc_id long, text string"), FOLDER)
+    assert found.columns == ["doc_id", "text"]
+    return sorted((tuple(r) for r in found.collect()), key=str)
+
+
+def words(name, n=40):
+    return " ".join(f"{name}{j}" for j in range(n))
+
+
+def test_equal_ids_with_different_texts(spark):
+    a, b, c = words("a"), words("b", 30), words("c")
+    # b is like nothing else; the copy of c goes for the sake of row 1, the clean row of its id stays
+    texts = [(1, c), (7, a), (7, b), (9, c + " x"), (9, words("d")), (9, words("d"))]
+    assert near(spark, texts) == sorted([(1, c), (7, a), (7, b), (9, words("d"))], key=str)
+    assert near(spark, [(7, a), (7, a + " x"), (7, a)]) == [(7, a + " x")]
+
+
+def test_copies_without_id(spark):
+    a, b = words("a"), words("b")
+    texts = [(None, a), (None, a), (None, a + " x"), (None, b), (3, b), (None, words("c")), (None, None), (None, " "), (None, " ")]
+    expected = [(None, a + " x"), (3, b), (None, words("c")), (None, None), (None, " "), (None, " ")]
+    assert near(spark, texts) == sorted(expected, key=str)
