@@ -7,7 +7,8 @@ of a line of its length or up to ``limit`` shorter. Lines that share a key are
 verified by a banded bit-parallel edit distance, linked lines form components,
 and of each component the first line of the smallest document stays.
 
-Lines of fewer than ``min_chars`` characters recur by chance and always stay.
+Lines of fewer than ``min_chars`` characters are compared for exact copies only,
+and those of fewer than ``exact_chars``, or of blanks alone, always stay.
 """
 
 from __future__ import annotations
@@ -102,10 +103,11 @@ def keyed_lines(docs: DataFrame, min_chars: int, limit: int) -> DataFrame:
     return docs.select("text").mapInPandas(run, "id long, n int, key long")
 
 
-def lines_of(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def lines_of(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int = MIN_CHARS) -> DataFrame:
     """Lines long enough to be compared; ``twin`` tells rows of one ``doc_id`` with other texts apart."""
+    n = F.char_length("line")
     split = docs.select("doc_id", F.xxhash64("text").alias("twin"), F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
-    return split.where(F.char_length("line") >= min_chars).withColumn("id", F.xxhash64("line"))
+    return split.where((n >= min_chars) | ((n >= exact_chars) & F.col("line").rlike(r"\S"))).withColumn("id", F.xxhash64("line"))
 
 
 def line_texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -123,21 +125,22 @@ def line_texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
             s = batch["id"].to_numpy(dtype=np.int64) % WANTED
             some = batch[(shared.value[s >> 3] >> (s & 7)) & 1 == 1].drop_duplicates("id")
             chars = [np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) % CLASSES for x in some["line"]]
-            yield some.assign(mix=[np.bincount(c, minlength=CLASSES).astype(np.int32) for c in chars])
+            if len(some):
+                yield some.assign(mix=[np.bincount(c, minlength=CLASSES).astype(np.int32) for c in chars])
 
     some = lines.select("id", "line").mapInPandas(keep, "id long, line string, mix array<int>")
     some = some.join(wanted.select(F.col("item").alias("id")), "id", "left_semi")
     return some.groupBy("id").agg(F.first("line").alias("line"), F.first("mix").alias("mix"))
 
 
-def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, limit: int = LIMIT) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, limit: int = LIMIT, exact_chars: int = MIN_CHARS) -> DataFrame:
     """``doc_id``, ``twin`` and the numbers of the lines that go, for documents that lose some."""
-    lines = lines_of(docs, min_chars)
+    lines = lines_of(docs, min_chars, exact_chars)
     keyed = keyed_lines(docs, min_chars, limit)
     in_key = Window.partitionBy("key")
     shared = keyed.withColumns({"lo": F.min("id").over(in_key), "hi": F.max("id").over(in_key)}).where("lo <> hi")
     postings = stage(shared.select("key", F.col("id").alias("item"), "n").distinct(), "postings")
-    found = stage(line_texts(lines, postings.select("item").distinct()), "lines")
+    found = stage(line_texts(lines.where(F.char_length("line") >= min_chars), postings.select("item").distinct()), "lines")
     postings = postings.join(found.select(F.col("id").alias("item"), *[F.col("mix")[j].alias(f"c{j}") for j in range(CLASSES)]), "item")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,7 +171,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, limit: int = LIMI
     return by_doc.where("size(ats) > 0").groupBy("doc_id", "twin").agg(F.flatten(F.collect_list("ats")).alias("drops"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, limit: int = LIMIT) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, limit: int = LIMIT, exact_chars: int = MIN_CHARS) -> DataFrame:
     """All rows and columns of ``docs`` with ``text`` as it remains, ``n_lines`` and ``n_removed`` added.
 
     A missing text stays missing, an empty one empty, and texts that lose
@@ -176,7 +179,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, limit: int = LIMIT)
     missing ids come last and each such row keeps its own first line.
     """
     plain = texts(docs)
-    drops = dropped_lines(plain, min_chars, limit).select(F.col("doc_id").alias("_id"), F.col("twin").alias("_twin"), F.col("drops").alias("_drops"))
+    drops = dropped_lines(plain, min_chars, limit, exact_chars).select(F.col("doc_id").alias("_id"), F.col("twin").alias("_twin"), F.col("drops").alias("_drops"))
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     joined = docs.join(drops, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_twin")), "left")
     lines = F.split(text, "\n", -1)
@@ -186,8 +189,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, limit: int = LIMIT)
     return joined.select(*columns, F.size(lines).alias("n_lines"), F.coalesce(F.size("_drops"), F.lit(0)).alias("n_removed"))
 
 
-def line_digest(docs: DataFrame) -> DataFrame:
+def line_digest(docs: DataFrame, exact_chars: int = MIN_CHARS) -> DataFrame:
     """Lines, removed lines and checksum of what remains per document."""
-    found = dedup_lines(docs.select("doc_id", "text"))
+    found = dedup_lines(docs.select("doc_id", "text"), exact_chars=exact_chars)
     rest = F.coalesce("text", F.lit(""))
     return found.select("doc_id", "n_lines", F.greatest("n_removed", F.lit(0)).alias("n_removed"), F.length(rest).cast("long").alias("n_chars"), F.sha2(rest, 256).alias("text_sha256"))

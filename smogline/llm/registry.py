@@ -52,7 +52,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines without repeated and nearly repeated ones."""
-    return line_digest(table(spark, sf_dir, "documents"))
+    return line_digest(table(spark, sf_dir, "documents"), exact_chars=1)
 
 
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import numpy as np
 from llm_data import documents
 
 from smogline.llm.linededup import LIMIT, MIN_CHARS, dedup_lines, line_digest, within
+from smogline.llm.registry import op6_line_dedup
 
 SCHEMA = "doc_id long, text string, n_lines string, drops string, id int, twin int"
 
@@ -106,3 +107,12 @@ def test_missing_ids_and_empty_table(spark):
     [lone] = [r for r in dedup_lines(rows(spark, [(None, line + "\n" + line), (3, "x")])).collect() if r["doc_id"] is None]
     assert lone["text"] == line
     assert dedup_lines(rows(spark, [])).collect() == []
+
+
+def test_op6_removes_exact_copies_of_short_lines(spark, tmp_path):
+    long = "a line that is long enough to be compared with the other lines"
+    texts = [(1, "To.\n\nThe.\n" + long), (2, "To.\n\nTa.\n" + long + "!"), (3, "The.\n  \nTo.\nThe.\nmine"), (4, "\n  \nmine\nmine"), (5, None)]
+    expected = [(1, 0, texts[0][1]), (2, 2, "\nTa."), (3, 3, "  \nmine"), (4, 2, "\n  "), (5, 0, "")]
+    rows(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted((r["doc_id"], r["n_removed"], r["text_sha256"]) for r in op6_line_dedup(spark, str(tmp_path)).collect())
+    assert found == [(i, n, hashlib.sha256(t.encode()).hexdigest()) for i, n, t in expected]
