@@ -48,16 +48,32 @@ def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return q.astype(np.int64) @ c.astype(np.int64).T
 
 
+def numbered(vectors: DataFrame) -> DataFrame:
+    """The vectors with a number of their own per row, staged so that it stays the same."""
+    return stage(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
+
+
+def dealt(vectors: DataFrame, n_runs: int) -> DataFrame:
+    """Numbered vectors with their ``run``; rows of one id, or copies, spread over all runs."""
+    return vectors.withColumn("run", F.pmod(F.xxhash64("row"), F.lit(n_runs)))
+
+
+def asked_of(vectors: DataFrame, every: int) -> DataFrame:
+    """The queries: of every id divisible by ``every`` the smallest vector."""
+    return vectors.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+
+
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100, block: int = QUERY_BLOCK, bins: int = BINS) -> DataFrame:
     """The ``k`` highest integer inner products per query, ties to the smaller id.
 
     vectors: ``vec_id``, ``v`` (whole numbers as doubles). Queries are the rows
     whose id is divisible by ``every``, candidates all rows of another id and
     the same length; with fewer than ``k`` all are returned. A repeated query
-    row is one query; repeated candidates are candidates of their own.
+    id is one query, with the smallest of its vectors in the order of arrays;
+    repeated candidates are candidates of their own.
     """
-    vectors = stage(vectors, "vectors")
-    asked = vectors.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.first("v").alias("v"))
+    vectors = numbered(vectors)
+    asked = asked_of(vectors, every)
     n_blocks = (asked.count() - 1) // block + 1
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(max(n_blocks, 1))).cast("int"))
     peak = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.abs(x))
@@ -70,8 +86,8 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, block: int = QUERY_
     def paired(state: DataFrame) -> DataFrame:
         """Blocks of queries with their state, dealt to every run of candidates."""
         blocks = state.groupBy("block").agg(F.collect_list(F.struct("vec_id", "v", "lo", "width")).alias("queries"))
-        dealt = vectors.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(n_blocks, 1) - 1))))
-        runs = dealt.groupBy("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_runs)).alias("run")).agg(F.collect_list(F.struct("vec_id", "v")).alias("candidates"))
+        each = dealt(vectors, n_runs).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(n_blocks, 1) - 1))))
+        runs = each.groupBy("block", "run").agg(F.collect_list(F.struct("vec_id", "v")).alias("candidates"))
         return runs.join(blocks, "block").select("queries", "candidates")
 
     n_runs = vectors.count() // CANDIDATES + 1

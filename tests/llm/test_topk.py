@@ -2,7 +2,7 @@ import math
 
 import pytest
 
-from smogline.llm.topk import quantised, top_k
+from smogline.llm.topk import dealt, numbered, quantised, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, label int, score string, block string"
 
@@ -53,3 +53,17 @@ def test_fewer_than_k_and_none(spark):
 
 def test_large_numbers_stay_exact(spark):
     check(spark, [(0, [250001.0, 3.0]), (1, [250001.0, 1.0]), (2, [250001.0, 2.0]), (3, [-250001.0, 2.0])])
+
+
+def test_a_repeated_query_id_asks_with_its_smallest_vector(spark):
+    others = [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [2.0, 2.0])]
+    query = [(100, [3.0, -1.0]), (100, [-1.0, 5.0]), (100, [-1.0, 4.0]), (100, [3.0, -1.0])]
+    for order in (query, query[::-1], query[2:] + query[:2]):
+        found = top_k(quantised(rows(spark, order + others))).collect()
+        assert sorted(tuple(r) for r in found) == brute([(100, [-1.0, 4.0]), *others])
+
+
+def test_rows_of_one_id_are_dealt_to_all_runs(spark):
+    vectors = [(7, [1.0, 0.5])] * 2000 + [(1000 + i, [1.0, 0.5]) for i in range(4000)]
+    sizes = [r["count"] for r in dealt(numbered(quantised(rows(spark, vectors))), 12).groupBy("run").count().collect()]
+    assert len(sizes) == 12 and sum(sizes) == 6000 and max(sizes) < 700
