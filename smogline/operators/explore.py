@@ -173,18 +173,13 @@ def axis_range(df: DataFrame, column: str = INDEX, pad: float = 5.0) -> DataFram
 def explore(df: DataFrame) -> dict[str, DataFrame]:
     """All exploratory results of a cleaned table.
 
-    One pass gathers what histogram, density and correlation need beforehand.
+    One pass gathers what histogram and density need beforehand.
     """
-    columns = present(df, CORRELATED)
-    facts = df.agg(
-        *[F.avg(c).alias(c) for c in columns],
-        *[c.alias(f"e{k}") for k, c in enumerate(_extent_columns(INDEX))],
-    ).first()
-    index = Extent(*facts[len(columns) :])
+    index = Extent(*df.agg(*[c.alias(f"e{k}") for k, c in enumerate(_extent_columns(INDEX))]).first())
     return {
         "histogram": histogram(df, known_extent=index),
         "density": density(df, known_extent=index),
-        "correlation": correlation_matrix(df, columns, dict(zip(columns, facts))),
+        "correlation": correlation_matrix(df, present(df, CORRELATED)),
         "top_cities": top_means(df),
         "monthly_trend": monthly_trend(df),
         "bucket_counts": bucket_counts(df),

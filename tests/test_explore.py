@@ -51,6 +51,29 @@ def test_correlation_matches_the_built_in_with_a_large_offset(spark):
             assert abs(found[x, y] - both.agg(F.corr(x, y)).first()[0]) < 1e-9
 
 
+def test_correlation_of_complete_rows_far_from_the_column_mean(spark):
+    """Complete rows near 5e7, the rest of x and y near zero; and tiny values beside a huge mean."""
+    far = spark.range(200_000).select(
+        F.when(F.col("id") < 2000, F.rand(4) + 5e7).otherwise(F.rand(5)).alias("x"), F.rand(6).alias("z"), "id"
+    )
+    far = far.select("x", F.when(F.col("id") < 2000, F.col("x") + F.col("z")).alias("y"), "z")
+    both = far.where("y is not null")
+    found = matrix(far, ["x", "y", "z"])
+    for a, b in ("xy", "yx", "xx", "yy", "yz", "zy"):
+        assert abs(found[a, b] - both.agg(F.corr(a, b)).first()[0]) < 1e-6, (a, b)
+    small = spark.range(1000).select(
+        F.when(F.col("id") < 500, F.col("id") * 1e-9).otherwise(1e12).alias("x"), F.when(F.col("id") < 500, F.col("id") * 2.0).alias("y")
+    )
+    assert math.isclose(matrix(small, ["x", "y"])["x", "y"], 1.0)
+
+
+def test_correlation_merges_patterns_and_leaves_out_what_is_not_finite(table):
+    df = table({"x": "double", "y": "double", "z": "double"}, (1.0, 1.0, None), (2.0, 5.0, None), (7.0, 3.0, 1.0), (9.0, 4.0, float("nan")))
+    found = matrix(df, ["x", "y", "z"])
+    assert math.isclose(found["x", "y"], df.agg(F.corr("x", "y")).first()[0])
+    assert found["x", "z"] is None and found["z", "z"] is None
+
+
 def test_correlation_names_with_dots(table):
     df = table({"PM2.5": "double", "y": "double"}, (1.0, 1.0), (2.0, 0.0))
     assert math.isclose(matrix(df, ["PM2.5", "y"])["PM2.5", "y"], -1.0)
