@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from smogline.llm.common import table
 from smogline.llm.contexts import lm_scores
+from smogline.llm.exactdedup import dedup_digest
+from smogline.llm.frames import fim_digest
 from smogline.llm.jaccard import jaccard_components
 from smogline.llm.licenses import license_scan
 from smogline.llm.linededup import line_digest
 from smogline.llm.packing import pack, pieces_of
+from smogline.llm.periodic import run_digest
 from smogline.llm.segmenter import encoding_digest
 from smogline.llm.sharding import shard_digest
 from smogline.llm.simhash import edited_fingerprints
@@ -75,11 +78,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document, and the row of it that stays."""
+    return dedup_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, and its text without the repeats."""
+    return run_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of every document, and the text restored from it."""
+    return fim_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_packing, op3_fingerprints, op4_lm_scores, op5_sharding,
         op6_line_dedup, op7_licenses, op8_jaccard_join, op9_topk, op10_toxicity,
+        op11_exact_dedup, op12_periodic_runs, op13_fill_in_middle,
     )
 }
 ORACLE: dict[str, str] = {}
