@@ -9,13 +9,7 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    OneVsRest,
-    OneVsRestModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (
     Imputer,
     IndexToString,
@@ -24,11 +18,12 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from smogline.operators.boosting import SOFTMAX, SQUARED, GradientBoosting
 from smogline.operators.evaluate import (
     best_model,
     classification_metrics,
@@ -58,19 +53,22 @@ class Profile:
     seed: int = 42
     # Room for node statistics per pass over the data.
     memory_mb: int = 1024
-    # Boosted classifiers and models fitted at once. Each keeps its own binned
-    # copy of the rows, so more than one pays where the rows are few.
-    parallelism: int = 2
+    # Models fitted at once. Each keeps its own binned copy of the rows, so more
+    # than one pays where the rows are few.
     at_once: int = 1
 
 
 FULL = Profile("full", trees=200, depth=15, stages=200, stage_depth=5, iterations=1000, bins=128)
-SMOKE = Profile("smoke", trees=10, depth=8, stages=5, stage_depth=5, iterations=50, bins=32, memory_mb=256, parallelism=6, at_once=3)
+SMOKE = Profile("smoke", trees=10, depth=8, stages=5, stage_depth=5, iterations=50, bins=32, memory_mb=256, at_once=3)
 
 REGRESSION = "regression"
 CLASSIFICATION = "classification"
 
 
+def boosting(loss: str, p: Profile) -> GradientBoosting:
+    return GradientBoosting(loss=loss, maxIter=p.stages, stepSize=p.rate, maxDepth=p.stage_depth, maxBins=p.bins)
+
+
 def regressors(p: Profile = FULL) -> dict[str, object]:
     """Estimators by name, in order of preference (M6-M8)."""
     io = {"featuresCol": "features", "labelCol": "label"}
@@ -81,21 +79,17 @@ def regressors(p: Profile = FULL) -> dict[str, object]:
             numTrees=p.trees, maxDepth=p.depth, minInstancesPerNode=p.leaf,
             featureSubsetStrategy="all", **trees, **io,
         ),
-        "Gradient Boosting Regressor": GBTRegressor(
-            maxIter=p.stages, stepSize=p.rate, maxDepth=p.stage_depth, **trees, **io,
-        ),
+        "Gradient Boosting Regressor": boosting(SQUARED, p),
     }
 
 
 def classifiers(p: Profile = FULL, train_rows: int = 1) -> dict[str, object]:
     """Estimators by name.
 
-    The penalty of the logistic model is that of C = 1 on a summed loss. Spark
-    boosts two classes only, hence one boosted model per class.
+    The penalty of the logistic model is that of C = 1 on a summed loss.
     """
     io = {"featuresCol": "features", "labelCol": "label"}
     trees = {"seed": p.seed, "maxBins": p.bins, "maxMemoryInMB": p.memory_mb}
-    boosted = GBTClassifier(maxIter=p.stages, stepSize=p.rate, maxDepth=p.stage_depth, **trees, **io)
     return {
         "Logistic Regression": LogisticRegression(
             family="multinomial", maxIter=p.iterations, regParam=1.0 / train_rows,
@@ -105,7 +99,7 @@ def classifiers(p: Profile = FULL, train_rows: int = 1) -> dict[str, object]:
             numTrees=p.trees, maxDepth=p.depth, minInstancesPerNode=p.leaf,
             featureSubsetStrategy="sqrt", **trees, **io,
         ),
-        "Gradient Boosting Classifier": OneVsRest(classifier=boosted, parallelism=p.parallelism, **io),
+        "Gradient Boosting Classifier": boosting(SOFTMAX, p),
     }
 
 
@@ -235,18 +229,13 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 def importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """Rows (feature, importance) of a fitted model; none for one without.
 
-    Names come from the assembler of the same model. For one boosted model per
-    class it is their mean, scaled to sum to one.
+    Names come from the assembler of the same model.
     """
     names = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
     fitted = next(s for s in reversed(model.stages) if not isinstance(s, IndexToString))
-    parts = fitted.models if isinstance(fitted, OneVsRestModel) else [fitted]
     rows = []
-    if all(hasattr(p, "featureImportances") for p in parts):
-        vectors = [p.featureImportances.toArray() for p in parts]
-        totals = [float(sum(v[k] for v in vectors)) for k in range(len(names))]
-        whole = sum(totals) or 1.0
-        rows = [(name, total / whole) for name, total in zip(names, totals)]
+    if hasattr(fitted, "featureImportances"):
+        rows = [(name, float(share)) for name, share in zip(names, fitted.featureImportances.toArray())]
     else:
         log.warning("%s has no feature importances", type(fitted).__name__)
     return small_table(spark, rows, {"feature": "string", "importance": "double"})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -44,6 +45,19 @@ def local_session(name: str = "smogline", cpus: str | int = "*", memory: str = "
     return spark
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def reachable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it, besides ``--py-files``."""
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        environment["OPENBLAS_NUM_THREADS"] = "1"  # tasks share the cores already
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, from ``spark.checkpoint.dir``.
 
