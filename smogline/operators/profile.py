@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smogline.operators.quantiles import exact_quantiles
+from smogline.operators.quantiles import summarise
 from smogline.schema import DATE, PLACE
+from smogline.session import small_table
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -57,40 +58,21 @@ def distinct_count(df: DataFrame, column: str) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: list[str] | None = None, digits: int | None = 2) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles."""
+    """Count, mean, sample deviation, extremes and exact quartiles.
+
+    Two scans: the first measures all columns while it sketches them.
+    """
     if columns is None:
         columns = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-    quartiles = exact_quantiles(df, columns, QUARTILES)
-    parts = {
-        "count": F.count,
-        "mean": F.avg,
-        "std": F.stddev_samp,
-        "min": F.min,
-        "max": F.max,
-    }
-    one = df.agg(
-        *[
-            F.struct(*[f(F.col(c).cast("double")).cast("double").alias(k) for k, f in parts.items()]).alias(c)
-            for c in columns
-        ]
-    )
-    names = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
-    quarter_map = F.create_map(
-        *[
-            x
-            for c in columns
-            for x in (F.lit(c), F.array(*[F.lit(q).cast("double") for q in quartiles[c]]))
-        ]
-    )
-    wide = one.unpivot([], columns, "column", "s").select(
-        "column",
-        "s.*",
-        *[quarter_map[F.col("column")][k].alias(n) for k, n in enumerate(["q25", "q50", "q75"])],
-    )
-    shown = {n: F.col(n) if digits is None or n == "count" else F.round(n, digits) for n in names}
-    return wide.select(
-        "column", shown["count"].cast("long").alias("count"), *[shown[n].alias(n) for n in names[1:]]
-    )
+    parts = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    quartiles, measured = summarise(df, columns, QUARTILES, parts)
+    rows = []
+    for c in columns:
+        m = measured[c]
+        rows.append((c, m["count"], m["mean"], m["std"], m["min"], *quartiles[c], m["max"]))
+    names = ["mean", "std", "min", "q25", "q50", "q75", "max"]
+    table = small_table(df.sparkSession, rows, {"column": "string", "count": "long", **dict.fromkeys(names, "double")})
+    return table if digits is None else table.withColumns({n: F.round(n, digits) for n in names})
 
 
 def describe_dates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

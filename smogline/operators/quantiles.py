@@ -2,26 +2,38 @@
 
 ``percentile`` and ``median`` keep a value-to-count map per column on a single
 reducer. Here a column is narrowed instead: mergeable sketches suggest pivot
-values, one counting pass tells on which side of each pivot the wanted ranks
-lie, and only the open interval around them stays. When few enough rows are
-left they are ranked exactly. The sketches steer the search; the counts decide,
-so the answer does not depend on how good a sketch is.
+values, counts tell on which side of each pivot the wanted ranks lie, and only
+the open interval around them stays. When few enough rows are left they are
+ranked exactly. The sketches steer the search; the counts decide, so the answer
+does not depend on how good a sketch is.
+
+Quantiles take two scans at any size. The first makes the sketches, along with
+other measures of the columns. The second gives every value the number of its
+bucket between the pivots and counts it; values next to the wanted ranks (a few
+in ten thousand, by the bound of the sketch) keep themselves as well. These
+counts are written, and all further narrowing reads them instead of the table.
+``select_ranks`` narrows by scans of the table; it serves keys whose
+distribution is known, so that its first pivots are near.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smogline.session import small_table
+from smogline.session import small_table, stage
 
 # Rows of one interval that a single task may rank.
 RANKED_ROWS = 1 << 18
 SKETCH_ACCURACY = 10_000
+# Columns of so many values keep all of them; with more, the error of a sketch
+# is at least some ranks, and twice the error covers rounding too.
+KEPT_WHOLE = 1 << 18
 # Counters per pass.
 COUNTERS = 60
 
@@ -203,38 +215,184 @@ def _rank_inside(df, series, intervals) -> list[tuple[str, int, Hit]]:
     return found
 
 
-def present_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    """Non-NULL values per column, in one pass."""
-    return df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+@dataclass(frozen=True)
+class Gap:
+    """Open interval of one column's written counts that holds wanted ranks; ``values`` different ones lie inside."""
 
+    column: int
+    bucket: int
+    below: int
+    values: int
+    ranks: tuple[int, ...]
+    low: float | None = None
+    high: float | None = None
 
-def exact_quantiles(
+    def holds(self) -> Column:
+        inside = (F.col("column") == self.column) & (F.col("bucket") == self.bucket)
+        if self.low is not None:
+            inside = inside & (F.col("value") > F.lit(self.low))
+        if self.high is not None:
+            inside = inside & (F.col("value") < F.lit(self.high))
+        return inside
+
+
+def _bucket(value: Column, pivots: list[float]) -> Column:
+    """2 k for values between pivots k - 1 and k, 2 k + 1 for pivot k itself."""
+    number = F.lit(2 * len(pivots))
+    for k in reversed(range(len(pivots))):
+        number = F.when(value < F.lit(pivots[k]), 2 * k).when(value == F.lit(pivots[k]), 2 * k + 1).otherwise(number)
+    return F.when(value.isNotNull(), number)
+
+
+def summarise(
     df: DataFrame,
     columns: list[str],
     probabilities: list[float],
+    measures: dict[str, Callable[[Column], Column]] | None = None,
     ranked_rows: int = RANKED_ROWS,
-) -> dict[str, list[float | None]]:
-    """Quantiles with linear interpolation between neighbours.
+) -> tuple[dict[str, list[float | None]], dict[str, dict[str, float]]]:
+    """Exact quantiles and other measures of each column, in two scans of the table.
 
-    A column without values gives None. The result is a few numbers per column.
+    Quantiles interpolate linearly between neighbours; a column without values
+    gives None. The result is a few numbers per column.
     """
     if not columns:
-        return {}
-    counts = present_counts(df, columns)
-    places = {c: [(counts[c] - 1) * p for p in probabilities] for c in columns if counts[c]}
-    ranks = {c: [f(x) for x in xs for f in (math.floor, math.ceil)] for c, xs in places.items()}
-    values = select_ranks(
-        df, {c: F.col(c).cast("double") for c in columns}, ranks, counts, ranked_rows
+        return {}, {}
+    measures = measures or {}
+    margin = 2.0 / SKETCH_ACCURACY
+    places = sorted({min(1.0, max(0.0, p + d)) for p in probabilities for d in (-margin, margin)})
+    series = {c: F.col(c).cast("double") for c in columns}
+    first = df.agg(
+        *[
+            F.struct(
+                F.count(v).alias("_count"),
+                F.percentile_approx(v, places, SKETCH_ACCURACY).alias("_sketch"),
+                *[f(v).alias(name) for name, f in measures.items()],
+            ).alias(f"c{k}")
+            for k, v in enumerate(series.values())
+        ]
+    ).first()
+    seen = [first[f"c{k}"] for k in range(len(columns))]
+    counts = {c: s["_count"] for c, s in zip(columns, seen)}
+    measured = {c: {name: s[name] for name in measures} for c, s in zip(columns, seen)}
+
+    pivots, kept = [], []
+    for c, s in zip(columns, seen):
+        at_place = dict(zip(places, s["_sketch"] or []))
+        pivots.append(sorted(set(at_place.values())))
+        near = set()
+        for p in probabilities if at_place else []:
+            low, high = (pivots[-1].index(at_place[min(1.0, max(0.0, p + d))]) for d in (-margin, margin))
+            near |= {2 * k for k in range(low + 1, high + 1)}
+        kept.append(set(range(0, 2 * len(pivots[-1]) + 1, 2)) if counts[c] <= KEPT_WHOLE else near)
+    numbered = df.select(
+        *[v.alias(f"v{k}") for k, v in enumerate(series.values())],
+        *[_bucket(v, pivots[k]).alias(f"b{k}") for k, v in enumerate(series.values())],
     )
+    parts = []
+    for k in range(len(columns)):
+        stays = F.when(F.col(f"b{k}").isin(kept[k]), F.col(f"v{k}")) if kept[k] else F.lit(None).cast("double")
+        parts += [F.lit(k), F.col(f"b{k}"), stays]
+    counted = (
+        numbered.select(F.stack(F.lit(len(columns)), *parts).alias("column", "bucket", "value"))
+        .where("bucket is not null")
+        .groupBy("column", "bucket", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    counted = stage(counted, "value-counts")
+
+    steps = {c: [(counts[c] - 1) * p for p in probabilities] for c in columns if counts[c]}
+    ranks = {c: sorted({f(x) for x in xs for f in (math.floor, math.ceil)}) for c, xs in steps.items()}
+    sizes: dict[int, list[tuple[int, int, int]]] = {}
+    for r in counted.groupBy("column", "bucket").agg(F.sum("n").alias("n"), F.count("value").alias("values")).collect():
+        sizes.setdefault(r["column"], []).append((r["bucket"], r["n"], r["values"]))
+    found: dict[str, dict[int, float]] = {c: {} for c in columns}
+    gaps, unkept = [], {}
+    for k, c in enumerate(columns):
+        below = 0
+        for bucket, n, values in sorted(sizes.get(k, [])):
+            inside = tuple(r for r in ranks[c] if below <= r < below + n)
+            if inside and bucket % 2:
+                found[c].update(dict.fromkeys(inside, pivots[k][bucket // 2]))
+            elif inside and bucket in kept[k]:
+                gaps.append(Gap(k, bucket, below, values, inside))
+            elif inside:  # a sketch beyond its bound
+                unkept.setdefault(c, []).extend(inside)
+            below += n
+    for k, rank, value in _rank_counted(counted, gaps, ranked_rows):
+        found[columns[k]][rank] = value
+    if unkept:
+        late = select_ranks(df, {c: series[c] for c in unkept}, unkept, counts, ranked_rows)
+        for c, hits in late.items():
+            found[c].update({rank: hit.value for rank, hit in hits.items()})
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
-    for c, xs in places.items():
-        result[c] = [
-            _between(
-                values[c][math.floor(x)].value, values[c][math.ceil(x)].value, x - math.floor(x)
-            )
-            for x in xs
-        ]
-    return result
+    for c, xs in steps.items():
+        result[c] = [_between(found[c][math.floor(x)], found[c][math.ceil(x)], x - math.floor(x)) for x in xs]
+    return result, measured
+
+
+def _rank_counted(counted: DataFrame, gaps: list[Gap], ranked_rows: int) -> list[tuple[int, int, float]]:
+    """(column, rank, value) of all ranks in the gaps, from the written counts alone."""
+    while wide := [g for g in gaps if g.values > ranked_rows]:
+        gaps = [g for g in gaps if g.values <= ranked_rows] + _narrower(counted, wide)
+    if not gaps:
+        return []
+    inside = _labelled(counted, gaps)
+    upto = Window.partitionBy("gap").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = inside.withColumn("upto", F.sum("n").over(upto))
+    wanted = F.array(*[F.array(*[F.lit(r - g.below).cast("long") for r in g.ranks]) for g in gaps])
+    hits = running.withColumn("rank", F.explode(wanted[F.col("gap")])).where("rank < upto and rank >= upto - n")
+    return [(gaps[r["gap"]].column, gaps[r["gap"]].below + r["rank"], r["value"]) for r in hits.select("gap", "rank", "value").collect()]
+
+
+def _labelled(counted: DataFrame, gaps: list[Gap]) -> DataFrame:
+    number = F.lit(None).cast("int")
+    for k, gap in enumerate(gaps):
+        number = F.when(gap.holds(), k).otherwise(number)
+    return counted.withColumn("gap", number).where("gap is not null")
+
+
+def _narrower(counted: DataFrame, gaps: list[Gap]) -> list[Gap]:
+    """Each gap cut at pivots between its values; the parts that hold its ranks."""
+    places = [k / 32 for k in range(33)]
+    inside = _labelled(counted, gaps)
+    sketches = inside.groupBy("gap").agg(F.percentile_approx("value", places, 1000).alias("pivots"))
+    pivots = {r["gap"]: sorted(set(r["pivots"])) for r in sketches.collect()}
+    number = F.lit(None).cast("int")
+    for k, own in pivots.items():
+        number = F.when(F.col("gap") == k, _bucket(F.col("value"), own)).otherwise(number)
+    totals = inside.withColumn("part", number).groupBy("gap", "part").agg(F.sum("n").alias("n"), F.count("value").alias("values"))
+    sizes: dict[int, list[tuple[int, int, int]]] = {}
+    for r in totals.collect():
+        sizes.setdefault(r["gap"], []).append((r["part"], r["n"], r["values"]))
+    parts = []
+    for k, gap in enumerate(gaps):
+        below = gap.below
+        for part, n, values in sorted(sizes[k]):
+            ranks = tuple(r for r in gap.ranks if below <= r < below + n)
+            own = pivots[k]
+            if ranks and part % 2:  # a pivot itself: an interval with one value
+                low, high = (math.nextafter(own[part // 2], end) for end in (-math.inf, math.inf))
+                parts.append(replace(gap, ranks=ranks, below=below, values=1, low=low, high=high))
+            elif ranks:
+                low = own[part // 2 - 1] if part else gap.low
+                high = own[part // 2] if part // 2 < len(own) else gap.high
+                parts.append(replace(gap, ranks=ranks, below=below, values=values, low=low, high=high))
+            below += n
+    return parts
+
+
+def exact_quantiles(
+    df: DataFrame,
+    columns: list[str],
+    probabilities: list[float],
+    ranked_rows: int = RANKED_ROWS,
+) -> dict[str, list[float | None]]:
+    """Quantiles with linear interpolation between neighbours, in two scans.
+
+    A column without values gives None. The result is a few numbers per column.
+    """
+    return summarise(df, columns, probabilities, ranked_rows=ranked_rows)[0]
 
 
 def _between(low: float, high: float, share: float) -> float:

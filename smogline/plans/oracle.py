@@ -326,15 +326,6 @@ ORACLE: dict[str, str] = {
     "axis_range": _with(
         CLEAN, "SELECT greatest(0e0, min(AQI) - 5e0) AS axis_low, max(AQI) + 5e0 AS axis_high FROM clean"
     ),
-    "explore_bundle": _with(
-        CLEAN,
-        """SELECT 'histogram' AS result, CAST(60 AS BIGINT) AS n_rows UNION ALL SELECT 'density', 300
-        UNION ALL SELECT 'correlation', 169
-        UNION ALL SELECT 'top_cities', (SELECT least(15, count(DISTINCT City)) FROM clean)
-        UNION ALL SELECT 'monthly_trend', (SELECT count(DISTINCT month(Date)) FROM clean)
-        UNION ALL SELECT 'bucket_counts', (SELECT count(DISTINCT AQI_Bucket) FROM clean)
-        UNION ALL SELECT 'axis_range', 1""",
-    ),
     "random_split": _with(SPLIT, f"SELECT k, City, {DAY}, AQI, is_test FROM marked"),
     "split_counts": _with(
         SPLIT, "SELECT is_test, count(*) AS n, sum(AQI) AS sum_aqi FROM marked GROUP BY is_test"
@@ -418,3 +409,20 @@ ORACLE: dict[str, str] = {
         CAST(max(Date) AS VARCHAR) AS last_day, CAST(20 AS INTEGER) AS n_features FROM clean""",
     ),
 }
+
+# Keys and measures of each exploratory result.
+BUNDLE = {
+    "histogram": ("CAST(bin AS VARCHAR)", ["low", "high", "n"]),
+    "density": ("CAST(point AS VARCHAR)", ["x", "density"]),
+    "correlation": ("\"row\" || '|' || col", ["value"]),
+    "top_cities": ("City", ["mean_aqi"]),
+    "monthly_trend": ("CAST(Month AS VARCHAR)", ["mean_aqi", "smoothed_aqi"]),
+    "bucket_counts": ("AQI_Bucket", ["ord", "n"]),
+    "axis_range": ("''", ["axis_low", "axis_high"]),
+}
+ORACLE["explore_bundle"] = _union(
+    f"SELECT '{name}' AS result, {key} AS key, '{m}' AS measure, CAST({m} AS DOUBLE) AS value "
+    f"FROM ({ORACLE['correlation_matrix' if name == 'correlation' else name]})"
+    for name, (key, measures) in BUNDLE.items()
+    for m in measures
+)

@@ -194,12 +194,10 @@ def axis_range(spark, folder):
 
 
 def explore_bundle(spark, folder):
-    """Rows of each exploratory result."""
-    bundle = None
-    for name, result in explore.explore(staged_clean(spark, folder)).items():
-        size = result.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("result"), "n_rows")
-        bundle = size if bundle is None else bundle.unionByName(size)
-    return bundle
+    """Every value of every exploratory result."""
+    rows = explore.long_rows(explore.explore(staged_clean(spark, folder)))
+    digits = F.when(F.col("measure") == "density", F.round("value", 9)).otherwise(F.round("value", 6))
+    return rows.withColumn("value", digits)
 
 
 # Splits and scaling

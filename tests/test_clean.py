@@ -48,6 +48,51 @@ def test_quantiles_do_not_depend_on_narrowing(spark):
             assert all(abs(a - b) < 1e-9 * max(1, abs(b)) for a, b in zip(ours[c], native[c])), (limit, c)
 
 
+def scans(spark, df):
+    """The table, and a counter of the rows that its scans have read."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), read
+
+
+def test_quantiles_take_two_scans_at_any_size(spark, monkeypatch):
+    rows_each = 30_000
+    df = spark.range(rows_each).select(
+        (F.pmod(F.col("id") * 7919, F.lit(rows_each)) * 1.5).alias("a"), F.rand(3).alias("b"), (F.col("id") % 7).cast("double").alias("c")
+    )
+    shares = [0.1, 0.25, 0.5, 0.9]
+    native = df.agg(*[F.percentile(c, shares).alias(c) for c in df.columns]).first()
+    for whole, limit in ((1 << 18, 1 << 18), (1 << 18, 20), (25_000, 2)):
+        monkeypatch.setattr(quantiles, "KEPT_WHOLE", whole)
+        counted, read = scans(spark, df)
+        found, measured = quantiles.summarise(counted, df.columns, shares, {"n": F.count, "top": F.max}, limit)
+        assert read.value == 2 * rows_each, (whole, limit)
+        for c in df.columns:
+            assert all(abs(a - b) < 1e-9 * max(1, abs(b)) for a, b in zip(found[c], native[c])), (whole, limit, c)
+            assert measured[c]["n"] == rows_each
+        assert measured["a"]["top"] == (rows_each - 1) * 1.5
+
+
+def test_large_columns_keep_only_values_near_the_ranks(spark, monkeypatch):
+    """Beyond KEPT_WHOLE few values are written; a sketch that is wrong costs scans, not the result."""
+    written = []
+    monkeypatch.setattr(quantiles, "KEPT_WHOLE", 1000)
+    monkeypatch.setattr(quantiles, "stage", lambda df, name, real=quantiles.stage: written.append(real(df, name)) or written[-1])
+    df = spark.range(400_000).select(F.rand(9).alias("x"))
+    [[low, middle]] = [quantiles.exact_quantiles(df, ["x"], [0.25, 0.5])["x"]]
+    assert [low, middle] == list(df.agg(F.percentile("x", [0.25, 0.5])).first()[0])
+    assert written[0].count() < 1000
+    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 10)
+    monkeypatch.setattr(F, "percentile_approx", lambda v, places, accuracy, real=F.percentile_approx: real(v, [p / 2 for p in places], 100))
+    small = spark.range(5000).select((F.col("id") * 1.0).alias("x"))
+    assert quantiles.exact_quantiles(small, ["x"], [0.9])["x"] == [4499.1]
+
+
 def test_fill(table):
     df = table({"NO": "double", "CO": "double", "other": "double"}, (1.0, None, None), (None, None, 5.0), (3.0, None, None))
     assert rows(clean.fill_medians(df)) == [(1.0, None, None), (2.0, None, 5.0), (3.0, None, None)]

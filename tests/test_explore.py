@@ -115,8 +115,8 @@ def test_density_integrates_to_nearly_one(cleaned):
     assert 0.9 < sum(p["density"] for p in points) * width < 1.0
 
 
-def test_density_does_not_depend_on_merging_values(spark):
-    """Mostly different values take the path without merging."""
+def test_density_counts_equal_values_once(spark):
+    """Different and repeated values take one path."""
     values = spark.range(400).select((F.col("id") * 1.37 % 91).alias("v"))
     doubled = values.union(values).union(values).union(values).union(values).union(values)
     single = {r["point"]: r["density"] for r in explore.density(values, "v", 20).collect()}
@@ -132,6 +132,29 @@ def test_density_does_not_depend_on_merging_values(spark):
         assert math.isclose(found, wanted, rel_tol=1e-9)
 
 
+def test_one_scan_serves_histogram_density_and_axis(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).select((F.col("id") % 90 * 0.5).alias("v")).mapInArrow(count, "v double")
+    counts = explore.value_counts(df, "v")
+    shown = [f(df, "v", counts=counts).collect() for f in (explore.histogram, explore.density, explore.axis_range)]
+    assert read.value == 1000 and sum(r["n"] for r in shown[0]) == 1000 and shown[2][0]["axis_high"] == 49.5
+    assert explore.extent(counts)[:3] == (1000, 0.0, 44.5)
+    assert math.isclose(explore.extent(counts).deviation, df.agg(F.stddev_pop("v")).first()[0])
+
+
+def test_long_rows_hold_every_value(cleaned):
+    bundle = explore.explore(cleaned)
+    found = explore.long_rows(bundle).collect()
+    sizes = {name: result.count() * len(explore.MEASURES[name][1]) for name, result in bundle.items()}
+    assert len(found) == sum(sizes.values()) and len({(r["result"], r["key"], r["measure"]) for r in found}) == len(found)
+
+
 def test_density_of_one_value(table):
     df = table({"v": "double"}, (3.0,), (3.0,))
     assert {r["density"] for r in explore.density(df, "v").collect()} == {None}
