@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,10 +16,36 @@ def safe_divide(a: Column, b: Column, default: Column | None = None) -> Column:
     return quotient if default is None else F.coalesce(quotient, default)
 
 
+def exact_rounded(value: Column, digits: int) -> Column:
+    """A double rounded by its binary value, halves to even, as a decimal.
+
+    Rounding the shortest decimal text of a double instead goes wrong where that
+    text ends in a 5 that the binary value does not quite reach. The double is
+    taken apart into a whole number and a power of two, and both are compared
+    as decimals. From 2^40 on, and beyond 6 digits, the decimal text is rounded.
+    """
+    size = F.abs(value)
+    power = (53 - F.floor(F.log2(size))).cast("int")
+    whole = (size * F.pow(F.lit(2.0), power)).cast("long").cast("decimal(19,0)")
+    one = F.lit(1).cast("long")
+    below = F.shiftleft(one, 55).cast("decimal(19,0)") * F.call_function("shiftleft", one, power - 55).cast("decimal(18,0)")
+    step = F.when(power < 56, F.call_function("shiftleft", one, power).cast("decimal(19,0)").cast("decimal(38,0)")).otherwise(below)
+    scaled = whole * F.lit(Decimal(10**digits)).cast("decimal(18,0)")
+    rest = scaled % step
+    units = ((scaled - rest) / step).cast("long")
+    up = (rest * 2 > step) | ((rest * 2 == step) & (units % 2 == 1))
+    units = F.when(power > 110, 0).otherwise(units + up.cast("long"))
+    exact = F.signum(value).cast("long") * units
+    shown = (exact.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(38,{digits})")
+    plain = F.bround(value, digits).cast(f"decimal(38,{digits})")
+    return F.when(size == 0, F.lit(Decimal(0))).when((size < 2.0**40) & F.lit(digits <= 6), shown).otherwise(plain).cast(f"decimal(38,{digits})")
+
+
 def percent_text(ratio: Column, digits: int = 1) -> Column:
     """A ratio as percent text, N/A where it is no number (X11)."""
     value = ratio.try_cast("double")
-    shown = F.format_string(f"%.{digits}f%%", F.bround(value * 100.0, digits))
+    number = exact_rounded(F.abs(F.when(F.abs(value) < float("inf"), value * 100.0)), digits)
+    shown = F.concat(F.when(value < 0, "-").otherwise(""), number.cast("string"), F.lit("%"))
     return (
         F.when(value.isNull(), "N/A")
         .when(F.isnan(value), "nan%")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smogline.functions.scalars import one_if_zero
+from smogline.functions.scalars import exact_rounded, one_if_zero
 from smogline.session import stage
 
 # The score that decides per task.
@@ -109,7 +109,7 @@ def leaderboard(scores: list[tuple[str, str, DataFrame]]) -> DataFrame:
             F.lit(model).alias("model"),
             F.lit(place).alias("ord"),
             "metric",
-            F.bround("value", DIGITS).alias("value"),
+            exact_rounded(F.col("value"), DIGITS).cast("double").alias("value"),
         )
         board = part if board is None else board.unionByName(part)
     return board

@@ -5,6 +5,10 @@ rows are those with the smallest keys, up to a threshold found by exact rank
 selection. So the split is a filter: no shuffle of rows, the same result for
 any partitioning, and again after a lost executor. Copies of a row share their
 key; where the threshold falls on them, they are divided by their number.
+
+A stratified split has a threshold per class. Counts, test sizes and thresholds
+are tables with a row per class, joined to the rows by class, so any number of
+classes will do, and the driver sees none of them.
 """
 
 from __future__ import annotations
@@ -14,7 +18,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smogline.operators.quantiles import RANKED_ROWS, Hit, select_ranks
+from smogline.operators.quantiles import RANKED_ROWS, select_ranks
+from smogline.operators.rank import with_place
+from smogline.session import stage
 
 SEED = 42
 TEST_SHARE = 0.2
@@ -50,58 +56,27 @@ def _expected(rank: int, rows: int) -> list[int]:
     return [int(KEYS * min(1.0, max(0.0, place + m))) for m in (-margin, margin)]
 
 
-def _mark(
-    df: DataFrame, key: Column, name: str, hits: dict[str, Hit], sizes: dict[str, int], label: str | None
-) -> DataFrame:
-    """Mark the rows up to the last key of their class.
-
-    Usually the last key ends exactly at the wanted size. Where it belongs to
-    more rows, which are copies of each other, only part of them is marked.
-    """
-
-    def of_class(values: dict[str, int]) -> Column:
-        if label is None:
-            return F.lit(values[ALL])
-        return F.try_element_at(
-            F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col(label)
-        )
-
-    marked = df.withColumn(name, F.coalesce(key <= of_class({c: h.value for c, h in hits.items()}), F.lit(False)))
-    tied = {c: h for c, h in hits.items() if h.upto != sizes[c]}
-    if not tied:
-        return marked
-    is_tied = F.coalesce(key == of_class({c: h.value for c, h in tied.items()}), F.lit(False))
-    left = of_class({c: sizes[c] - h.below for c, h in tied.items()})
-    shared = _share_copies(df.where(is_tied), df.columns, left, label, name)
-    return marked.where(~is_tied).unionByName(shared)
-
-
-def _share_copies(tied: DataFrame, columns: list[str], left: Column, label: str | None, name: str) -> DataFrame:
-    """Of rows that equal each other, put ``left`` on the test side.
+def _divide(marked: DataFrame, columns: list[str], label: list[str], name: str) -> DataFrame:
+    """Where the last key of a class belongs to more rows than are wanted, mark only part of them.
 
-    The copies are counted, the counts divided, and the copies written out
-    again in chunks, so that no task holds them all.
+    marked: rows with ``name``, and ``_left``: NULL, or for rows with that key
+    how many of them go to the test side. They are copies of each other: the
+    copies are counted, the counts divided, and the copies written out again in
+    chunks, so that no task holds them all.
     """
-    earlier = (
-        Window.partitionBy(*([label] if label else []))
-        .orderBy(*columns)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    counted = tied.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*label).orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
+    counted = marked.where("_left is not null").groupBy(*columns, "_left").agg(F.count(F.lit(1)).alias("_n"))
     divided = counted.withColumn(
         "_test",
-        F.greatest(F.lit(0), F.least("_n", left - F.coalesce(F.sum("_n").over(earlier), F.lit(0)))),
+        F.greatest(F.lit(0), F.least("_n", F.col("_left") - F.coalesce(F.sum("_n").over(earlier), F.lit(0)))),
     )
     sides = divided.select(
         *columns, F.expr("stack(2, true, _test, false, _n - _test)").alias(name, "_copies")
     ).where("_copies > 0")
     chunks = sides.withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {CHUNK}L)")))
     size = F.least(F.lit(CHUNK), F.col("_copies") - F.col("_chunk") * CHUNK)
-    return (
-        chunks.repartition("_chunk")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size)))
-        .select(*columns, name)
-    )
+    shared = chunks.repartition("_chunk").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size)))
+    return marked.where("_left is null").select(*columns, name).unionByName(shared.select(*columns, name))
 
 
 def random_split(
@@ -120,15 +95,18 @@ def random_split(
     wanted = test_size(rows, share)
     if not wanted:
         return df.withColumn(name, F.lit(False))
-    hits = select_ranks(
+    [hit] = select_ranks(
         df.select(key.alias("key")),
         {ALL: F.col("key")},
         {ALL: [wanted - 1]},
         {ALL: rows},
         ranked_rows,
         {ALL: _expected(wanted - 1, rows)},
-    )
-    return _mark(df, key, name, {ALL: hits[ALL][wanted - 1]}, {ALL: wanted}, None)
+    )[ALL].values()
+    marked = df.withColumn(name, F.coalesce(key <= hit.value, F.lit(False)))
+    if hit.upto == wanted:
+        return marked
+    return _divide(marked.withColumn("_left", F.when(key == hit.value, wanted - hit.below)), df.columns, [], name)
 
 
 def class_test_sizes(counts: dict[str, int], share: float = TEST_SHARE) -> dict[str, int]:
@@ -144,6 +122,39 @@ def class_test_sizes(counts: dict[str, int], share: float = TEST_SHARE) -> dict[
     return {c: n - whole[c] - (c in extra) for c, n in counts.items()}
 
 
+def class_sizes(counts: DataFrame, label: str, rows: int, share: float = TEST_SHARE) -> DataFrame:
+    """The same for a table of classes with their rows ``n``: adds ``n_test``. ``rows`` is the sum of all ``n``."""
+    train = rows - test_size(rows, share)
+    product = f"CAST(n AS DECIMAL(19, 0)) * CAST({train} AS DECIMAL(19, 0))"
+    shares = counts.select(
+        label, "n", F.expr(f"{product} div {rows}").cast("long").alias("whole"), F.expr(f"{product} % {rows}").cast("long").alias("rest")
+    )
+    spare = train - (shares.agg(F.sum("whole")).first()[0] or 0)
+    placed = with_place(shares, [F.desc("rest"), F.asc(label)], "place")
+    return placed.select(label, "n", (F.col("n") - F.col("whole") - (F.col("place") < spare).cast("long")).alias("n_test"))
+
+
+def _class_thresholds(keyed: DataFrame, label: str, sizes: DataFrame, ranked_rows: int) -> DataFrame:
+    """Per class the last test key ``last``, and how many rows lie ``below`` and ``upto`` it.
+
+    First level: keys are even, so a class is counted in equal ranges of keys,
+    about ``ranked_rows`` rows each. Second level: the range in which the wanted
+    row lies is ranked.
+    """
+    width = F.ceil(F.lit(float(KEYS)) / F.ceil(F.col("n") / ranked_rows))
+    wanted = sizes.where("n_test > 0").select(label, "n_test", width.cast("long").alias("width"))
+    ranges = keyed.join(wanted, label).groupBy(label, "n_test", "width", F.expr("_key div width").alias("range")).agg(F.count(F.lit(1)).alias("n"))
+    ascending = Window.partitionBy(label).orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = ranges.withColumn("upto", F.sum("n").over(ascending))
+    ranges = ends.where("n_test <= upto and n_test > upto - n").select(label, "n_test", "width", "range", (F.col("upto") - F.col("n")).alias("before"))
+    ranges = stage(ranges, "class-ranges")
+    near = keyed.join(ranges, label).where("_key div width = range")
+    keys = near.groupBy(label, "n_test", "before", "_key").agg(F.count(F.lit(1)).alias("n"))
+    ascending = Window.partitionBy(label).orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = keys.withColumn("_upto", F.col("before") + F.sum("n").over(ascending)).withColumn("_below", F.col("_upto") - F.col("n"))
+    return ranked.where("n_test <= _upto and n_test > _below").select(label, "n_test", F.col("_key").alias("_last"), "_below", "_upto")
+
+
 def stratified_split(
     df: DataFrame,
     label: str,
@@ -154,19 +165,18 @@ def stratified_split(
 ) -> DataFrame:
     """Mark test rows so that every class keeps its share (M4). The label is required."""
     key = row_key(df.columns) if key is None else key
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if None in counts:
+    counts = stage(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")), "class-counts")
+    rows, unknown = counts.agg(F.sum("n"), F.count_if(F.col(label).isNull())).first()
+    if unknown:
         raise ValueError(f"rows without {label}; drop them before a stratified split")
-    sizes = {c: n for c, n in class_test_sizes(counts, share).items() if n}
-    if not sizes:
+    if not rows:
         return df.withColumn(name, F.lit(False))
-    series = {c: F.when(F.col(label) == F.lit(c), F.col("key")) for c in sizes}
-    found = select_ranks(
-        df.select(label, key.alias("key")),
-        series,
-        {c: [n - 1] for c, n in sizes.items()},
-        counts,
-        ranked_rows,
-        {c: _expected(n - 1, counts[c]) for c, n in sizes.items()},
-    )
-    return _mark(df, key, name, {c: found[c][n - 1] for c, n in sizes.items()}, sizes, label)
+    sizes = stage(class_sizes(counts, label, rows, share), "class-sizes")
+    keyed = df.select(label, key.alias("_key"))
+    last = _class_thresholds(keyed, label, sizes, ranked_rows)
+    last = stage(last.select(label, "_last", F.when(F.col("_upto") != F.col("n_test"), F.col("n_test") - F.col("_below")).alias("_tied")), "class-thresholds")
+    marked = df.withColumn("_key", key).join(last, label, "left").withColumn(name, F.coalesce(F.col("_key") <= F.col("_last"), F.lit(False)))
+    if last.where("_tied is not null").isEmpty():
+        return marked.select(*df.columns, name)
+    left = F.when(F.col("_key") == F.col("_last"), F.col("_tied"))
+    return _divide(marked.withColumn("_left", left), df.columns, [label], name)

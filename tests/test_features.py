@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from smogline.functions import scalars
 from smogline.functions.calendar import to_day, with_calendar
-from smogline.operators import encode, split
+from smogline.operators import encode, rank, split
 
 CITIES = ("b", "a", "B", "é", None, "a")
 
@@ -135,6 +135,38 @@ def test_stratified_split_with_one_class_holding_most_rows(spark):
     assert dict(rows(marked.where("is_test").groupBy("label").count())) == split.class_test_sizes(counts)
 
 
+def test_places_by_ranges(spark):
+    df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("v"), F.lit("x").alias("place_part_"))
+    placed = rank.with_place(df, [F.desc("v")])
+    assert sorted((r["v"], r["place"]) for r in placed.collect()) == [(v, 999 - v) for v in range(1000)]
+    assert rank.with_place(df.limit(0), [F.desc("v")]).collect() == []
+
+
+def test_class_sizes_of_a_table(spark):
+    counts = {f"c{k}": k * k % 23 + 1 for k in range(300)}
+    df = spark.createDataFrame(list(counts.items()), "label string, n long")
+    found = split.class_sizes(df, "label", sum(counts.values()))
+    assert {r["label"]: r["n_test"] for r in found.collect()} == split.class_test_sizes(counts)
+    big = {"a": 10**18 // 3, "b": 10**17 + 1, "c": 7}
+    df = spark.createDataFrame(list(big.items()), "label string, n long")
+    found = split.class_sizes(df, "label", sum(big.values()))
+    assert {r["label"]: r["n_test"] for r in found.collect()} == split.class_test_sizes(big)
+
+
+def test_stratified_split_of_very_many_classes(spark):
+    """105,000 classes and a hot one; every class keeps its exact share."""
+    df = spark.range(350_000).select("id", F.when(F.col("id") % 5 < 2, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 175_000)).alias("label"))
+    marked = split.stratified_split(df, "label", ranked_rows=5_000)
+    sizes = {r["label"]: (r["n"], r["t"]) for r in marked.groupBy("label").agg(F.count("*").alias("n"), F.count_if("is_test").alias("t")).collect()}
+    assert len(sizes) == 105_001 and sum(n for n, _ in sizes.values()) == 350_000
+    assert {c: t for c, (_, t) in sizes.items()} == split.class_test_sizes({c: n for c, (n, _) in sizes.items()})
+
+
+def test_stratified_split_of_nothing(table):
+    df = table({"c": "string", "x": "double"})
+    assert rows(split.stratified_split(df, "c")) == []
+
+
 def test_safe_divide(table):
     df = table({"a": "double", "b": "double"}, (1.0, 0.0), (3.0, 8.0), (None, 2.0))
     found = df.select(
@@ -149,6 +181,23 @@ def test_percent_text(table):
     assert df.select(scalars.percent_text(F.col("t"), 2)).first()[0] == "12.34%"
 
 
+def test_rounding_goes_by_the_binary_value(spark):
+    import random
+
+    pick = random.Random(2)
+    numbers = [0.0, 2.675, 0.125, 0.375, 2.5, 3.5, 1e-20, 5e-324, 1 / 3, 2.0**39 + 0.5, 1e11 + 0.05, 0.045, 1.005, 1e15, 0.5, 2.0**-7, 1 - 2**-53]
+    numbers += [round(pick.uniform(-200, 200), pick.randint(0, 6)) for _ in range(500)] + [pick.gauss(0, 1) for _ in range(200)]
+    numbers += [k / 8 for k in range(40)] + [k / 200 for k in range(400)]
+    df = spark.createDataFrame([(v,) for v in numbers], "v double")
+    for digits in (0, 1, 2, 4, 6):
+        found = df.select("v", scalars.exact_rounded(F.col("v"), digits).cast("double").alias("r")).collect()
+        assert [(r["v"], r["r"]) for r in found] == [(v, round(v, digits)) for v in numbers], digits
+    texts = df.where("v > 0 and v < 1e9").select("v", scalars.percent_text(F.col("v"), 2).alias("t")).collect()
+    assert all(r["t"] == f"{r['v'] * 100:.2f}%" for r in texts)
+    odd = spark.createDataFrame([(0.02675,), (-0.0004,), (-1.5,), (float("-inf"),)], "v double")
+    assert [r[0] for r in odd.select(scalars.percent_text(F.col("v"), 2)).collect()] == ["2.67%", "-0.04%", "-150.00%", "-inf%"]
+
+
 def test_display_texts(table):
     df = table({"v": "double", "m": "int", "b": "string"}, (1234567.25, 3, "Poor"), (0.0, 12, "odd"))
     found = df.select(
