@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smogline.operators.quantiles import exact_medians
 from smogline.schema import POLLUTANTS, TARGETS, present
+from smogline.session import small_table
 
 log = logging.getLogger(__name__)
 
@@ -109,3 +112,35 @@ def cleaning_audit(
     wide = both.agg(*[F.sum(F.when(F.col("step") == s, F.col("n"))).alias(s) for s in names])
     copies = F.col("rows_with_targets") - F.col("clean_rows")
     return wide.withColumn("copies_removed", copies).unpivot([], [*names, "copies_removed"], "step", "n")
+
+
+def audited_clean(
+    df: DataFrame, columns: list[str] = POLLUTANTS, targets: list[str] = TARGETS
+) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The cleaned table, and the audit of its cleaning to be read after it was written once.
+
+    Each step counts the rows that pass it while they pass, so neither table is
+    scanned for the audit. Rows and steps are those of ``cleaning_audit``.
+    """
+    columns = present(df, columns)
+    seen = {step: Observation(f"{step}-{id(df)}") for step in ("raw", "kept", "filled", "clean")}
+    rows = F.count(F.lit(1)).alias("rows")
+
+    def gaps() -> Column:
+        return sum((F.count_if(F.col(c).isNull()) for c in columns), F.lit(0)).cast("long").alias("gaps")
+
+    medians = exact_medians(drop_missing_targets(df, targets), columns)
+    kept = drop_missing_targets(df.observe(seen["raw"], rows), targets).observe(seen["kept"], rows, gaps())
+    filled = fill_medians(kept, columns, medians).observe(seen["filled"], gaps())
+    cleaned = drop_copies(filled).observe(seen["clean"], rows)
+
+    def audit() -> DataFrame:
+        raw, passed = seen["raw"].get["rows"], seen["kept"].get["rows"]
+        before, after, left = seen["kept"].get["gaps"], seen["filled"].get["gaps"], seen["clean"].get["rows"]
+        steps = {
+            "raw_rows": raw, "dropped_without_target": raw - passed, "rows_with_targets": passed,
+            "values_filled": before - after, "values_still_missing": after, "clean_rows": left, "copies_removed": passed - left,
+        }
+        return small_table(df.sparkSession, list(steps.items()), {"step": "string", "n": "long"})
+
+    return cleaned, audit

@@ -7,6 +7,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -15,6 +16,7 @@ from pyspark.ml.feature import (
     IndexToString,
     SQLTransformer,
     StandardScaler,
+    StandardScalerModel,
     StringIndexer,
     VectorAssembler,
 )
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from smogline.operators.boosting import SOFTMAX, SQUARED, GradientBoosting
+from smogline.operators.boosting import SOFTMAX, SQUARED, GradientBoosting, GradientBoostingModel
 from smogline.operators.evaluate import (
     best_model,
     classification_metrics,
@@ -241,6 +243,39 @@ def importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return small_table(spark, rows, {"feature": "string", "importance": "double"})
 
 
+def fitted_scaler_stats(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """Mean and deviation by which a fitted model scales each feature, as rows."""
+    names = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    scaler = next(s for s in model.stages if isinstance(s, StandardScalerModel))
+    rows = [(n, float(m), float(d)) for n, m, d in zip(names, scaler.mean, scaler.std)]
+    return small_table(spark, rows, {"feature": "string", "mean": "double", "std": "double"})
+
+
+def structure(models: dict[str, PipelineModel]) -> list[tuple[str, str, float]]:
+    """(model, property, value) of fitted estimators: trees, stages, greatest depth, smallest leaf, coefficients."""
+    found = []
+    for name, model in models.items():
+        fitted = next(s for s in reversed(model.stages) if not isinstance(s, IndexToString))
+        facts: dict[str, float] = {}
+        if isinstance(fitted, GradientBoostingModel):
+            trees = fitted.trees
+            used = trees.rows > 0
+            node = np.nonzero(used)[1]
+            facts = {
+                "trees": len(trees.feature), "stages": len(fitted.losses) - 1,
+                "depth": int(np.log2(node.max() + 1)) if len(node) else 0,
+                "smallest_leaf": int(trees.rows[used & (trees.feature < 0)].min()),
+            }
+        elif hasattr(fitted, "trees"):
+            facts = {"trees": len(fitted.trees), "depth": max(t.depth for t in fitted.trees)}
+        elif hasattr(fitted, "coefficientMatrix"):
+            facts = {"coefficients": fitted.coefficientMatrix.numRows * fitted.coefficientMatrix.numCols}
+        elif hasattr(fitted, "coefficients"):
+            facts = {"coefficients": len(fitted.coefficients)}
+        found += [(name, key, float(value)) for key, value in facts.items()]
+    return found
+
+
 def scaler_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """Mean and population deviation per feature, as rows."""
     one = df.agg(

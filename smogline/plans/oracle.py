@@ -426,3 +426,29 @@ ORACLE["explore_bundle"] = _union(
     for name, (key, measures) in BUNDLE.items()
     for m in measures
 )
+
+ORACLE["observed_audit"] = ORACLE["cleaning_audit"]
+ORACLE["metrics_without_counts"] = ORACLE["metrics_round_trip"]
+
+FEWER = [c for c in MEASURED if c not in ("NH3", "Xylene")]
+ORACLE["clean_without_columns"] = _with(
+    OBSERVED,
+    f"""SELECT DISTINCT City, {DAY}, k, {', '.join(f'coalesce({c}, m_{c}) AS {c}' for c in FEWER)}, AQI, AQI_Bucket
+    FROM obs, (SELECT {', '.join(f'median({c}) AS m_{c}' for c in FEWER)} FROM obs WHERE AQI IS NOT NULL AND AQI_Bucket IS NOT NULL)
+    WHERE AQI IS NOT NULL AND AQI_Bucket IS NOT NULL""",
+)
+ORACLE["top_cities_for_display"] = _with(
+    CLEAN,
+    """SELECT City, round(m, 6) AS mean_aqi, CAST(row_number() OVER (ORDER BY m, City DESC) AS INTEGER) AS place FROM
+    (SELECT City, avg(AQI) AS m FROM clean GROUP BY City ORDER BY m DESC, City LIMIT 15)""",
+)
+ORACLE["stratified_split"] = _with(STRATIFIED, f"SELECT k, City, {DAY}, AQI_Bucket, is_test FROM classed")
+ORACLE["split_of_many_classes"] = _with(
+    KEYED.replace("AS key FROM featured", "AS key, City || '|' || strftime(Date, '%Y-%m') AS place_month FROM featured")
+    + STRATIFIED[len(KEYED) :].replace("AQI_Bucket", "place_month"),
+    f"SELECT k, place_month, {DAY}, is_test FROM classed",
+)
+ORACLE["columnar_rescan"] = _with(CLEAN, "SELECT k, City, AQI FROM clean WHERE AQI > 200")
+ORACLE["parsed_days"] = """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
+  CASE WHEN event_id % 3 = 0 THEN strftime(ts, '%Y-%m-%d') END AS text_day, count(*) AS n FROM events GROUP BY 1, 2"""
+ORACLE["utc_texts"] = "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS text FROM events"

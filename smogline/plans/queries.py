@@ -6,11 +6,11 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from smogline.functions import scalars
-from smogline.functions.calendar import with_calendar
+from smogline.functions.calendar import to_day, with_calendar
 from smogline.operators import clean as cleaning
 from smogline.operators import encode, evaluate, explore, models, profile, quantiles, split
 from smogline.operators.correlation import correlation_matrix as correlate
@@ -87,6 +87,18 @@ def cleaning_audit(spark, folder):
     return cleaning.cleaning_audit(staged_observations(spark, folder), staged_clean(spark, folder))
 
 
+def observed_audit(spark, folder):
+    """The audit from the counts of the one write."""
+    cleaned, audit = cleaning.audited_clean(staged_observations(spark, folder))
+    stage(cleaned, "audited")
+    return audit()
+
+
+def clean_without_columns(spark, folder):
+    """Cleaning a table that lacks two of the measured columns."""
+    return day_as_text(cleaning.clean(staged_observations(spark, folder).drop("NH3", "Xylene")))
+
+
 # Profile
 
 def null_counts(spark, folder):
@@ -181,6 +193,13 @@ def top_cities(spark, folder):
     return rounded(explore.top_means(staged_clean(spark, folder)), "mean_aqi")
 
 
+def top_cities_for_display(spark, folder):
+    """The top list as a bar chart shows it, from the bottom up."""
+    table = explore.for_display(explore.top_means(staged_clean(spark, folder)), "mean_aqi", PLACE)
+    place = F.row_number().over(Window.orderBy(F.asc_nulls_first("mean_aqi"), F.desc(PLACE)))  # 15 rows
+    return rounded(table.withColumn("place", place), "mean_aqi")
+
+
 def monthly_trend(spark, folder):
     return rounded(explore.monthly_trend(staged_clean(spark, folder)), "mean_aqi", "smoothed_aqi")
 
@@ -223,6 +242,18 @@ def random_split(spark, folder):
     return day_as_text(split_rows(spark, folder).select("k", PLACE, DATE, INDEX, "is_test"))
 
 
+def stratified_split(spark, folder):
+    return day_as_text(split_classes(spark, folder).select("k", PLACE, DATE, BUCKET, "is_test"))
+
+
+def split_of_many_classes(spark, folder):
+    """A class per place and month: every one keeps its share."""
+    month = F.concat_ws("|", PLACE, F.date_format(DATE, "yyyy-MM"))
+    table = staged_clean(spark, folder).withColumn("place_month", month)
+    marked = split.stratified_split(table, "place_month", content_key())
+    return day_as_text(marked.select("k", "place_month", DATE, "is_test"))
+
+
 def split_counts(spark, folder):
     return split_rows(spark, folder).groupBy("is_test").agg(
         F.count(F.lit(1)).alias("n"), F.sum(INDEX).alias("sum_aqi")
@@ -404,6 +435,37 @@ def metrics_round_trip(spark, folder):
     return readers.metric_rows(readers.read_metrics(spark, path))
 
 
+def metrics_without_counts(spark, folder):
+    """A board with confusion counts, written and read back: the counts stay out."""
+    path = scratch(spark, "metrics")
+    board = _board(spark, folder)
+    counts = board.where("task = 'classification'").select("task", "model", "ord").distinct()
+    counts = counts.select("*", F.lit("Confusion_Matrix").alias("metric"), F.lit(1.0).alias("value"))
+    board = stage(board.unionByName(counts), "board")
+    writers.write_metrics(board, evaluate.best_model(board), path)
+    return readers.metric_rows(readers.read_metrics(spark, path))
+
+
+def columnar_rescan(spark, folder):
+    """The cleaned table as later steps read it: written, then scanned for some columns and rows."""
+    path = scratch(spark, "rescan")
+    writers.write_cleaned(staged_clean(spark, folder), path)
+    return readers.read_table(spark, path).where(F.col(INDEX) > 200).select("k", PLACE, INDEX)
+
+
+def parsed_days(spark, folder):
+    """Days from moments, from their texts, and from texts that do not parse."""
+    table = spark.read.parquet(f"{folder}/events.parquet")
+    text = F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd")).when(F.col("event_id") % 3 == 1, "no day")
+    days = table.select(to_day(F.col("ts")).cast("string").alias("day"), to_day(text).cast("string").alias("text_day"))
+    return days.groupBy("day", "text_day").agg(F.count(F.lit(1)).alias("n"))
+
+
+def utc_texts(spark, folder):
+    table = spark.read.parquet(f"{folder}/events.parquet")
+    return table.select("event_id", scalars.utc_text(F.col("ts")).alias("text"))
+
+
 def dataset_facts(spark, folder):
     return pipeline.dataset_facts(staged_observations(spark, folder), staged_clean(spark, folder))
 
@@ -460,6 +522,8 @@ QUERIES: dict[str, Query] = {
         top_cities, monthly_trend, bucket_counts, axis_range, explore_bundle, random_split,
         split_counts, stratified_counts, scaler_stats, scaled_checksum, regression_metrics,
         classification_metrics, confusion_matrix, leaderboard, best_model, marked_leaderboard,
+        observed_audit, clean_without_columns, top_cities_for_display, stratified_split,
+        split_of_many_classes, metrics_without_counts, columnar_rescan, parsed_days, utc_texts,
         top_importances, safe_divide, format_percentage, number_labels, write_read_csv,
         write_read_json, clean_metadata, metrics_round_trip, dataset_facts, fit_regressors,
         fit_classifiers, fitted_importances, score_saved_model, batch_job,

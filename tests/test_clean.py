@@ -152,3 +152,18 @@ def test_audit_counts_a_nan_target_as_missing(table):
     raw = table({"NO": "double", "AQI": "double", "AQI_Bucket": "string"}, (1.0, 5.0, "Good"), (2.0, float("nan"), "Good"))
     steps = {r["step"]: r["n"] for r in cleaning_audit(raw, clean(raw)).collect()}
     assert steps["dropped_without_target"] == 1 and steps["copies_removed"] == 0
+
+
+def test_audit_of_the_one_write(spark, folder):
+    raw = staged_observations(spark, folder)
+    counted, read = scans(spark, raw)
+    before, audit = clean.audited_clean(counted)
+    medians = read.value
+    before.write.format("noop").mode("overwrite").save()
+    found = audit()
+    assert sorted(rows(found)) == sorted(rows(clean.cleaning_audit(raw, clean.clean(raw))))
+    n = raw.count()
+    assert medians == 2 * n and read.value == 3 * n  # two scans for the medians, one for the write
+    empty, audit = clean.audited_clean(raw.limit(0))
+    empty.write.format("noop").mode("overwrite").save()
+    assert {r["n"] for r in audit().collect()} == {0}
