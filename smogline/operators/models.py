@@ -61,7 +61,7 @@ class Profile:
 
 
 FULL = Profile("full", trees=200, depth=15, stages=200, stage_depth=5, iterations=1000, bins=128)
-SMOKE = Profile("smoke", trees=10, depth=8, stages=5, stage_depth=5, iterations=50, bins=32, memory_mb=256, at_once=3)
+SMOKE = Profile("smoke", trees=10, depth=8, stages=5, stage_depth=5, iterations=1000, bins=32, memory_mb=256, at_once=3)
 
 REGRESSION = "regression"
 CLASSIFICATION = "classification"

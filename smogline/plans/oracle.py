@@ -452,3 +452,71 @@ ORACLE["columnar_rescan"] = _with(CLEAN, "SELECT k, City, AQI FROM clean WHERE A
 ORACLE["parsed_days"] = """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
   CASE WHEN event_id % 3 = 0 THEN strftime(ts, '%Y-%m-%d') END AS text_day, count(*) AS n FROM events GROUP BY 1, 2"""
 ORACLE["utc_texts"] = "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS text FROM events"
+
+# Models of the small profile: 10 trees of depth 8, 5 stages of depth 5.
+ORACLE["linear_normal_equations"] = _with(
+    SPLIT,
+    _union(
+        f"SELECT '{c}' AS feature, round(avg({x}*AQI), 3) AS value FROM marked WHERE NOT is_test"
+        for c, x in [*FEATURE_NUMBER.items(), ("1", "1e0")]
+    ),
+)
+ORACLE["logistic_gradient"] = _with(
+    STRATIFIED,
+    """SELECT AQI_Bucket AS class, round(count(*)/(SELECT count(*)*1e0 FROM classed WHERE NOT is_test), 3) AS share,
+    CAST(1 AS INTEGER) AS settled FROM classed WHERE NOT is_test GROUP BY AQI_Bucket""",
+)
+ORACLE["model_structure"] = _with(
+    CLEAN,
+    """SELECT task, model, property, CAST(value AS DOUBLE) AS value FROM (
+    SELECT 'regression' AS task, 'Linear Regression' AS model, 'coefficients' AS property, 20 AS value
+    UNION ALL SELECT 'regression', 'Random Forest Regressor', 'trees', 10
+    UNION ALL SELECT 'regression', 'Random Forest Regressor', 'depth', 8
+    UNION ALL SELECT 'regression', 'Gradient Boosting Regressor', 'trees', 5
+    UNION ALL SELECT 'regression', 'Gradient Boosting Regressor', 'stages', 5
+    UNION ALL SELECT 'regression', 'Gradient Boosting Regressor', 'depth', 5
+    UNION ALL SELECT 'classification', 'Logistic Regression', 'coefficients', 20*count(DISTINCT AQI_Bucket) FROM clean
+    UNION ALL SELECT 'classification', 'Random Forest Classifier', 'trees', 10
+    UNION ALL SELECT 'classification', 'Random Forest Classifier', 'depth', 8
+    UNION ALL SELECT 'classification', 'Gradient Boosting Classifier', 'trees', 5*count(DISTINCT AQI_Bucket) FROM clean
+    UNION ALL SELECT 'classification', 'Gradient Boosting Classifier', 'stages', 5
+    UNION ALL SELECT 'classification', 'Gradient Boosting Classifier', 'depth', 5)""",
+)
+ORACLE["boosting_losses"] = _with(
+    SPLIT + STRATIFIED[len(KEYED) :],
+    """SELECT 'regression' AS task, 'first_loss' AS fact, round(var_pop(AQI), 4) AS value FROM marked WHERE NOT is_test
+    UNION ALL SELECT 'regression', 'start_0', round(avg(AQI), 4) FROM marked WHERE NOT is_test
+    UNION ALL SELECT task, 'stage_' || i || '_falls', 1e0 FROM range(5) r(i), (VALUES ('regression'), ('classification')) t(task)
+    UNION ALL SELECT 'classification', 'first_loss', round(-sum(p*ln(p)), 4) FROM (
+      SELECT count(*)/(SELECT count(*)*1e0 FROM classed WHERE NOT is_test) AS p FROM classed WHERE NOT is_test GROUP BY AQI_Bucket)
+    UNION ALL SELECT 'classification', 'start_' || (row_number() OVER (ORDER BY AQI_Bucket) - 1),
+      round(ln(count(*)/(SELECT count(*)*1e0 FROM classed WHERE NOT is_test)), 4) FROM classed WHERE NOT is_test GROUP BY AQI_Bucket""",
+)
+ORACLE["saved_models_agree"] = _with(
+    CLEAN,
+    """SELECT task, model, CAST(ceil(2e-1*(SELECT count(*) FROM clean)) AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_different FROM (VALUES
+      ('regression', 'Linear Regression'), ('regression', 'Random Forest Regressor'), ('regression', 'Gradient Boosting Regressor'),
+      ('classification', 'Logistic Regression'), ('classification', 'Random Forest Classifier'),
+      ('classification', 'Gradient Boosting Classifier')) m(task, model)""",
+)
+# The job reads observations without their key.
+BY_CONTENT = [("SELECT DISTINCT * FROM filled", "SELECT DISTINCT * EXCLUDE (k) FROM filled")]
+
+
+def _job_sql() -> str:
+    bundle = ORACLE["explore_bundle"] + f""" UNION ALL SELECT 'cleaning_audit', step, 'n', CAST(n AS DOUBLE) FROM ({ORACLE['cleaning_audit']})
+    UNION ALL SELECT 'cleaned', '', 'rows', CAST(n_rows AS DOUBLE) FROM ({ORACLE['shape']})
+    UNION ALL SELECT t, CAST(s AS VARCHAR), 'rows', CAST(CASE WHEN s THEN ceil(2e-1*n) ELSE n - ceil(2e-1*n) END AS DOUBLE)
+      FROM (VALUES ('by_row'), ('by_class')) a(t), (VALUES (true), (false)) b(s), ({ORACLE['shape']}) c(n, m)
+    UNION ALL SELECT 'confusion_matrix', '', 'rows', CAST(ceil(2e-1*n_rows) AS DOUBLE) FROM ({ORACLE['shape']})
+    UNION ALL SELECT 'leaderboard', task, 'models', 3e0 FROM (VALUES ('regression'), ('classification')) t(task)
+    UNION ALL SELECT 'metrics', 'regression', 'scores', 9e0 UNION ALL SELECT 'metrics', 'classification', 'scores', 12e0
+    UNION ALL SELECT 'scaler_stats', '', 'features', 20e0"""
+    for c in ("raw_rows", "clean_rows", "n_cities", "n_features"):
+        bundle += f" UNION ALL SELECT 'dataset_facts', '', '{c}', CAST({c} AS DOUBLE) FROM ({ORACLE['dataset_facts']})"
+    for a, b in BY_CONTENT:
+        bundle = bundle.replace(a, b)
+    return bundle
+
+
+ORACLE["job_outputs"] = _job_sql()

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ from smogline.schema import (
     PLACE,
     POLLUTANTS,
 )
-from smogline.session import stage, staged_path
+from smogline.session import small_table, stage, staged_path
 from smogline.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -504,12 +505,133 @@ def score_saved_model(spark, folder):
     return day_as_text(scored.select("k", PLACE, DATE, BUCKET, "predicted_bucket"))
 
 
+def linear_normal_equations(spark, folder):
+    """Per feature the mean of feature times prediction over the train rows.
+
+    Least squares makes it equal that of feature times index, and the mean
+    prediction equal the mean index (feature ``1``).
+    """
+    model = _trained(spark, folder, models.REGRESSION).models["Linear Regression"]
+    scored = model.transform(marked(spark, folder).where("NOT is_test")).select(vector_to_array("raw_features").alias("x"), "prediction")
+    sums = scored.agg(*[F.avg(F.get("x", F.lit(k)) * F.col("prediction")).alias(c) for k, c in enumerate(FEATURES)], F.avg("prediction").alias("1"))
+    return sums.unpivot([], [*FEATURES, "1"], "feature", "value").withColumn("value", F.round("value", 3))
+
+
+def logistic_gradient(spark, folder):
+    """Per class: its mean probability over the train rows, and whether the penalised gradient vanishes."""
+    model = _trained(spark, folder, models.CLASSIFICATION).models["Logistic Regression"]
+    fitted, names = model.stages[-2], model.stages[-1].getLabels()
+    scored = model.transform(marked_by_class(spark, folder).where("NOT is_test"))
+    scored = scored.select("label", vector_to_array("features").alias("x"), vector_to_array("probability").alias("p"))
+    weights, penalty = fitted.coefficientMatrix.toArray(), fitted.getRegParam()
+    sums = scored.agg(
+        *[
+            F.struct(
+                F.avg(F.get("p", F.lit(k))).alias("share"),
+                *[F.avg(F.get("x", F.lit(j)) * ((F.col("label") == k).cast("double") - F.get("p", F.lit(k)))).alias(f"g{j}") for j in range(len(FEATURES))],
+            ).alias(f"c{k}")
+            for k in range(len(names))
+        ]
+    ).first()
+    rows = []
+    for k, name in enumerate(names):
+        off = max(abs(sums[f"c{k}"][f"g{j}"] - penalty * weights[k][j]) for j in range(len(FEATURES)))
+        rows.append((name, round(sums[f"c{k}"]["share"], 3), int(off < 2e-3)))
+    return small_table(spark, rows, {"class": "string", "share": "double", "settled": "int"})
+
+
+def model_structure(spark, folder):
+    """Size of every fitted model that has one; leaves are left out, as they depend on the rows."""
+    rows = [
+        (task, *fact)
+        for task in (models.REGRESSION, models.CLASSIFICATION)
+        for fact in models.structure(_trained(spark, folder, task).models)
+        if fact[1] != "smallest_leaf"
+    ]
+    return small_table(spark, rows, {"task": "string", "model": "string", "property": "string", "value": "double"})
+
+
+def boosting_losses(spark, folder):
+    """Start and first loss of both boosted models, and whether each stage lowers the loss."""
+    rows = []
+    for task, name in ((models.REGRESSION, "Gradient Boosting Regressor"), (models.CLASSIFICATION, "Gradient Boosting Classifier")):
+        stages = _trained(spark, folder, task).models[name].stages
+        fitted = next(s for s in stages if hasattr(s, "losses"))
+        rows.append((task, "first_loss", round(fitted.losses[0], 4)))
+        rows += [(task, f"start_{k}", round(float(v), 4)) for k, v in enumerate(fitted.start)]
+        rows += [(task, f"stage_{k}_falls", float(b < a)) for k, (a, b) in enumerate(zip(fitted.losses, fitted.losses[1:]))]
+    return small_table(spark, rows, {"task": "string", "fact": "string", "value": "double"})
+
+
+def saved_models_agree(spark, folder):
+    """Every model saved and loaded: test rows, and rows on which it and the one in memory differ."""
+    parts = []
+    for task, table in ((models.REGRESSION, marked(spark, folder)), (models.CLASSIFICATION, marked_by_class(spark, folder))):
+        held_out = table.where("is_test")
+        for name, model in _trained(spark, folder, task).models.items():
+            path = scratch(spark, "model")
+            writers.save_model(model, path)
+            ours = model.transform(held_out).withColumnRenamed("prediction", "ours").drop(*MADE_BY_MODELS, "raw_features", "features")
+            both = PipelineModel.load(path).transform(ours)
+            counts = both.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ours").eqNullSafe(F.col("prediction"))).alias("n_different"))
+            parts.append(counts.select(F.lit(task).alias("task"), F.lit(name).alias("model"), "n", "n_different"))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
+MADE_BY_MODELS = [
+    "Year", "Month", "Day", "DayOfWeek", "Quarter", "DayOfYear", "IsWeekend", "city_text", "city_index", "City_Encoded",
+    "label", "rawPrediction", "probability", "predicted_bucket",
+]
+
+_JOBS: dict[tuple[str, str], pipeline.Results] = {}
+
+
+def _job(spark, folder) -> pipeline.Results:
+    """The whole job, run once per application."""
+    where = (spark.sparkContext.applicationId, folder)
+    if where not in _JOBS:
+        source, target = scratch(spark, "job-input"), scratch(spark, "job")
+        writers.write_csv(staged_observations(spark, folder).drop("k"), source)
+        _JOBS[where] = pipeline.run(spark, source, target, models.SMOKE)
+    return _JOBS[where]
+
+
 def batch_job(spark, folder):
     """The whole job from raw rows to reports, back as its leaderboard."""
-    source, target = scratch(spark, "job-input"), scratch(spark, "job")
-    writers.write_csv(staged_observations(spark, folder).drop("k"), source)
-    results = pipeline.run(spark, source, target, models.SMOKE)
-    return spark.read.option("header", True).csv(results.paths["leaderboard"])
+    return spark.read.option("header", True).csv(_job(spark, folder).paths["leaderboard"])
+
+
+def job_outputs(spark, folder):
+    """What the job wrote, read back: every value that does not depend on the fits, and sizes of the rest."""
+    paths = _job(spark, folder).paths
+
+    def table(name: str) -> DataFrame:
+        return spark.read.option("header", True).csv(f"{paths['eda']}/{name}" if name in explore.MEASURES else paths[name])
+
+    found = explore.long_rows({name: table(name) for name in explore.MEASURES})
+    digits = F.when(F.col("measure") == "density", F.round("value", 9)).otherwise(F.round("value", 6))
+    found = found.withColumn("value", digits)
+
+    def more(output: str, part: DataFrame, key: Column, measure: str, value: Column) -> None:
+        nonlocal found
+        found = found.unionByName(part.select(F.lit(output).alias("result"), key.alias("key"), F.lit(measure).alias("measure"), value.cast("double").alias("value")))
+
+    count = F.count(F.lit(1)).alias("n")
+    more("cleaning_audit", table("cleaning_audit"), F.col("step"), "n", F.col("n"))
+    more("cleaned", readers.read_table(spark, paths["cleaned"]).agg(count), F.lit(""), "rows", F.col("n"))
+    for split_name in ("by_row", "by_class"):
+        more(split_name, spark.read.parquet(paths[split_name]).groupBy("is_test").agg(count), F.col("is_test").cast("string"), "rows", F.col("n"))
+    more("confusion_matrix", table("confusion_matrix").agg(F.sum("n").alias("n")), F.lit(""), "rows", F.col("n"))
+    more("leaderboard", table("leaderboard").groupBy("task").agg(count), F.col("task"), "models", F.col("n"))
+    more("scaler_stats", table("scaler_stats").agg(count), F.lit(""), "features", F.col("n"))
+    more("metrics", readers.metric_rows(readers.read_metrics(spark, paths["metrics"])).groupBy("task").agg(count), F.col("task"), "scores", F.col("n"))
+    facts = readers.read_json(spark, paths["dataset_facts"], "raw_rows long, clean_rows long, n_cities long, n_features long")
+    for c in facts.columns:
+        more("dataset_facts", facts, F.lit(""), c, F.col(c))
+    return found
 
 
 QUERIES: dict[str, Query] = {
@@ -526,6 +648,7 @@ QUERIES: dict[str, Query] = {
         split_of_many_classes, metrics_without_counts, columnar_rescan, parsed_days, utc_texts,
         top_importances, safe_divide, format_percentage, number_labels, write_read_csv,
         write_read_json, clean_metadata, metrics_round_trip, dataset_facts, fit_regressors,
-        fit_classifiers, fitted_importances, score_saved_model, batch_job,
+        fit_classifiers, fitted_importances, score_saved_model, batch_job, linear_normal_equations,
+        logistic_gradient, model_structure, boosting_losses, saved_models_agree, job_outputs,
     )
 }

@@ -119,3 +119,42 @@ def test_whole_job(spark, folder, tmp_path):
     assert confusion.agg(F.sum(F.col("n").cast("long"))).first()[0] == held_out
     board = spark.read.option("header", True).csv(results.paths["leaderboard"])
     assert board.count() == 6 and board.where("is_best = 'true'").count() == 2
+    stats = dict((r["feature"], r["std"]) for r in spark.read.option("header", True).csv(results.paths["scaler_stats"]).collect())
+    assert list(stats) == FEATURES and all(float(v) >= 0 for v in stats.values())
+
+
+def test_a_killed_job_resumes(spark, folder, tmp_path, monkeypatch):
+    """Killed between two steps, then resumed: the same outputs as without, and finished steps are not taken again."""
+    source = str(tmp_path / "raw")
+    writers.write_csv(staged_observations(spark, folder).drop("k"), source)
+    one = models.Profile("one", trees=1, depth=3, stages=1, stage_depth=2, iterations=5, bins=32, memory_mb=64)
+    whole = pipeline.run(spark, source, str(tmp_path / "whole"), one)
+    assert whole.steps == list(pipeline.STEPS)
+
+    def killed(job):
+        raise RuntimeError("killed")
+
+    target = str(tmp_path / "killed")
+    with monkeypatch.context() as m:
+        m.setitem(pipeline.STEPS, "classification", killed)
+        with pytest.raises(RuntimeError):
+            pipeline.run(spark, source, target, one)
+    resumed = pipeline.run(spark, source, target, one, resume=True)
+    assert resumed.steps == ["classification", "report"]
+    assert (resumed.clean_rows, resumed.best) == (whole.clean_rows, whole.best)
+    for name in ("cleaning_audit", "confusion_matrix", "leaderboard", "scaler_stats", "eda/histogram", "importance/regression"):
+        ours, theirs = (spark.read.option("header", True).csv(f"{tmp_path}/{t}/{name}") for t in ("killed", "whole"))
+        assert sorted(rows(ours), key=str) == sorted(rows(theirs), key=str), name
+    again = pipeline.run(spark, source, target, one, resume=True)
+    assert again.steps == [] and again.best == whole.best
+    assert pipeline.run(spark, source, target, one, only=["explore"]).steps == ["explore"]
+    other = models.Profile("other", trees=1, depth=2, stages=1, stage_depth=2, iterations=2, bins=16, memory_mb=64)
+    assert not pipeline.Job(spark, source, target, other).finished("clean")
+    assert not pipeline.Job(spark, source, str(tmp_path / "nowhere"), one).finished("clean")
+
+
+def test_structure_of_fitted_models(regression, classification):
+    facts = {(m, k): v for m, k, v in models.structure({**regression.models, **classification.models})}
+    assert facts["Random Forest Regressor", "trees"] == 4 and facts["Random Forest Regressor", "depth"] <= 6
+    assert facts["Gradient Boosting Classifier", "stages"] == 3 and facts["Gradient Boosting Classifier", "trees"] % 3 == 0
+    assert facts["Gradient Boosting Regressor", "depth"] == 4 and facts["Linear Regression", "coefficients"] == 20
