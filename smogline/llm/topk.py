@@ -59,18 +59,20 @@ def dealt(vectors: DataFrame, n_runs: int) -> DataFrame:
 
 
 def asked_of(vectors: DataFrame, every: int) -> DataFrame:
-    """The queries: of every id divisible by ``every`` the smallest vector."""
-    return vectors.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    """The queries: of every id divisible by ``every`` the row with the smallest vector, of equal ones the first."""
+    own = F.min(F.struct("v", "row")).alias("own")
+    return vectors.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(own).select("vec_id", "own.v", "own.row")
 
 
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100, block: int = QUERY_BLOCK, bins: int = BINS) -> DataFrame:
     """The ``k`` highest integer inner products per query, ties to the smaller id.
 
     vectors: ``vec_id``, ``v`` (whole numbers as doubles). Queries are the rows
-    whose id is divisible by ``every``, candidates all rows of another id and
-    the same length; with fewer than ``k`` all are returned. A repeated query
-    id is one query, with the smallest of its vectors in the order of arrays;
-    repeated candidates are candidates of their own.
+    whose id is divisible by ``every``, candidates all rows of the same length
+    but the query's own; with fewer than ``k`` all are returned. A repeated
+    query id is one query, with the smallest of its vectors in the order of
+    arrays; its other rows are candidates like all. An empty table, or one
+    without queries, gives an empty table.
     """
     vectors = numbered(vectors)
     asked = asked_of(vectors, every)
@@ -80,20 +82,20 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, block: int = QUERY_
     most = vectors.agg(F.max(F.array_max(F.transform("v", F.abs))).alias("m")).first()["m"] or 0.0
     # |score| is at most the sum of the query's components times the largest component
     reach = F.ceil(peak * F.lit(float(most))).cast("long") + 1
-    state = asked.select("block", "vec_id", "v", (-reach).alias("lo"), (reach * 2 + 1).alias("width"), F.lit(k).cast("long").alias("need"))
+    state = asked.select("block", "vec_id", "v", "row", (-reach).alias("lo"), (reach * 2 + 1).alias("width"), F.lit(k).cast("long").alias("need"))
     state = stage(state, "state")
 
     def paired(state: DataFrame) -> DataFrame:
         """Blocks of queries with their state, dealt to every run of candidates."""
-        blocks = state.groupBy("block").agg(F.collect_list(F.struct("vec_id", "v", "lo", "width")).alias("queries"))
+        blocks = state.groupBy("block").agg(F.collect_list(F.struct("vec_id", "v", "row", "lo", "width")).alias("queries"))
         each = dealt(vectors, n_runs).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(n_blocks, 1) - 1))))
-        runs = each.groupBy("block", "run").agg(F.collect_list(F.struct("vec_id", "v")).alias("candidates"))
+        runs = each.groupBy("block", "run").agg(F.collect_list(F.struct("vec_id", "v", "row")).alias("candidates"))
         return runs.join(blocks, "block").select("queries", "candidates")
 
     n_runs = vectors.count() // CANDIDATES + 1
 
     def unpack(row_queries, row_candidates):
-        ids = np.array([c["vec_id"] for c in row_candidates], dtype=np.int64)
+        ids, own = (np.array([c[name] for c in row_candidates], dtype=np.int64) for name in ("vec_id", "row"))
         lengths = np.array([len(c["v"]) for c in row_candidates])
         for size in {len(q["v"]) for q in row_queries}:
             queries = [q for q in row_queries if len(q["v"]) == size]
@@ -102,15 +104,15 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, block: int = QUERY_
                 c = np.array([x["v"] for x, ok in zip(row_candidates, here) if ok])
                 for at in range(0, len(queries), AT_ONCE):
                     some = queries[at : at + AT_ONCE]
-                    yield some, ids[here], _scores(np.array([q["v"] for q in some]), c)
+                    yield some, ids[here], own[here], _scores(np.array([q["v"] for q in some]), c)
 
     def histograms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for qs, cs in zip(batch["queries"], batch["candidates"]):
-                for queries, ids, scores in unpack(qs, cs):
+                for queries, ids, own, scores in unpack(qs, cs):
                     out = []
                     for q, s in zip(queries, scores):
-                        s = s[ids != q["vec_id"]] - q["lo"]
+                        s = s[own != q["row"]] - q["lo"]
                         s = s[(s >= 0) & (s < q["width"])]
                         step = -(-q["width"] // bins)
                         bin_, n = np.unique(s // step, return_counts=True)
@@ -131,7 +133,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, block: int = QUERY_
         )
         joined = state.join(hit, "vec_id", "left")
         narrowed = joined.select(
-            "block", "vec_id", "v",
+            "block", "vec_id", "v", "row",
             F.when(F.col("width") <= 1, F.col("lo")).when(F.col("bin").isNull(), F.col("lo")).otherwise(F.col("lo") + F.col("bin") * step).alias("lo"),
             F.when(F.col("bin").isNull() | (F.col("width") <= 1), F.lit(1)).otherwise(F.least(step, F.col("width") - F.col("bin") * step)).cast("long").alias("width"),
             (F.col("need") - F.when(F.col("width") <= 1, 0).otherwise(F.coalesce("above", F.lit(0)))).alias("need"),
@@ -141,10 +143,10 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, block: int = QUERY_
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for qs, cs in zip(batch["queries"], batch["candidates"]):
-                for queries, ids, scores in unpack(qs, cs):
+                for queries, ids, own, scores in unpack(qs, cs):
                     out = []
                     for q, s in zip(queries, scores):
-                        other = ids != q["vec_id"]
+                        other = own != q["row"]
                         above = np.flatnonzero(other & (s > q["lo"]))
                         tied = np.flatnonzero(other & (s == q["lo"]))
                         if len(tied) > k:  # of equal scores only the smallest ids can count

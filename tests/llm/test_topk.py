@@ -17,8 +17,8 @@ def brute(vectors, k=10, every=100):
     good = [(i, [math.floor(1024 * float(np.float32(x))) for x in v]) for i, v in vectors if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
     for q in sorted({i for i, _ in good if i % every == 0}):
-        qv = next(v for i, v in good if i == q)
-        best = sorted((-sum(a * b for a, b in zip(qv, v)), i) for i, v in good if i != q and len(v) == len(qv))[:k]
+        qv, own = min((v, at) for at, (i, v) in enumerate(good) if i == q)
+        best = sorted((-sum(a * b for a, b in zip(qv, v)), i) for at, (i, v) in enumerate(good) if at != own and len(v) == len(qv))[:k]
         out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
     return out
 
@@ -55,12 +55,17 @@ def test_large_numbers_stay_exact(spark):
     check(spark, [(0, [250001.0, 3.0]), (1, [250001.0, 1.0]), (2, [250001.0, 2.0]), (3, [-250001.0, 2.0])])
 
 
+def test_only_the_query_s_own_row_is_no_candidate(spark):
+    check(spark, [(100, [1.0]), (100, [5.0]), (1, [2.0])])
+
+
 def test_a_repeated_query_id_asks_with_its_smallest_vector(spark):
     others = [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [2.0, 2.0])]
     query = [(100, [3.0, -1.0]), (100, [-1.0, 5.0]), (100, [-1.0, 4.0]), (100, [3.0, -1.0])]
     for order in (query, query[::-1], query[2:] + query[:2]):
         found = top_k(quantised(rows(spark, order + others))).collect()
-        assert sorted(tuple(r) for r in found) == brute([(100, [-1.0, 4.0]), *others])
+        assert sorted(tuple(r) for r in found) == brute(order + others) == brute(query + others)
+        assert sum(r["vec_id"] == 100 for r in found) == 3
 
 
 def test_rows_of_one_id_are_dealt_to_all_runs(spark):
