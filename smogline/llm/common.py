@@ -30,6 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reachable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with underscores behind it until no column of the table has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``text`` only, whatever else the table holds; a missing text is empty."""
     reachable(docs.sparkSession)

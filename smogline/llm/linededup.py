@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from smogline.llm.common import texts
+from smogline.llm.common import fresh, texts
 from smogline.llm.components import linked
 from smogline.session import stage
 
@@ -171,22 +171,28 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, limit: int = LIMI
     return by_doc.where("size(ats) > 0").groupBy("doc_id", "twin").agg(F.flatten(F.collect_list("ats")).alias("drops"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, limit: int = LIMIT, exact_chars: int = MIN_CHARS) -> DataFrame:
-    """All rows and columns of ``docs`` with ``text`` as it remains, ``n_lines`` and ``n_removed`` added.
+def dedup_lines(
+    docs: DataFrame, min_chars: int = MIN_CHARS, limit: int = LIMIT, exact_chars: int = MIN_CHARS, counts: tuple[str, str] = ("n_lines", "n_removed")
+) -> DataFrame:
+    """All rows and columns of ``docs`` with ``text`` as it remains and two counts added.
 
-    A missing text stays missing, an empty one empty, and texts that lose
-    nothing stay as they are. Rows with one ``doc_id`` count as one document;
-    missing ids come last and each such row keeps its own first line.
+    ``counts`` names the columns for lines and removed lines; columns of these
+    names are replaced. A missing text stays missing, an empty one empty, and
+    texts that lose nothing stay as they are. Rows with one ``doc_id`` count as
+    one document; missing ids come last and each such row keeps its own first
+    line. An empty table gives an empty table.
     """
     plain = texts(docs)
-    drops = dropped_lines(plain, min_chars, limit, exact_chars).select(F.col("doc_id").alias("_id"), F.col("twin").alias("_twin"), F.col("drops").alias("_drops"))
+    names = {c: fresh(docs, f"dropped_{c}") for c in ("doc_id", "twin", "drops")}
+    drops = dropped_lines(plain, min_chars, limit, exact_chars).select(*[F.col(c).alias(n) for c, n in names.items()])
+    owner, twin, gone = (F.col(names[c]) for c in ("doc_id", "twin", "drops"))
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    joined = docs.join(drops, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_twin")), "left")
+    joined = docs.join(drops, docs["doc_id"].cast("long").eqNullSafe(owner) & (F.xxhash64(text) == twin), "left")
     lines = F.split(text, "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drops"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
     rest = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    columns = [F.when(F.col("_drops").isNull(), docs[c]).otherwise(rest).alias(c) if c == "text" else docs[c] for c in docs.columns if c not in ("n_lines", "n_removed")]
-    return joined.select(*columns, F.size(lines).alias("n_lines"), F.coalesce(F.size("_drops"), F.lit(0)).alias("n_removed"))
+    columns = [F.when(gone.isNull(), docs[c]).otherwise(rest).alias(c) if c == "text" else docs[c] for c in docs.columns if c not in counts]
+    return joined.select(*columns, F.size(lines).alias(counts[0]), F.coalesce(F.size(gone), F.lit(0)).alias(counts[1]))
 
 
 def line_digest(docs: DataFrame, exact_chars: int = MIN_CHARS) -> DataFrame:

@@ -285,14 +285,15 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
     return bytes(found[0]["model"]) if found and found[0]["model"] is not None else None
 
 
-def score(docs: DataFrame, model: bytes | None) -> DataFrame:
-    """All rows and columns of ``docs`` with ``toxic_score`` added; 0 without a model.
+def score(docs: DataFrame, model: bytes | None, name: str = "toxic_score") -> DataFrame:
+    """All rows and columns of ``docs`` with the score added as ``name`` (replaced if it is there); 0 without a model.
 
-    A missing or empty text is scored as a blank word.
+    A missing or empty text is scored as a blank word; repeated rows stay; an
+    empty table gives an empty table.
     """
-    added = [c for c in docs.columns if c != "toxic_score"]
+    added = [c for c in docs.columns if c != name]
     if model is None:
-        return docs.select(*added, F.lit(0.0).alias("toxic_score"))
+        return docs.select(*added, F.lit(0.0).alias(name))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -312,11 +313,11 @@ def score(docs: DataFrame, model: bytes | None) -> DataFrame:
             logits = np.concatenate(found) if found else np.zeros(0)
             yield pd.Series(sigmoid(fitted["slope"] * logits + fitted["shift"]).astype(float))
 
-    return docs.select(*added, scores(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("toxic_score"))
+    return docs.select(*added, scores(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias(name))
 
 
 def toxicity_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score``, ``predicted`` per document."""
+    """``doc_id``, ``held_out``, ``score``, ``predicted`` per row; texts, repeats and empty tables as in ``score``."""
     plain = texts(docs)
     found = score(plain, train(plain, labels))
     return found.select(

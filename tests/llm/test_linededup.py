@@ -26,10 +26,11 @@ def distance(a, b):
     return row[-1]
 
 
-def brute(texts):
-    """Components of distinct long lines within the limit; the smallest document keeps the first line."""
-    lines = sorted({x for _, t in texts for x in (t or "").split("\n") if len(x) >= MIN_CHARS})
-    label = {x: x for x in lines}
+def brute(texts, exact=MIN_CHARS):
+    """Components of distinct long lines within the limit, short ones alone; the smallest document keeps the first line."""
+    every = {x for _, t in texts for x in (t or "").split("\n")}
+    lines = sorted(x for x in every if len(x) >= MIN_CHARS)
+    label = {x: x for x in every if len(x) >= MIN_CHARS or (len(x) >= exact and x.strip(" \t\n\x0b\f\r"))}
 
     def find(x):
         while label[x] != x:
@@ -43,13 +44,13 @@ def brute(texts):
     owner = defaultdict(lambda: float("inf"))
     for i, t in texts:
         for x in (t or "").split("\n"):
-            if len(x) >= MIN_CHARS and i is not None:
+            if x in label and i is not None:
                 owner[find(x)] = min(owner[find(x)], i)
     out = []
     for i, t in texts:
         seen, kept = set(), []
         for x in (t or "").split("\n"):
-            if len(x) >= MIN_CHARS:
+            if x in label:
                 r = find(x)
                 own = owner[r] == i or (i is None and owner[r] == float("inf"))
                 if not own or r in seen:
