@@ -222,20 +222,25 @@ def pack(pieces: DataFrame, capacity: int = 2048, unit: int = 8) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces of 1 to ``capacity`` ids.
 
     Pieces of a class are ranked in two levels, so that a class with a third of
-    all pieces is ranked by many tasks. An empty table gives an empty table.
+    all pieces is ranked by many tasks. Pieces are told apart by a number that
+    is written with them, so repeated ids spread like others and a repeated
+    task ranks alike. An empty table gives an empty table.
     """
-    pieces = stage(pieces, "pieces")
+    columns, number = pieces.columns, "piece"
+    while number in columns:
+        number += "_"
+    pieces = stage(pieces.withColumn(number, F.monotonically_increasing_id()), "pieces")
     width = F.ceil(F.col("length") / F.lit(unit)).cast("long")
     histogram = sorted((r["width"], r["n"]) for r in pieces.groupBy(width.alias("width")).agg(F.count("*").alias("n")).collect())
     widths, demand = [w for w, _ in histogram], [n for _, n in histogram]
     runs = runs_of(widths, patterns(widths, demand, capacity // unit))
 
     salts = sum(demand) // RANKED + 1
-    salted = pieces.withColumns({"width": width, "salt": F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts))})
+    salted = pieces.withColumns({"width": width, "salt": F.pmod(F.xxhash64(number), F.lit(salts))})
     before = Window.partitionBy("width").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     counts = salted.groupBy("width", "salt").agg(F.count("*").alias("n"))
     counts = counts.select("width", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    place = Window.partitionBy("width", "salt").orderBy("doc_id", "start")
+    place = Window.partitionBy("width", "salt").orderBy(number)
     ranked = (
         salted.withColumn("place", F.row_number().over(place))
         .join(counts, ["width", "salt"])
@@ -256,6 +261,6 @@ def pack(pieces: DataFrame, capacity: int = 2048, unit: int = 8) -> DataFrame:
 
     fields = ", ".join(f"`{n}` {t}" for n, t in pieces.dtypes)
     placed = ranked.select(*pieces.columns, "width", "rank").mapInPandas(assign, f"{fields}, sequence_id long")
-    inside = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "doc_id", "start")
+    inside = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "doc_id", "start", number)
     so_far = F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    return placed.withColumn("offset", so_far - F.col("length"))
+    return placed.withColumn("offset", so_far - F.col("length")).select(*columns, "sequence_id", "offset")

@@ -8,6 +8,9 @@ from tokenizers import Tokenizer
 
 from llm_data import documents
 
+from pyspark.sql import functions as F
+
+from smogline.llm import packing
 from smogline.llm.packing import Encoder, inverted, knapsack, pack, patterns, pieces_of
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -108,3 +111,36 @@ def test_patterns_take_every_piece_once_near_the_bound(seed):
 def test_inverse():
     m = np.random.default_rng(1).integers(0, 5, (30, 30)).astype(float) + np.eye(30) * 7
     assert np.allclose(inverted(m) * 1.0 @ m, np.eye(30))
+
+
+def test_a_hot_id_spreads_over_the_salts(spark, monkeypatch):
+    """A third of all rows under one id, equal starts and lengths: ranks are whole and no salt holds them all."""
+    monkeypatch.setattr(packing, "RANKED", 100)
+    listed = [(7, 0, 40, 1, 40)] * 600 + [(100 + k, 0, 10 + k % 90, k, 10 + k % 90) for k in range(1200)]
+    pieces = spark.createDataFrame(listed, packing.PIECES).withColumn("piece", F.lit("clash"))
+    found = packing.pack(pieces).collect()
+    assert found[0].asDict().keys() == {*pieces.columns, "sequence_id", "offset"} and len(found) == 1800
+    by_sequence = {}
+    for r in found:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for some in by_sequence.values():
+        at = 0
+        for offset, length in sorted(some):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(by_sequence) <= 1.03 * sum(r[2] for r in listed) / 2048 + 2
+
+
+def test_knapsack_against_all_patterns():
+    import itertools
+    import random
+
+    pick = random.Random(1)
+    for _ in range(60):
+        widths = sorted(pick.sample(range(1, 13), pick.randint(1, 4)))
+        prices = [pick.choice([0.0, 0.5, 1.0, pick.random()]) for _ in widths]
+        value, pattern = packing.knapsack(np.array(prices), np.array(widths), 12)
+        best = max(sum(p * n for p, n in zip(prices, ns)) for ns in itertools.product(range(13), repeat=len(widths)) if sum(w * n for w, n in zip(widths, ns)) <= 12)
+        assert abs(value - best) < 1e-9 and abs(sum(p * n for p, n in zip(prices, pattern)) - best) < 1e-9
+        assert sum(w * n for w, n in zip(widths, pattern)) <= 12
