@@ -119,15 +119,16 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int
 
 def knapsack(prices: np.ndarray, widths: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     """Most valuable pattern of at most ``capacity``, by dynamic programming; widths ascend."""
+    price, number = np.full(capacity + 1, -np.inf), np.full(capacity + 1, -1)
+    price[widths], number[widths] = prices, np.arange(len(widths))
     best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
-        fit = int(np.searchsorted(widths, c, "right"))
-        if fit:
-            values = best[c - widths[:fit]] + prices[:fit]
-            k = int(values.argmax())
-            if values[k] > best[c] + 1e-12:
-                best[c], last[c] = values[k], k
+        values = best[c - 1 :: -1] + price[1 : c + 1] if c > 1 else best[:1] + price[1:2]
+        k = int(values.argmax())  # a last piece of width k + 1
+        if values[k] > best[c - 1] + 1e-12:
+            best[c], last[c] = values[k], number[k + 1]
+        else:
+            best[c] = best[c - 1]
     pattern, c = np.zeros(len(widths), dtype=np.int64), capacity
     while c > 0:
         if last[c] < 0:

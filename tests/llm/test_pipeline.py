@@ -24,7 +24,7 @@ def test_stages_against_plain_versions(spark):
     assert set(calm) <= set(whole) and len(calm) > 0.7 * len(whole)
     expected = Counter()
     sizes = {i: n for i, _, n in calm}
-    for i, _, removed, text in test_linededup.brute([(i, t) for i, t, _ in calm]):
+    for i, _, removed, text in test_linededup.brute([(i, t) for i, t, _ in calm], exact=1):
         if not removed or "".join(text.split()):
             expected[(i, text, len(text) if removed else sizes[i])] += 1
     assert Counter((i, t or "", n) for i, t, n in lines) == expected
@@ -49,6 +49,20 @@ def test_run_on_whole_documents(spark):
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(found.columns) and found.count() > 100
 
 
+def test_extra_columns_with_clashing_names(spark):
+    """Columns named like the stages' own keep their values; short lines go like long ones."""
+    names = ["n_lines", "n_removed", "toxic_score", "row", "_drops", "dropped_drops", "component_id", "piece", "place"]
+    text = ["short line\nanother one", "short line\nonly here", None, ""]
+    docs = spark.createDataFrame([(i, t, len(t or ""), *([i * 100 + 77] * len(names))) for i, t in enumerate(text)], ["doc_id", "text", "n_chars", *names])
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        docs = stage(function(spark, docs, FOLDER), name)
+        assert docs.columns == ["doc_id", "text", "n_chars", *names]
+    found = {r["doc_id"]: r for r in docs.collect()}
+    assert {i: r["text"] for i, r in found.items()} == {0: text[0], 1: "only here", 2: None, 3: ""}
+    assert found[1]["n_chars"] == 9 and all(r[n] == i * 100 + 77 for i, r in found.items() for n in names)
+    assert corpus_pipeline.packing(spark, docs, FOLDER).count() == 4
+
+
 def test_empty_documents(spark):
     docs = table(spark, FOLDER, "documents").where("false")
     for _, function in corpus_pipeline.STAGES:
