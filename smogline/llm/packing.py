@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from smogline.llm.common import texts
 from smogline.session import stage
 
-#: Words whose ids a Python worker remembers.
+#: Words whose ids a Python worker remembers, some 100 MB.
 REMEMBERED = 700_000
+#: Documents encoded together.
+TOGETHER = 256
 #: Pieces that are ranked together in one task, on average.
 RANKED = 200_000
 
@@ -67,7 +69,7 @@ class Encoder:
             kept = dict(list(known.items())[: REMEMBERED // 2])
             known.clear()
             known.update(kept)
-        words = {w for w in words if w not in known}
+        words = words.difference(known)
         # a comma or full stop after an ASCII letter or digit is a token of its own
         tails = {w for w in words if len(w) > 1 and w[-1:] in b".," and w[-2:-1].isalnum()}
         bare = list({w[:-1] for w in tails if w[:-1] not in known} | (words - tails) | {w for w in (b".", b",") if w not in known})
@@ -78,17 +80,17 @@ class Encoder:
             some = bare[start : start + 1024]
             text = " | ".join([w.decode("utf-8", "replace") for w in some])
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == self.bar).tolist()
-            for word, begin, end in zip(some, [0, *[c + 1 for c in cuts]], [*cuts, len(ids)]):
-                known[word] = ids[begin:end].tobytes()
+            cuts = 4 * np.flatnonzero(ids == self.bar)
+            parts = map(slice, [0, *(cuts + 4).tolist()], [*cuts.tolist(), 4 * len(ids)])
+            known.update(zip(some, map(ids.tobytes().__getitem__, parts)))
         for w in tails:
             known[w] = known[w[:-1]] + known[w[-1:]]
 
     def encode(self, batch: list[str]) -> list[bytes]:
         plain = [None if "<|" in t else t.encode("utf-8", "replace").lower().split() for t in batch]
-        self.learn({w for words in plain if words for w in words})
-        known = self.known
-        return [self.whole(t) if words is None else b"".join([known[w] for w in words]) for t, words in zip(batch, plain)]
+        self.learn(set().union(*[words for words in plain if words]))
+        ids = self.known.__getitem__
+        return [self.whole(t) if words is None else b"".join(map(ids, words)) for t, words in zip(batch, plain)]
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1) -> DataFrame:
@@ -101,10 +103,10 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, end = Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, len(batch), 64):
-                some = batch.iloc[at : at + 64]
+            doc_ids, all_texts = batch["doc_id"].to_list(), batch["text"].to_list()
+            for at in range(0, len(batch), TOGETHER):
                 rows = []
-                for doc_id, ids in zip(some["doc_id"], encoder.encode(list(some["text"]))):
+                for doc_id, ids in zip(doc_ids[at : at + TOGETHER], encoder.encode(all_texts[at : at + TOGETHER])):
                     ids += end
                     n = len(ids) // 4
                     for s in range(0, n, capacity):
