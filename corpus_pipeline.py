@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.llm.common import table
+from smogline.llm.common import fresh, table
 from smogline.llm.jaccard import jaccard_components
 from smogline.llm.linededup import dedup_lines
 from smogline.llm.packing import pack, pieces_of
@@ -21,21 +21,27 @@ from smogline.session import stage
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score is below one half; the network learns from their labelled rows."""
+    """Documents whose score is below one half; the network learns from their labelled rows.
+
+    Missing and empty texts are scored as a blank word; repeated rows stay; all
+    stay where there is nothing to learn from.
+    """
+    name = fresh(docs, "toxic_score")
     model = train(docs, table(spark, sf_dir, "labels"))
-    return score(docs, model).where("toxic_score < 0.5").select(*docs.columns)
+    return score(docs, model, name).where(F.col(name) < 0.5).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that an earlier document has; ``n_chars`` follows the text.
+    """Texts without lines that an earlier document has, short ones included; ``n_chars`` follows the text.
 
     A document that loses lines and keeps nothing but blanks goes; documents
     that lose nothing stay as they are, empty ones too.
     """
-    found = dedup_lines(docs)
+    n_lines, n_removed = fresh(docs, "n_lines"), fresh(docs, "n_removed")
+    found = dedup_lines(docs, exact_chars=1, counts=(n_lines, n_removed))
     rest = F.regexp_replace(F.coalesce("text", F.lit("")), r"\s", "")
-    found = found.where((F.col("n_removed") == 0) | (rest != ""))
-    length = {"n_chars": F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")}
+    found = found.where((F.col(n_removed) == 0) | (rest != ""))
+    length = {"n_chars": F.when(F.col(n_removed) > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")}
     return found.withColumns(length if "n_chars" in docs.columns else {}).select(*docs.columns)
 
 
@@ -44,19 +50,20 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are compared by their texts, whatever their ids; texts without words stay.
     """
-    docs = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    parts = jaccard_components(docs.select(F.col("_row").alias("doc_id"), "text"))
-    parts = stage(parts.select(F.col("doc_id").alias("_row"), "n_shingles", F.col("component_id").alias("_component")), "parts")
+    columns, row = docs.columns, fresh(docs, "row")
+    docs = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    parts = jaccard_components(docs.select(F.col(row).alias("doc_id"), "text"))
+    parts = stage(parts.select(F.col("doc_id").alias("row"), "n_shingles", "component_id"), "parts")
     number = F.col("doc_id").cast("long")
-    order = F.struct(number.isNull(), number, -F.length("text"), F.xxhash64("text"), F.col("_row").alias("_row"))
-    found = docs.select("_row", order.alias("_order")).join(parts.where("n_shingles > 0").select("_row", "_component"), "_row")
-    first = found.groupBy("_component").agg(F.min("_order").alias("_order")).select("_order._row")
-    stays = first.unionByName(parts.where("n_shingles = 0").select("_row"))
-    return docs.join(stays, "_row", "left_semi").drop("_row")
+    order = F.struct(number.isNull(), number, -F.length("text"), F.xxhash64("text"), F.col(row).alias("row"))
+    found = docs.select(F.col(row).alias("row"), order.alias("place")).join(parts.where("n_shingles > 0"), "row")
+    first = found.groupBy("component_id").agg(F.min("place").alias("place")).select(F.col("place.row").alias(row))
+    stays = first.unionByName(parts.where("n_shingles = 0").select(F.col("row").alias(row)))
+    return docs.join(stays, row, "left_semi").select(*columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining documents with their sequences."""
+    """Pieces of the remaining documents with their sequences; missing and empty texts are an end id each."""
     return pack(pieces_of(docs, tokenizer_path("word_bpe_49k.json")))
 
 
@@ -66,8 +73,18 @@ STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("near_copies", ne
 ORACLE_SQL = None
 
 
+#: Documents that a Python worker gets at once.
+BATCH = 2_000
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents."""
+    """All stages over the documents.
+
+    Rows are whole documents, so the session's Arrow batches are made smaller:
+    workers live through all stages and keep what their largest batch took.
+    """
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(batch, str(min(int(spark.conf.get(batch)), BATCH)))
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name)
