@@ -3,8 +3,9 @@
 All rolling k-grams of a text are joined with the k-grams of the templates. A
 hit votes for its diagonal, text position minus template position; a whole
 phrase is a diagonal with all of its k-grams. Neighbouring diagonals are merged,
-so that inserted or left-out words do not part a span, and the span is verified
-by the share of the template that it covers in order.
+so that inserted or left-out words do not part a span. A span is verified by the
+longest sequence of its hits that goes forward in the text and in the template:
+its share of the template's k-grams decides, so words in another order do not count.
 
 DataFrame functions only. The templates are a list in code, so the joined side
 has a few hundred rows at any size of the input.
@@ -12,7 +13,7 @@ has a few hundred rows at any size of the input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smogline.llm.common import lower_ascii, texts
@@ -50,6 +51,23 @@ def _template_rows() -> tuple[list[tuple], list[tuple]]:
     return grams, sizes
 
 
+def _in_order(hits: Column, size: Column) -> Column:
+    """Most hits (``at``, ``back`` = - j) that follow each other in text and template.
+
+    hits are sorted by ``at``. The longest sequence that ends at each template
+    place is carried along, so the work is hits times template size.
+    """
+
+    def with_hit(longest: Column, hit: Column) -> Column:
+        def place(n: Column, j: Column) -> Column:
+            before = F.coalesce(F.array_max(F.slice(longest, 1, j)), F.lit(0))
+            return F.when(j == -hit["back"], F.greatest(n, before + 1)).otherwise(n)
+
+        return F.transform(longest, place)
+
+    return F.array_max(F.aggregate(hits, F.array_repeat(F.lit(0), size), with_hit))
+
+
 def license_scan(docs: DataFrame) -> DataFrame:
     """Words, phrase places, labels and score per document.
 
@@ -85,8 +103,9 @@ def license_scan(docs: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("base") & (F.col("n") == F.col("size") - K + 1), 1).otherwise(0)).alias("places"),
         F.min(F.when(F.col("base") & (F.col("n") == F.col("size") - K + 1), F.col("diagonal"))).alias("first"),
         F.max(F.when(F.col("base") & (F.col("n") == F.col("size") - K + 1), F.col("diagonal"))).alias("last"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("js")))).alias("covered"),
+        F.sort_array(F.flatten(F.collect_list(F.transform("js", lambda j: F.struct((F.col("diagonal") + j).alias("at"), (-j).alias("back")))))).alias("hits"),
     )
+    spans = spans.withColumn("covered", F.when(F.col("template") >= len(PHRASES), _in_order(F.col("hits"), F.col("size"))))
     cover = F.when(F.col("template") >= 0, F.col("covered") / (F.col("size") - K + 1))
     spans = spans.withColumn("cover", F.when(F.col("base"), F.when(F.col("places") > 0, 1.0).otherwise(0.0)).otherwise(cover))
     found = F.when(F.col("cover") >= COVER, F.col("label"))

@@ -57,6 +57,41 @@ def test_altered_template(spark):
     assert r["labels"] == "" and r["score"] < 0.5
 
 
+def test_spans_are_verified_in_order(spark):
+    """All k-grams of a notice, but backwards or far from each other, are no notice."""
+    texts = {
+        1: "released under the mit license", 2: "mit license the mit under the released under", 3: "license under the apache licensed version 2 0",
+        4: "x licensed under the very apache license version 2 0 y", 5: "version 2 0 apache license version license version 2 the apache under the licensed under",
+        6: "under the mit license released under", 7: "released under the mit license " * 500,
+        8: "permission is hereby granted free of fee to any person obtaining a copy of this software and associated documentation files",
+        9: "permission is hereby granted free of charge to any person obtaining a copy of software and associated documentation files",
+    }
+    found = {r["doc_id"]: r for r in license_scan(rows(spark, list(texts.items()))).collect()}
+    own = {i: set(r["labels"].split(",")) - set(r["base_labels"].split(",")) - {""} for i, r in found.items()}
+    assert own == {1: {"mit-notice"}, 2: set(), 3: set(), 4: {"apache-2.0"}, 5: set(), 6: set(), 7: {"mit-notice"}, 8: {"mit-text"}, 9: {"mit-text"}}
+    assert found[1]["score"] == 1 and found[7]["n_base"] == 500
+
+
+def test_longest_sequence_against_all_subsets(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from smogline.llm.licenses import _in_order
+
+    def plain(hits):
+        best = []
+        for k, (at, j) in enumerate(hits):
+            best.append(1 + max((best[i] for i in range(k) if hits[i][0] < at and hits[i][1] < j), default=0))
+        return max(best, default=0)
+
+    pick = random.Random(5)
+    cases = [sorted({(pick.randrange(12), pick.randrange(6)) for _ in range(pick.randint(0, 10))}, key=lambda h: (h[0], -h[1])) for _ in range(80)]
+    df = spark.createDataFrame([(k, [(at, -j) for at, j in hits]) for k, hits in enumerate(cases)], "k int, hits array<struct<at: int, back: int>>")
+    found = {r["k"]: r["n"] for r in df.select("k", _in_order(F.col("hits"), F.lit(6)).alias("n")).collect()}
+    assert found == {k: plain(hits) for k, hits in enumerate(cases)}
+
+
 def test_no_python_in_the_plan(spark):
     plan = license_scan(rows(spark, TEXTS))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
