@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,13 +15,14 @@ DECIDING = {"regression": "R2", "classification": "F1_Score"}
 DIGITS = 4
 
 
-def regression_metrics(df: DataFrame, truth: str, prediction: str) -> DataFrame:
-    """MAE, RMSE and R2 as rows (metric, value), in one pass.
+def regression_metrics(df: DataFrame, truth: str, prediction: str, by: list[str] | None = None) -> DataFrame:
+    """MAE, RMSE and R2 as rows (metric, value), in one pass (M14); ``by`` names columns that come first.
 
     For a constant truth R2 is 1 if every prediction hits it, else 0.
     """
+    by = by or []
     error = F.col(truth) - F.col(prediction)
-    sums = df.agg(
+    sums = df.groupBy(*by).agg(
         F.avg(F.abs(error)).alias("mae"),
         F.avg(error * error).alias("mse"),
         F.var_pop(F.col(truth).cast("double")).alias("variance"),
@@ -29,13 +32,13 @@ def regression_metrics(df: DataFrame, truth: str, prediction: str) -> DataFrame:
         .when(F.col("mse") == 0, 1.0)
         .when(F.col("mse") > 0, 0.0)
     )
-    wide = sums.select(F.col("mae").alias("MAE"), F.sqrt("mse").alias("RMSE"), r2.alias("R2"))
-    return wide.unpivot([], wide.columns, "metric", "value")
+    wide = sums.select(*by, F.col("mae").alias("MAE"), F.sqrt("mse").alias("RMSE"), r2.alias("R2"))
+    return wide.unpivot(by, ["MAE", "RMSE", "R2"], "metric", "value")
 
 
-def confusion_counts(df: DataFrame, truth: str, prediction: str) -> DataFrame:
+def confusion_counts(df: DataFrame, truth: str, prediction: str, by: list[str] | None = None) -> DataFrame:
     """Rows per pair of true and predicted class that occurs."""
-    return df.groupBy(F.col(truth).alias("label"), F.col(prediction).alias("prediction")).agg(
+    return df.groupBy(*(by or []), F.col(truth).alias("label"), F.col(prediction).alias("prediction")).agg(
         F.count(F.lit(1)).alias("n")
     )
 
@@ -69,32 +72,46 @@ def with_percent(small: DataFrame, value: str, name: str) -> DataFrame:
     return small.withColumn(name, F.col(value) / one_if_zero(total) * 100.0)
 
 
-def classification_metrics(df: DataFrame, truth: str, prediction: str) -> DataFrame:
+def classification_metrics(df: DataFrame, truth: str, prediction: str, by: list[str] | None = None) -> DataFrame:
     """Accuracy and support-weighted precision, recall and F1 as rows.
 
     All come from the pair counts; a class that is never predicted has
-    precision 0.
+    precision 0. ``by`` names columns that come first.
     """
-    counts = confusion_counts(df, truth, prediction)
+    by = by or []
+    counts = confusion_counts(df, truth, prediction, by)
     hit = "if(label = prediction, n, 0L)"
     sides = counts.select(
+        *by,
         F.expr(f"stack(2, label, n, 0L, 0L, prediction, 0L, n, {hit})").alias(
             "class", "support", "predicted", "hits"
-        )
+        ),
     )
-    per_class = sides.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
+    per_class = sides.groupBy(*by, "class").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
 
     def ratio(a: Column, b: Column) -> Column:
         return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
     support, predicted, hits = F.col("support"), F.col("predicted"), F.col("hits")
-    wide = per_class.agg(
+    wide = per_class.groupBy(*by).agg(
         ratio(F.sum(hits), F.sum(support)).alias("Accuracy"),
         ratio(F.sum(support * ratio(hits, predicted)), F.sum(support)).alias("Precision"),
         ratio(F.sum(support * ratio(hits, support)), F.sum(support)).alias("Recall"),
         ratio(F.sum(support * ratio(hits * 2, support + predicted)), F.sum(support)).alias("F1_Score"),
     )
-    return wide.unpivot([], wide.columns, "metric", "value")
+    return wide.unpivot(by, [c for c in wide.columns if c not in by], "metric", "value")
+
+
+def compared(
+    df: DataFrame, truth: str, predictions: dict[str, str], measure: Callable[[DataFrame, str, str, list[str]], DataFrame]
+) -> DataFrame:
+    """Scores of several models as rows (model, metric, value), in one pass over the rows.
+
+    predictions: column of each model's predictions.
+    """
+    sides = [x for name, column in predictions.items() for x in (F.lit(name), F.col(column))]
+    each = df.select(truth, F.stack(F.lit(len(predictions)), *sides).alias("model", "prediction"))
+    return measure(each, truth, "prediction", ["model"])
 
 
 def leaderboard(scores: list[tuple[str, str, DataFrame]]) -> DataFrame:

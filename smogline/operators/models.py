@@ -29,6 +29,7 @@ from smogline.operators.boosting import SOFTMAX, SQUARED, GradientBoosting, Grad
 from smogline.operators.evaluate import (
     best_model,
     classification_metrics,
+    compared,
     leaderboard,
     regression_metrics,
 )
@@ -165,7 +166,8 @@ def train(
 
     Dictionaries cover the whole table, means and deviations the train rows
     only. Both are fitted once, and the vectors are kept for all fits. Each fit
-    is a distributed job; the driver holds only models and a few scores. With
+    is a distributed job; all models score the test rows in one projection. The
+    driver holds only models and a few scores. With
     several fits at once, the fit times include waiting for each other.
     """
     spark = marked.sparkSession
@@ -190,15 +192,21 @@ def train(
     def fit(estimator):
         started = time.monotonic()
         fitted = estimator.fit(vectors)
-        spent = round(time.monotonic() - started, 3)
-        return fitted, spent, measure(fitted.transform(held_out), "label", "prediction").collect()
+        return fitted, round(time.monotonic() - started, 3)
 
     with ThreadPoolExecutor(profile.at_once) as pool:
         outcomes = dict(zip(estimators, pool.map(fit, estimators.values())))
+    scored, columns = held_out, {}
+    for k, (name, (fitted, _)) in enumerate(outcomes.items()):
+        columns[name] = f"prediction_{k}"
+        scored = fitted.copy({fitted.predictionCol: columns[name]}).transform(scored)
+        scored = scored.select("features", "label", *columns.values())
+    found = compared(scored, "label", columns, measure).collect()
     models, seconds, scores = {}, {}, []
-    for name, (fitted, spent, scored) in outcomes.items():
+    for name, (fitted, spent) in outcomes.items():
         seconds[name] = spent
-        scores.append((task, name, small_table(spark, scored, {"metric": "string", "value": "double"})))
+        own = [(r["metric"], r["value"]) for r in found if r["model"] == name]
+        scores.append((task, name, small_table(spark, own, {"metric": "string", "value": "double"})))
         models[name] = PipelineModel(
             stages=[*encoders.stages, *scaler.stages, fitted, *_class_names(task, encoders)]
         )

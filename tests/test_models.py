@@ -158,3 +158,15 @@ def test_structure_of_fitted_models(regression, classification):
     assert facts["Random Forest Regressor", "trees"] == 4 and facts["Random Forest Regressor", "depth"] <= 6
     assert facts["Gradient Boosting Classifier", "stages"] == 3 and facts["Gradient Boosting Classifier", "trees"] % 3 == 0
     assert facts["Gradient Boosting Regressor", "depth"] == 4 and facts["Linear Regression", "coefficients"] == 20
+
+
+def test_all_models_are_scored_in_one_pass_like_one_by_one(spark, cleaned, regression, classification):
+    marked = {"regression": split.random_split(cleaned.drop("k")), "classification": split.stratified_split(cleaned.drop("k"), BUCKET)}
+    for trained in (regression, classification):
+        measure = evaluate.regression_metrics if trained.task == models.REGRESSION else evaluate.classification_metrics
+        truth = "AQI" if trained.task == models.REGRESSION else "label"
+        held_out = marked[trained.task].where("is_test")
+        for name in list(trained.models)[:2]:
+            alone = measure(trained.models[name].transform(held_out), truth, "prediction").collect()
+            board = {r["metric"]: r["value"] for r in trained.board.where(F.col("model") == name).collect()}
+            assert board.keys() == {r["metric"] for r in alone} and all(abs(board[r["metric"]] - r["value"]) < 6e-5 for r in alone)
