@@ -1,7 +1,7 @@
 """Connected components and exact linking of items that share keys.
 
-Used by the near-duplicate operators. Nothing is collected to the driver and no
-group of items is expanded into all its pairs.
+Used by the near-duplicate operators. Nothing is collected to the driver. Pairs
+within a group of items are only made between members not yet known to be linked.
 """
 
 from __future__ import annotations
@@ -62,10 +62,11 @@ def linked(
     sketches: ``item`` once and more attributes, and near a second necessary
     condition on these; a pair with a missing attribute stays.
 
-    First only neighbours in each key's order are verified; their number is
-    linear, and they join the members of a large group. Then every pair that
-    still lies in different components is verified, so no link is lost, while
-    members of a component that is already known make no pairs.
+    First only neighbours in each key's order and the pairs of extra are verified;
+    their number is linear, and they join the members of a large group. Then every
+    pair that still lies in different components is verified, so no link is lost,
+    while members of a component that is already known make no pairs. Of these
+    links one per pair of components is kept.
     """
     in_key = Window.partitionBy("key").orderBy(*order, "item")
     whole = F.struct(*[F.col(c) for c in postings.columns if c != "key"])
@@ -83,8 +84,9 @@ def linked(
 
     # keys of two items have had their only pair
     labelled = postings.where("many > 2").select("key", "x.*").join(labels, "item", "left").withColumn("label", F.coalesce("label", "item"))
-    mixed = labelled.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    open_rows = labelled.join(mixed.where("n > 2 and lo <> hi").select("key"), "key")
+    whole_key = Window.partitionBy("key")
+    mixed = labelled.withColumns({"_lo": F.min("label").over(whole_key), "_hi": F.max("label").over(whole_key)})
+    open_rows = mixed.where("_lo <> _hi").drop("_lo", "_hi")
     open_rows = stage(open_rows if sketches is None else open_rows.join(sketches, "item", "left"), "open")
     x, y = open_rows.alias("x"), open_rows.alias("y")
     rest = (
@@ -97,5 +99,8 @@ def linked(
     if rest.isEmpty():
         return labels
     more = stage(verify(rest), "links")
-    known = labels.select(F.col("item").alias("a"), F.col("label").alias("b"))
-    return components(known.unionByName(more))
+    la, lb = (labels.select(F.col("item").alias(c), F.col("label").alias(f"label_{c}")) for c in ("a", "b"))
+    between = more.join(la, "a", "left").join(lb, "b", "left").select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    moved = stage(components(between), "moved")
+    to = moved.select(F.col("item").alias("label"), F.col("label").alias("root"))
+    return labels.join(to, "label", "left").select("item", F.coalesce("root", "label").alias("label")).unionByName(moved).distinct()

@@ -27,6 +27,10 @@ from smogline.session import stage
 #: Slots of the rarity sketch and of the map of wanted documents: 4 MB and 2 MB at any size of the input.
 SLOTS = 1 << 22
 WANTED = 1 << 24
+#: Odd factors that permute hashes; a set's smallest product under each is one of its least hashes.
+FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x9FB21C651E98DF25, 0xD1342543DE82EF95], dtype=np.uint64)
+#: Different sets per salt, so that a chain of equal least hashes stays bounded.
+SALTED = 200_000
 #: Shingles counted before a task hands on its heavy slots.
 COUNTED = 2_000_000
 
@@ -63,7 +67,8 @@ def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     ``shape`` counts a set's hashes by their first nine bits, once per set and
     task; it is left out where a count does not fit in a byte. ``sketch`` has
-    the last bit of every count, 512 in all.
+    the last bit of every count, 512 in all. ``least`` has three bytes
+    of its least hash under each of the FACTORS, once per set and task.
     """
     level = docs.sparkSession.sparkContext.broadcast(common_slots(docs, k))  # SLOTS bytes
 
@@ -83,15 +88,16 @@ def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     counts = np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=512)
                     shape = counts.astype(np.uint8).tobytes() if item not in done and counts.max() < 256 else b""
                     sketch = np.packbits((counts & 1).astype(np.uint8)).view(np.int64) if item not in done else np.empty(0, dtype=np.int64)
-                    rows.append((n, item, shape, sketch, group, prefix[: 0 if (group, n) in done else size].view(np.int64)))
+                    least = b"" if item in done else b"".join(int((s * f).min()).to_bytes(8, "little")[:3] for f in FACTORS)
+                    rows.append((n, item, shape, sketch, least, group, prefix[: 0 if (group, n) in done else size].view(np.int64)))
                     done |= {(group, n), item}
                 else:
-                    rows.append((0, 0, b"", np.empty(0, dtype=np.int64), 0, np.empty(0, dtype=np.int64)))
-            out = pd.DataFrame(rows, columns=["n_shingles", "item", "shape", "sketch", "prefix_digest", "prefix"], index=batch.index)
+                    rows.append((0, 0, b"", np.empty(0, dtype=np.int64), b"", 0, np.empty(0, dtype=np.int64)))
+            out = pd.DataFrame(rows, columns=["n_shingles", "item", "shape", "sketch", "least", "prefix_digest", "prefix"], index=batch.index)
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
             yield out
 
-    return docs.mapInPandas(describe, "doc_id long, n_shingles long, item long, shape binary, sketch array<long>, prefix_digest long, prefix array<long>")
+    return docs.mapInPandas(describe, "doc_id long, n_shingles long, item long, shape binary, sketch array<long>, least binary, prefix_digest long, prefix array<long>")
 
 
 def fetch_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -166,6 +172,28 @@ def similar(docs: DataFrame, described: DataFrame, members: DataFrame, k: int, p
     return verify
 
 
+def neighbours(full: DataFrame, n_sets: int) -> DataFrame:
+    """Pairs of sets that follow each other among those with an equal least hash; a few per set.
+
+    For each factor the sets stand in the order of their least hashes from it on, so
+    neighbours agree in as many as possible: of a large group of near copies those
+    closest to each other, whatever other documents share its frequent shingles.
+    Each factor salts the sets anew, so the chains of one cross those of another. The
+    next three are taken where at least half of the least hashes agree: this only
+    chooses what is tried first.
+    """
+    sets = full.where("length(least) > 0").groupBy("item").agg(F.first("least").alias("least"))
+    factor = F.explode(F.sequence(F.lit(0), F.lit(len(FACTORS) - 1))).alias("factor")
+    rows = sets.select("item", "least", factor).withColumn("least", F.expr("concat(substring(least, 3 * factor + 1), substring(least, 1, 3 * factor))"))
+    salt = F.pmod(F.xxhash64("item", "factor"), F.lit(n_sets // SALTED + 1))
+    chain = Window.partitionBy("factor", F.substring("least", 1, 3), salt).orderBy("least", "item")
+    next_ones = F.array(*[F.lead(F.struct("item", "least"), j).over(chain) for j in (1, 2, 3)])
+    rows = rows.select("item", "least", next_ones.alias("next")).select("item", "least", F.explode("next").alias("next"))
+    agreed = sum(F.expr(f"int(substring(least, {3 * j + 1}, 3) = substring(next.least, {3 * j + 1}, 3))") for j in range(len(FACTORS)))
+    rows = rows.where(agreed >= len(FACTORS) // 2).select("item", F.col("next.item").alias("other"))
+    return rows.select(F.least("item", "other").alias("a"), F.greatest("item", "other").alias("b"))
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` per document.
 
@@ -208,7 +236,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
         return F.lit(100 + percent) * sum(bits[1:], bits[0]) <= F.lit(100 - percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
 
     sketches = full.where("size(sketch) > 0").groupBy("item").agg(F.first("sketch").alias("sketch"))
-    labels = linked(postings, similar(docs, described, members, k, percent), may_link, ["n"], sketches=sketches, near=near)
+    labels = linked(postings, similar(docs, described, members, k, percent), may_link, ["n"], neighbours(full, members.count()), sketches, near)
     label = members.join(labels, "item", "left").select("item", "doc_id", F.coalesce("label", "item").alias("label"))
     lowest = label.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     found = label.join(lowest, "label").select("item", "component_id")
