@@ -208,12 +208,15 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
     group = F.xxhash64("prefix_digest", "n_shingles").alias("g")
     # equal sets are one member: the smallest document stands for it
     members = stage(full.groupBy("item", group, "n_shingles").agg(F.min("doc_id").alias("doc_id")), "members")
+    # groups go by a short number from here on; it is read from the written table
+    groups = full.where("size(prefix) > 0").groupBy(group).agg(F.first("n_shingles").cast("int").alias("n"), F.first("prefix").alias("prefix"))
+    groups = stage(groups.withColumn("no", F.monotonically_increasing_id()), "groups")
     # a key of one group alone links nothing, and most keys are of one group
     in_key = Window.partitionBy("key")
-    keyed = full.select(group, F.col("n_shingles").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "key"))
-    shared = keyed.withColumns({"lo": F.min("g").over(in_key), "hi": F.max("g").over(in_key)}).where("lo <> hi")
-    shared = shared.select("key", "g", "n", "pos").distinct()
-    postings = shared.join(members.select("g", "item"), "g").select("key", "item", "n", "pos")
+    keyed = groups.select("no", F.posexplode("prefix").alias("pos", "key"))
+    shared = keyed.withColumns({"lo": F.min("no").over(in_key), "hi": F.max("no").over(in_key)}).where("lo <> hi").select("key", "no", "pos")
+    numbered = members.join(groups.select("g", "no", "n"), "g").select("no", "n", "item")
+    postings = shared.join(numbered, "no").select("key", "item", "n", "pos")
     # members of one group have all prefix shingles in common: one key, their group, is enough
     sizes = members.groupBy("g").agg(F.count("*").alias("m"))
     inside = members.join(sizes.where("m > 1").select("g"), "g")
