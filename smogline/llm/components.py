@@ -79,7 +79,12 @@ def linked(
     if extra is not None:
         first = first.unionByName(extra)
     first = stage(first.distinct(), "pairs")
-    links = stage(verify(first), "links")
+    likely = first
+    if sketches is not None:
+        x, y = sketches.alias("x"), sketches.alias("y")
+        likely = first.join(x, F.col("a") == F.col("x.item"), "left").join(y, F.col("b") == F.col("y.item"), "left")
+        likely = stage(likely.where(F.coalesce(near("x", "y"), F.lit(True))).select("a", "b"), "near")
+    links = stage(verify(likely), "links")
     labels = components(links)
 
     # keys of two items have had their only pair

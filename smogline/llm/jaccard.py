@@ -209,13 +209,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
     # equal sets are one member: the smallest document stands for it
     members = stage(full.groupBy("item", group, "n_shingles").agg(F.min("doc_id").alias("doc_id")), "members")
     # groups go by a short number from here on; it is read from the written table
-    groups = full.where("size(prefix) > 0").groupBy(group).agg(F.first("n_shingles").cast("int").alias("n"), F.first("prefix").alias("prefix"))
-    groups = stage(groups.withColumn("no", F.monotonically_increasing_id()), "groups")
+    groups = stage(members.select("g", F.col("n_shingles").cast("int").alias("n")).distinct().withColumn("no", F.monotonically_increasing_id()), "groups")
     # a key of one group alone links nothing, and most keys are of one group
     in_key = Window.partitionBy("key")
-    keyed = groups.select("no", F.posexplode("prefix").alias("pos", "key"))
-    shared = keyed.withColumns({"lo": F.min("no").over(in_key), "hi": F.max("no").over(in_key)}).where("lo <> hi").select("key", "no", "pos")
-    numbered = members.join(groups.select("g", "no", "n"), "g").select("no", "n", "item")
+    keyed = full.where("size(prefix) > 0").select(group, "prefix").join(groups, "g").select("no", F.posexplode("prefix").alias("pos", "key"))
+    shared = keyed.withColumns({"lo": F.min("no").over(in_key), "hi": F.max("no").over(in_key)}).where("lo <> hi").select("key", "no", "pos").distinct()
+    numbered = members.join(groups, "g").select("no", "n", "item")
     postings = shared.join(numbered, "no").select("key", "item", "n", "pos")
     # members of one group have all prefix shingles in common: one key, their group, is enough
     sizes = members.groupBy("g").agg(F.count("*").alias("m"))
@@ -236,9 +235,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
     def near(x: str, y: str) -> Column:
         """Every bit in which sketches differ is an element that only one set has."""
         bits = [F.bit_count(F.col(f"{x}.sketch")[i].bitwiseXOR(F.col(f"{y}.sketch")[i])) for i in range(8)]
-        return F.lit(100 + percent) * sum(bits[1:], bits[0]) <= F.lit(100 - percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+        return F.lit(100 + percent) * sum(bits[1:], bits[0]) <= F.lit(100 - percent) * (F.col(f"{x}.size") + F.col(f"{y}.size"))
 
-    sketches = full.where("size(sketch) > 0").groupBy("item").agg(F.first("sketch").alias("sketch"))
+    sketches = stage(full.where("size(sketch) > 0").groupBy("item").agg(F.first("sketch").alias("sketch"), F.first("n_shingles").alias("size")), "sketches")
     labels = linked(postings, similar(docs, described, members, k, percent), may_link, ["n"], neighbours(full, members.count()), sketches, near)
     label = members.join(labels, "item", "left").select("item", "doc_id", F.coalesce("label", "item").alias("label"))
     lowest = label.groupBy("label").agg(F.min("doc_id").alias("component_id"))

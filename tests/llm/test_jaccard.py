@@ -80,3 +80,30 @@ def test_components(spark, edges):
     found = {r["item"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     nodes = {n for a, b in edges if a != b for n in (a, b)}
     assert found == lowest(nodes, [e for e in edges if e[0] != e[1]])
+
+
+def test_verified_pairs_of_one_large_group_stay_linear(spark, monkeypatch):
+    import random
+
+    from smogline.llm import components as module
+
+    staged, plain = [], module.stage
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name == "pairs":
+            staged[-1] += out.count()
+        return out
+
+    monkeypatch.setattr(module, "stage", counted)
+    base, chance = [f"w{j}" for j in range(100)], random.Random(3)
+    for n in (150, 300):
+        texts = []
+        for i in range(n):
+            words = list(base)
+            for j in chance.sample(range(100), chance.randint(1, 3)):
+                words[j] = f"x{i}_{j}"
+            texts.append((i, " ".join(words)))
+        staged.append(0)
+        check(spark, texts)
+    assert staged[1] < 3 * staged[0], staged
