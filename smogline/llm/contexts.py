@@ -7,11 +7,12 @@ node weighs its own estimate against its children's product by half and half,
 which gives the probability of every next byte and so a text's code length.
 
 Texts are read once, in chunks. A chunk hands on its distinct byte grams and
-words with their counts, dealt to parts by the two last context bytes or the
-word's hash. A part adds up all chunks' counts, and answers every chunk with
-one number per key in the chunk's order, so nothing that grows with the corpus
-is broadcast; tasks hold one chunk or one part. Only the two shallowest levels
-(256 contexts of 255 nodes) pass through the driver.
+words with their counts, dealt to parts by the three last context bytes or the
+word's hash. Counts are added up in rounds over groups of chunks, so that no
+task holds the keys of all chunks; a part solves its nodes, and answers go back
+to the chunks the way that the counts came. Nothing that grows with the corpus
+is broadcast. Nodes of two context bytes are added up by Spark and joined back;
+only the two shallowest levels (256 contexts of 255 nodes) pass through the driver.
 """
 
 from __future__ import annotations
@@ -29,12 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smogline.llm.common import fold, parts_for, texts
-from smogline.llm.shingles import distinct, mix
+from smogline.llm.shingles import mix
 from smogline.session import stage
 
 DEPTH = 5
+#: Context bytes by which grams are dealt to parts.
+TOP = 3
 #: Bytes of text in a chunk, in a block of it, and per part.
-CHUNK, BLOCK, PART = 32 << 20, 1 << 20, 16 << 20
+CHUNK, BLOCK, PART = 16 << 20, 1 << 20, 16 << 20
+#: Chunks whose counts are added up at once.
+FAN = 256
 #: The token that ends a text; no word is empty.
 END = b""
 DOCS, WORDS, GRAMS = 0, 1, 2
@@ -46,15 +51,19 @@ def held_out(doc_id: int | None) -> bool:
 
 
 def grams(blobs: list[bytes]) -> np.ndarray:
-    """Every byte after its ``DEPTH`` preceding ones, and an end byte per text, as numbers; texts in a row."""
+    """Every byte with its ``DEPTH`` preceding ones, and an end byte per text, as numbers; texts in a row.
+
+    The nearest preceding byte is the highest and the byte itself the lowest, so
+    that grams in order have their contexts, of any length, next to each other.
+    """
     pad = bytes(DEPTH)
     b = np.frombuffer(b"".join([pad + x + b"\0" for x in blobs]), dtype=np.uint8)
     if not len(b):
         return np.empty(0, np.uint64)
     n = len(b) - DEPTH
-    keys = np.zeros(n, np.uint64)
-    for j in range(DEPTH + 1):
-        keys |= b[j : j + n].astype(np.uint64) << np.uint64(8 * (DEPTH - j))
+    keys = b[DEPTH:].astype(np.uint64)
+    for j in range(DEPTH):
+        keys |= b[j : j + n].astype(np.uint64) << np.uint64(8 * (j + 1))
     sizes = np.array([len(x) + DEPTH + 1 for x in blobs])
     inside = np.ones(n + DEPTH, bool)
     ends = np.cumsum(sizes)
@@ -63,6 +72,25 @@ def grams(blobs: list[bytes]) -> np.ndarray:
     return keys[inside[:n]]
 
 
+def squeeze(values: np.ndarray) -> bytes:
+    """Numbers, compressed byte place by byte place."""
+    return zstandard.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
+
+
+def spread(data: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(raw.T).view(kind).ravel()
+
+
+def squeeze_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys by their differences."""
+    return squeeze(np.diff(keys, prepend=np.uint64(0)))
+
+
+def spread_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(spread(data, np.uint64), dtype=np.uint64)
+
+
 def word_hash(word: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
@@ -81,53 +109,43 @@ def merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 class ChunkKeys:
     """Distinct grams and words of a chunk's documents with their training counts."""
 
-    def __init__(self, counted: bool = True):
-        self.counted = counted  # else only which keys there are, in the same order
+    def __init__(self):
         self.words: Counter[bytes] = Counter()
         self.found: list[tuple[np.ndarray, np.ndarray]] = []
 
     def add(self, block: list[tuple]) -> None:
         for held in (False, True):
             blobs = [b for _, h, b in block if h is held]
-            if blobs and not self.counted:
-                self.found.append((distinct(grams(blobs)), None))
-            elif blobs:
-                keys, n = np.unique(grams(blobs), return_counts=True)
-                self.found.append((keys, n.astype(np.int64) * (not held)))
-            if blobs:
-                if held:
-                    for b in blobs:
-                        for w in (*b.split(), END):
-                            self.words.setdefault(w, 0)
-                else:
-                    for b in blobs:
-                        self.words.update(b.split())
-                    self.words[END] += len(blobs)
-        if len(self.found) > 16:
-            self.merge()
-
-    def merge(self) -> None:
-        if self.counted:
+            if not blobs:
+                continue
+            keys, n = np.unique(grams(blobs), return_counts=True)
+            self.found.append((keys, n.astype(np.int64) * (not held)))
+            if held:
+                for b in blobs:
+                    for w in (*b.split(), END):
+                        self.words.setdefault(w, 0)
+            else:
+                for b in blobs:
+                    self.words.update(b.split())
+                self.words[END] += len(blobs)
+        if len(self.found) > 8:
             self.found = [merged(self.found)]
-        else:
-            keys = distinct(np.concatenate([np.empty(0, np.uint64), *[k for k, _ in self.found]]))
-            self.found = [(keys, np.zeros(len(keys), np.int64))]
 
-    def dealt(self, kind: int, parts: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per part its keys and counts, and where they stand in the chunk's order."""
+    def dealt(self, kind: int, parts: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per part its keys in order and their counts."""
         if kind == WORDS:
             keys = np.fromiter(map(word_hash, self.words), np.uint64, len(self.words))
             counts = np.fromiter(self.words.values(), np.int64, len(self.words))
             part = keys % np.uint64(parts)
         else:
-            self.merge()
+            self.found = [merged(self.found)]
             [(keys, counts)] = self.found
-            part = mix((keys >> np.uint64(8)) & np.uint64(0xFFFF)) % np.uint64(parts)
+            part = mix(keys >> np.uint64(8 * (DEPTH + 1 - TOP))) % np.uint64(parts)
         order = np.lexsort((keys, part))
         cuts = np.flatnonzero(np.diff(part[order].astype(np.int64), prepend=-1))
         for a, b in zip(cuts, [*cuts[1:], len(order)]):
             at = order[a:b]
-            yield int(part[at[0]]), keys[at], counts[at], at
+            yield int(part[at[0]]), keys[at], counts[at]
 
 
 def pack(block: list[tuple]) -> bytes:
@@ -157,8 +175,8 @@ def read_chunks(docs: DataFrame, parts: int) -> DataFrame:
 
         def close() -> Iterator[pd.DataFrame]:
             for kind in (WORDS, GRAMS):
-                for part, k, c, _ in keys.dealt(kind, parts):
-                    yield row(kind, part, k.tobytes(), c.astype(np.uint32).tobytes())
+                for part, k, c in keys.dealt(kind, parts):
+                    yield row(kind, part, squeeze_keys(k), squeeze(c))
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"].astype("Int64").astype(object).tolist(), batch["text"]):
@@ -183,15 +201,48 @@ def read_chunks(docs: DataFrame, parts: int) -> DataFrame:
     return docs.mapInPandas(run, "chunk long, kind int, part int, keys binary, counts binary")
 
 
-def answers(group: pd.DataFrame, solve) -> pd.DataFrame:
-    """Add up the chunks' counts of a part, solve it, and answer each chunk in its order."""
-    found = [(np.frombuffer(k, np.uint64), np.frombuffer(c, np.uint32).astype(np.int64)) for k, c in zip(group["keys"], group["counts"])]
-    keys, totals = merged(found)
-    values = solve(keys, totals)
-    return pd.DataFrame({
-        "chunk": group["chunk"], "kind": group["kind"], "part": group["part"],
-        "keys": [values[np.searchsorted(keys, k)].tobytes() for k, _ in found], "counts": [b""] * len(found),
-    })
+FOUND = "chunk long, part int, keys binary, counts binary"
+
+
+def totals(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of the rows with the sums of their counts."""
+    return merged([(spread_keys(k), spread(c, np.int64)) for k, c in zip(group["keys"], group["counts"])])
+
+
+def answers(group: pd.DataFrame, keys: np.ndarray, values: np.ndarray) -> pd.DataFrame:
+    """To every row the values of its keys, in the place of its counts."""
+    found = [squeeze(values[np.searchsorted(keys, spread_keys(k))]) for k in group["keys"]]
+    return pd.DataFrame({"chunk": group["chunk"], "part": group["part"], "keys": group["keys"], "counts": found}, columns=["chunk", "part", "keys", "counts"])
+
+
+def rounds(found: DataFrame, chunks: int) -> list[DataFrame]:
+    """The chunks' counts, and what is left when up to ``FAN`` rows of a part are added up, until few are left.
+
+    Each table's ``into`` names the row of the next one that took the row up.
+    """
+    tables = []
+    while chunks > FAN:
+        chunks = -(-chunks // FAN)
+        found = found.withColumn("into", F.pmod(F.xxhash64("chunk"), F.lit(chunks)))
+        tables.append(found)
+
+        def add_up(group: pd.DataFrame) -> pd.DataFrame:
+            keys, counts = totals(group)
+            return pd.DataFrame({"chunk": [group["into"].iloc[0]], "part": [group["part"].iloc[0]], "keys": [squeeze_keys(keys)], "counts": [squeeze(counts)]})
+
+        found = stage(found.groupBy("part", "into").applyInPandas(add_up, FOUND), "added")
+    return [*tables, found]
+
+
+def handed_down(tables: list[DataFrame], answered: DataFrame, kind: type) -> DataFrame:
+    """The answers of the last round for the rows of the first one."""
+
+    def hand(group: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
+        return answers(group, spread_keys(above["keys"].iloc[0]), spread(above["counts"].iloc[0], kind))
+
+    for found in tables[-2::-1]:
+        answered = found.groupBy("part", "into").cogroup(answered.groupBy("part", "chunk")).applyInPandas(hand, FOUND)
+    return answered
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -208,74 +259,100 @@ def kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - float(np.log(np.pi))
 
 
-class Subtree:
-    """The nodes of two or more context bytes for the grams of one part."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        sym, context = (keys & np.uint64(255)), keys >> np.uint64(8)
-        prefix = np.concatenate([(np.uint64(1) << np.uint64(i)) | (sym >> np.uint64(8 - i)) for i in range(8)])
-        self.bit = np.concatenate([(sym >> np.uint64(7 - i)) & np.uint64(1) for i in range(8)]).astype(bool)
-        self.levels = []
-        n = np.tile(counts, 8).astype(float)
-        for d in range(2, DEPTH + 1):
-            node = np.tile((context & np.uint64((1 << 8 * d) - 1)) << np.uint64(8), 8) | prefix
-            nodes, at = np.unique(node, return_inverse=True)
-            ones = np.bincount(at, n * self.bit, len(nodes))
-            self.levels.append((nodes, at, np.bincount(at, n, len(nodes)) - ones, ones))
-        below = None
-        self.logs, self.own = [None] * len(self.levels), [None] * len(self.levels)
-        for d in range(len(self.levels) - 1, -1, -1):
-            nodes, _, zeros, ones = self.levels[d]
-            e = kt(zeros, ones)
-            if below is None:
-                self.logs[d], self.own[d] = e, np.ones_like(e)
-            else:
-                s = np.bincount(np.searchsorted(nodes, self.parents(d + 1)), below, len(nodes))
-                self.logs[d] = np.logaddexp(LOG_HALF + e, LOG_HALF + s)
-                self.own[d] = np.exp(LOG_HALF + e - self.logs[d])
-            below = self.logs[d]
-
-    def parents(self, level: int) -> np.ndarray:
-        """Each node's parent, with one context byte fewer; ``level`` 0 has two."""
-        nodes = self.levels[level][0]
-        return (((nodes >> np.uint64(8)) & np.uint64((1 << 8 * (level + 1)) - 1)) << np.uint64(8)) | (nodes & np.uint64(255))
-
-    def upward(self) -> pd.DataFrame:
-        """Sums per parent of the shallowest nodes here."""
-        nodes, at = np.unique(self.parents(0), return_inverse=True)
-        _, _, zeros, ones = self.levels[0]
-        total = lambda x: np.bincount(at, x, len(nodes))
-        return pd.DataFrame({"node": nodes.astype(np.int64), "zeros": total(zeros), "ones": total(ones), "logs": total(self.logs[0])})
+def mixture(zeros: np.ndarray, ones: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithm of a node's probability, and the share in it of its own estimate."""
+    e = kt(zeros, ones)
+    log = np.logaddexp(LOG_HALF + e, LOG_HALF + below)
+    return log, np.exp(LOG_HALF + e - log)
+
+
+class Nodes:
+    """The nodes of ``TOP`` or more context bytes that decide one bit, for grams in order."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, known: int):
+        self.known = np.uint64(known)  # bits of the byte that are known already
+        self.bit = ((keys >> np.uint64(7 - known)) & np.uint64(1)).astype(bool)
+        node = keys >> np.uint64(8 - known)
+        first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+        self.at = np.repeat(np.arange(len(first)), np.diff(first, append=len(node)))
+        self.nodes = node[first]
+        ones = np.add.reduceat(counts * self.bit, first).astype(float)
+        zeros = np.add.reduceat(counts, first) - ones
+        logs = kt(zeros, ones)
+        #: From the deepest level up: chance of a one, share of the own estimate, each deeper node's place here.
+        self.levels = [((ones + 0.5) / (zeros + ones + 1), np.ones_like(logs), None)]
+        for _ in range(DEPTH - TOP):
+            above = self.known + np.uint64(8)
+            parent = ((self.nodes >> above) << self.known) | self.prefix()
+            self.nodes, up = np.unique(parent, return_inverse=True)
+            zeros, ones, below = (np.bincount(up, x, len(self.nodes)) for x in (zeros, ones, logs))
+            logs, own = mixture(zeros, ones, below)
+            self.levels.append(((ones + 0.5) / (zeros + ones + 1), own, up))
+        self.zeros, self.ones, self.logs = zeros, ones, logs
+
+    def prefix(self) -> np.ndarray:
+        return self.nodes & ((np.uint64(1) << self.known) - np.uint64(1))
+
+    def parents(self) -> np.ndarray:
+        """Numbers of the next shallower nodes: context bytes, then the known bits behind a one."""
+        above = self.nodes >> (self.known + np.uint64(8))
+        return ((above << np.uint64(8)) | (np.uint64(1) << self.known) | self.prefix()).astype(np.int64)
 
     def log10_probability(self, mixed: np.ndarray, rest: np.ndarray) -> np.ndarray:
-        """Per gram, from the shallow levels' mixture and the weight that they leave, by node number."""
-        above, left = mixed[self.parents(0).astype(np.int64)], rest[self.parents(0).astype(np.int64)]
-        for d, (nodes, _, zeros, ones) in enumerate(self.levels):
-            if d:
-                up = np.searchsorted(self.levels[d - 1][0], self.parents(d))
-                above, left = above[up], left[up]
-            above = above + left * self.own[d] * (ones + 0.5) / (zeros + ones + 1)
-            left = left * (1 - self.own[d])
-        p = np.clip(above[self.levels[-1][1]], 1e-12, 1 - 1e-12)
-        return np.log10(np.where(self.bit, p, 1 - p)).reshape(8, -1).sum(axis=0)
+        """Per gram, from the shallower levels' mixture and the weight that they leave, by top node."""
+        for q, own, up in self.levels[::-1]:
+            mixed, rest = mixed + rest * own * q, rest * (1 - own)
+            if up is not None:
+                mixed, rest = mixed[up], rest[up]
+        p = np.clip(mixed[self.at], 1e-12, 1 - 1e-12)
+        return np.log10(np.where(self.bit, p, 1 - p))
+
+
+def upward(keys: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+    """Sums for the nodes above those of the grams' part, one bit after the other."""
+    out = []
+    for known in range(8):
+        tree = Nodes(keys, counts, known)
+        node, at = np.unique(tree.parents(), return_inverse=True)
+        out.append(pd.DataFrame({"node": node} | {n: np.bincount(at, x, len(node)) for n, x in (("zeros", tree.zeros), ("ones", tree.ones), ("logs", tree.logs))}))
+    return pd.concat(out)
+
+
+def log10_probability(keys: np.ndarray, counts: np.ndarray, above: pd.DataFrame) -> np.ndarray:
+    """Per gram, given ``mixed`` and ``rest`` of the nodes above those of the grams' part."""
+    above = above.sort_values("node")
+    node, mixed, rest = (above[c].to_numpy() for c in ("node", "mixed", "rest"))
+    total = np.zeros(len(keys))
+    for known in range(8):
+        tree = Nodes(keys, counts, known)
+        at = np.searchsorted(node, tree.parents())
+        total += tree.log10_probability(mixed[at], rest[at])
+    return total
+
+
+def weighed(sums: pd.DataFrame) -> pd.DataFrame:
+    """Nodes of two context bytes: logarithm, share of the own estimate, chance of a one; ``up`` is the node above."""
+    log, own = mixture(*(sums[c].to_numpy(float) for c in ("zeros", "ones", "logs")))
+    node = sums["node"].to_numpy(np.int64)
+    return pd.DataFrame({
+        "node": node, "up": (node >> 16 << 8) | (node & 255), "zeros": sums["zeros"], "ones": sums["ones"], "logs": log,
+        "own": own, "q": (sums["ones"] + 0.5) / (sums["zeros"] + sums["ones"] + 1),
+    })
 
 
 def shallow(sums: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Mixture of depths 0 and 1 and the weight left for deeper ones, by node of depth 1."""
     zeros, ones, logs = (np.zeros(1 << 16) for _ in range(3))
-    node = sums["node"].to_numpy(np.int64)
+    node = sums["up"].to_numpy(np.int64)
     zeros[node], ones[node], logs[node] = sums["zeros"], sums["ones"], sums["logs"]
 
-    def weigh(zeros, ones, below):
-        e = kt(zeros, ones)
-        log = np.logaddexp(LOG_HALF + e, LOG_HALF + below)
-        return log, np.exp(LOG_HALF + e - log), (ones + 0.5) / (zeros + ones + 1)
-
-    log, own, q = weigh(zeros, ones, logs)
+    chance = lambda zeros, ones: (ones + 0.5) / (zeros + ones + 1)
+    log, own = mixture(zeros, ones, logs)
     by_prefix = lambda x: x.reshape(256, 256).sum(axis=0)
-    _, own0, q0 = weigh(by_prefix(zeros), by_prefix(ones), by_prefix(log))
-    mixed0, rest0 = np.tile(own0 * q0, 256), np.tile(1 - own0, 256)
-    return mixed0 + rest0 * own * q, rest0 * (1 - own)
+    zeros0, ones0 = by_prefix(zeros), by_prefix(ones)
+    _, own0 = mixture(zeros0, ones0, by_prefix(log))
+    mixed0, rest0 = np.tile(own0 * chance(zeros0, ones0), 256), np.tile(1 - own0, 256)
+    return mixed0 + rest0 * own * chance(zeros, ones), rest0 * (1 - own)
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
@@ -288,55 +365,66 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     docs = texts(docs)
     parts = parts_for(docs, "text", PART)
     chunks = stage(read_chunks(docs, parts), "chunks")
-    schema = "chunk long, kind int, part int, keys binary, counts binary"
-    words, found = chunks.where(F.col("kind") == WORDS), chunks.where(F.col("kind") == GRAMS)
+    number = chunks.where(F.col("kind") == WORDS).select(F.countDistinct("chunk")).first()[0]
+    words = rounds(chunks.where(F.col("kind") == WORDS).drop("kind"), number)
+    found = rounds(chunks.where(F.col("kind") == GRAMS).drop("kind"), number)
 
     def count_words(group: pd.DataFrame) -> pd.DataFrame:
-        totals: list[int] = []
+        keys, counts = totals(group)
+        sums = np.array([counts.sum(), (counts > 0).sum()], np.int64)
+        return pd.concat([answers(group, keys, counts), pd.DataFrame({"chunk": [-1], "part": group["part"][:1], "keys": [b""], "counts": [squeeze(sums)]})])
 
-        def solve(keys, counts):
-            totals.extend([int(counts.sum()), int((counts > 0).sum())])
-            return counts.astype(np.int64)
-
-        out = answers(group, solve)
-        stats = pd.DataFrame({"chunk": [-1], "kind": [WORDS], "part": [-1], "keys": [np.array(totals, np.int64).tobytes()], "counts": [b""]})
-        return pd.concat([out, stats])
+    counted = stage(words[-1].groupBy("part").applyInPandas(count_words, FOUND), "words")
+    stats = [spread(r["counts"], np.int64) for r in counted.where("chunk = -1").select("counts").collect()]  # a row per part
+    train_tokens, distinct = sum(int(s[0]) for s in stats), sum(int(s[1]) for s in stats)
+    log_total = float(np.log10(train_tokens + 0.1 * (distinct + 1)))
 
     def lift(group: pd.DataFrame) -> pd.DataFrame:
-        pairs = [(np.frombuffer(k, np.uint64), np.frombuffer(c, np.uint32).astype(np.int64)) for k, c in zip(group["keys"], group["counts"])]
-        return Subtree(*merged(pairs)).upward()
+        return upward(*totals(group)).assign(part=group["part"].iloc[0])
 
-    sums = found.groupBy("part").applyInPandas(lift, "node long, zeros double, ones double, logs double")
-    sums = sums.groupBy("node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("logs").alias("logs")).toPandas()  # 2^16 rows at most
-    mixed, rest = shallow(sums)
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from map(weighed, batches)
 
-    def count_grams(group: pd.DataFrame) -> pd.DataFrame:
-        return answers(group, lambda k, c: Subtree(k, c).log10_probability(mixed, rest).astype(np.float32))
+    sums = stage(found[-1].groupBy("part").applyInPandas(lift, "part int, node long, zeros double, ones double, logs double"), "nodes")
+    total = [F.sum(c).alias(c) for c in ("zeros", "ones", "logs")]
+    pairs = sums.groupBy("node").agg(*total).mapInPandas(weigh, "node long, up long, zeros double, ones double, logs double, own double, q double")
+    pairs = stage(pairs, "contexts")
+    mixed, rest = shallow(pairs.groupBy("up").agg(*total).toPandas())  # 2^16 rows at most
 
-    values = stage(words.groupBy("part").applyInPandas(count_words, schema).unionByName(found.groupBy("part").applyInPandas(count_grams, schema)), "values")
-    stats = [np.frombuffer(r["keys"], np.int64) for r in values.where("chunk = -1").select("keys").collect()]  # a row per part
-    train_tokens, distinct = sum(int(s[0]) for s in stats), sum(int(s[1]) for s in stats)
-    log_total = float(np.log10(train_tokens + 0.1 * (distinct + 1)))
+    def mix_in(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            up, own = b["up"].to_numpy(), b["own"].to_numpy()
+            yield pd.DataFrame({"node": b["node"], "mixed": mixed[up] + rest[up] * own * b["q"].to_numpy(), "rest": rest[up] * (1 - own)})
+
+    above = pairs.select("node", "up", "own", "q").mapInPandas(mix_in, "node long, mixed double, rest double")
+    above = sums.select("part", "node").join(above, "node")
+
+    def count_grams(group: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
+        keys, counts = totals(group)
+        return answers(group, keys, log10_probability(keys, counts, above).astype(np.float32))
+
+    scored = found[-1].groupBy("part").cogroup(above.groupBy("part")).applyInPandas(count_grams, FOUND)
+    values = stage(
+        handed_down(words, counted.where("chunk >= 0"), np.int64).withColumn("kind", F.lit(WORDS))
+        .unionByName(handed_down(found, scored, np.float32).withColumn("kind", F.lit(GRAMS))), "values",
+    )
 
     def score(group: pd.DataFrame) -> pd.DataFrame:
-        blocks = [unpack(d) for d in group["keys"][group["kind"] == DOCS]]
-        keys = ChunkKeys(counted=False)
-        for block in blocks:
-            keys.add(block)
-        given = {(k, p): v for k, p, v in zip(group["kind"], group["part"], group["keys"]) if k != DOCS}
-        count = np.zeros(len(keys.words), np.int64)
-        for part, _, _, at in keys.dealt(WORDS, parts):
-            count[at] = np.frombuffer(given[WORDS, part], np.int64)
+        def given(kind: int, dtype: type) -> tuple[np.ndarray, np.ndarray]:
+            here = group[group["kind"] == kind]
+            keys = np.concatenate([spread_keys(k) for k in here["keys"]])
+            order = np.argsort(keys)
+            return keys[order], np.concatenate([spread(c, dtype) for c in here["counts"]])[order]
+
+        hashes, count = given(WORDS, np.int64)
         logs = np.log10(count + 0.1)
-        number = dict(zip(keys.words, range(len(count))))
-        value = None
-        for part, _, _, at in keys.dealt(GRAMS, parts):
-            if value is None:
-                distinct_grams = keys.found[0][0]
-                value = np.zeros(len(distinct_grams))
-            value[at] = np.frombuffer(given[GRAMS, part], np.float32)
+        distinct_grams, value = given(GRAMS, np.float32)
+        number: dict[bytes, int] = {}
         out = []
-        for block in blocks:
+        for data in group["keys"][group["kind"] == DOCS]:
+            block = unpack(data)
+            new = list({w for _, _, b in block for w in (*b.split(), END)}.difference(number))
+            number.update(zip(new, np.searchsorted(hashes, np.fromiter(map(word_hash, new), np.uint64, len(new))).tolist()))
             every = grams([b for _, _, b in block])
             order = np.argsort(every)  # lookups in order stay near each other
             own = every[order]
@@ -352,7 +440,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
         frame["doc_id"] = frame["doc_id"].astype("Int64")
         return frame
 
-    every = chunks.where(F.col("kind") == DOCS).unionByName(values.where("chunk >= 0"))
+    every = chunks.where(F.col("kind") == DOCS).unionByName(values)
     return every.groupBy("chunk").applyInPandas(
         score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )

@@ -92,15 +92,55 @@ def test_only_held_out_and_empty(spark):
     assert contexts.lm_scores(rows(spark, [])).collect() == []
 
 
+def key(context, symbol):
+    return int.from_bytes(context[::-1], "big") << 8 | symbol
+
+
 def test_probabilities_of_a_context_sum_to_one():
     random = np.random.default_rng(1)
-    keys = np.array([(c << 8) | s for c in (0x6162636465, 0x7162636465) for s in range(256)], np.uint64)
+    keys = np.array(sorted(key(c, s) for c in (b"abcde", b"qbcde") for s in range(256)), np.uint64)
     counts = random.integers(0, 50, len(keys)) * (random.random(len(keys)) < 0.1)
-    tree = contexts.Subtree(keys, counts)
-    p = 10 ** tree.log10_probability(*contexts.shallow(tree.upward()))
+    nodes = contexts.weighed(contexts.upward(keys, counts))
+    mixed, rest = contexts.shallow(nodes.groupby("up")[["zeros", "ones", "logs"]].sum().reset_index())
+    up, own = nodes["up"].to_numpy(), nodes["own"].to_numpy()
+    above = nodes.assign(mixed=mixed[up] + rest[up] * own * nodes["q"], rest=rest[up] * (1 - own))
+    p = 10 ** contexts.log10_probability(keys, counts, above)
     assert p[:256].sum() == pytest.approx(1) and p[256:].sum() == pytest.approx(1)
 
 
+def test_grams_hold_the_nearest_byte_highest():
+    assert contexts.grams([b"ab"]).tolist() == [key(b"\0" * 5, 97), key(b"\0" * 4 + b"a", 98), key(b"\0" * 3 + b"ab", 0)]
+
+
+def test_numbers_survive_being_squeezed():
+    keys = np.array([0, 1, 300, 1 << 63, (1 << 64) - 1], np.uint64)
+    assert contexts.spread_keys(contexts.squeeze_keys(keys)).tolist() == keys.tolist()
+    assert contexts.spread(contexts.squeeze(np.array([], np.int64)), np.int64).tolist() == []
+
+
+def hot():
+    """A third of all grams follow one pair of bytes."""
+    random = np.random.default_rng(2)
+    byte = lambda n: bytes(random.integers(97, 123, n).tolist()).decode()
+    return [(i, "".join(byte(1) + "zz" for _ in range(50))) for i in range(36)]
+
+
+def test_counts_added_up_in_rounds_and_a_hot_context(spark, monkeypatch):
+    monkeypatch.setattr(contexts, "PART", 200)
+    monkeypatch.setattr(contexts, "BLOCK", 100)
+    monkeypatch.setattr(contexts, "CHUNK", 100)
+    monkeypatch.setattr(contexts, "FAN", 3)  # 36 chunks need three rounds
+    check(spark, hot())
+
+
+def test_a_hot_context_of_two_bytes_spreads_over_parts():
+    keys = contexts.ChunkKeys()
+    keys.add([(i, False, t.encode()) for i, t in hot()])
+    found = [(sum(k >> np.uint64(32) == 0x7A7A), len(k)) for _, k, _ in keys.dealt(contexts.GRAMS, 16)]
+    hot_ones, every = sum(n for n, _ in found), sum(n for _, n in found)
+    assert hot_ones > every / 3.5 and max(n for n, _ in found) < hot_ones / 3
+
+
 def test_better_than_words_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     held = [r for r in contexts.lm_scores(docs).collect() if r["held_out"]]
