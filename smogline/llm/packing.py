@@ -16,6 +16,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,11 @@ TOGETHER = 256
 #: Pieces that are ranked together in one task, on average.
 RANKED = 200_000
 
+#: ASCII marks that end a word; the bar is kept for parting words.
+MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{}~"
+#: First bytes of the letters from U+00C0 to U+017F, and the two signs among them.
+LATIN, SIGNS = (b"\xc3", b"\xc4", b"\xc5"), (b"\xc3\x97", b"\xc3\xb7")
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -43,9 +49,51 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+class Words(dict):
+    """Words by number, in the order in which they came; the ids of all lie in one array."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []  # numbered, but without ids yet
+        self.start, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
+        self.ids, self.used = np.zeros(1024, "<u4"), 0
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+    def forget(self, kept: int) -> None:
+        """Keep the words that came first; frequent ones are among them."""
+        words = list(islice(self, kept))
+        self.clear()
+        self.update(zip(words, range(kept)))
+        self.used = int((self.start[:kept] + self.length[:kept]).max(initial=0))
+
+    def give(self, numbers: np.ndarray, ids: np.ndarray, start: np.ndarray, length: np.ndarray) -> None:
+        """Add ids to the array; each word's own start there, counted from the first one added."""
+        size = 1 << max(len(self), 1024).bit_length()
+        if size > len(self.start):
+            self.start, self.length = (np.concatenate([x, np.zeros(size - len(x), x.dtype)]) for x in (self.start, self.length))
+        end = self.used + len(ids)
+        if end > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros((1 << end.bit_length()) - len(self.ids), "<u4")])
+        self.ids[self.used : end] = ids
+        self.start[numbers], self.length[numbers] = start + self.used, length
+        self.used = end
+
+    def ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words in a row, and where those of each word end."""
+        length = self.length[numbers]
+        ends = np.cumsum(length, dtype=np.int64)
+        at = np.repeat(self.start[numbers] - ends + length, length)
+        at += np.arange(len(at))
+        return self.ids[at], ends
+
+
 @lru_cache(1)
-def _ids_by_word(path: str) -> dict[bytes, bytes]:
-    return {}
+def _words(path: str) -> Words:
+    return Words()
 
 
 class Encoder:
@@ -57,40 +105,57 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = _tokenizer(path), _ids_by_word(path)
+        self.tokenizer, self.known = _tokenizer(path), _words(path)
         [self.bar] = self.tokenizer.encode("|", add_special_tokens=False).ids
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, words: set[bytes]) -> None:
-        known = self.known
-        if len(known) > REMEMBERED:  # frequent words came first and stay
-            kept = dict(list(known.items())[: REMEMBERED // 2])
-            known.clear()
-            known.update(kept)
-        words = words.difference(known)
-        # a comma or full stop after an ASCII letter or digit is a token of its own
-        tails = {w for w in words if len(w) > 1 and w[-1:] in b".," and w[-2:-1].isalnum()}
-        bare = list({w[:-1] for w in tails if w[:-1] not in known} | (words - tails) | {w for w in (b".", b",") if w not in known})
-        for w in [w for w in bare if b"|" in w]:
-            known[w] = self.whole(w.decode("utf-8", "replace"))
-        bare = [w for w in bare if b"|" not in w]
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def learn(self) -> None:
+        """Give ids to the new words."""
+        known, bare, tailed = self.known, [], []
+        # marks after a letter or digit are a token apart from it; only letters that no normalisation takes apart count
+        for w in known.new:  # heads and tails that are new join the end of this list
+            head = w.rstrip(MARKS)
+            last = head[-1:]
+            if head and head is not w and (last.isalnum() or (head[-2:-1] in LATIN and head[-2:] not in SIGNS)):
+                tailed.append((known[w], known[head], known[w[len(head) :]]))
+            elif b"|" in w:
+                ids = self.whole(w.decode("utf-8", "replace"))
+                known.give(np.array([known[w]]), ids, np.zeros(1, np.int64), np.array([len(ids)]))
+            else:
+                bare.append(w)
         for start in range(0, len(bare), 1024):  # many words in one call, bars between them
             some = bare[start : start + 1024]
-            text = " | ".join([w.decode("utf-8", "replace") for w in some])
+            text = b" | ".join(some).decode("utf-8", "replace")
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            cuts = 4 * np.flatnonzero(ids == self.bar)
-            parts = map(slice, [0, *(cuts + 4).tolist()], [*cuts.tolist(), 4 * len(ids)])
-            known.update(zip(some, map(ids.tobytes().__getitem__, parts)))
-        for w in tails:
-            known[w] = known[w[:-1]] + known[w[-1:]]
+            cuts = np.flatnonzero(ids == self.bar)
+            begin = np.concatenate([[0], cuts + 1])
+            numbers = np.fromiter(map(known.__getitem__, some), np.int64, len(some))
+            known.give(numbers, ids, begin, np.append(cuts, len(ids)) - begin)
+        if tailed:
+            numbers, heads, tails = np.array(tailed, np.int64).T
+            ids, ends = known.ids_of(np.column_stack([heads, tails]).ravel())
+            length = known.length[heads] + known.length[tails]
+            known.give(numbers, ids, ends[1::2] - length, length)
+        known.new = []
 
     def encode(self, batch: list[str]) -> list[bytes]:
+        known = self.known
+        if known.new:  # an earlier task of this worker ended between numbers and ids
+            known.new = []
+            known.forget(0)
+        elif len(known) > REMEMBERED:
+            known.forget(REMEMBERED // 2)
         plain = [None if "<|" in t else t.encode("utf-8", "replace").lower().split() for t in batch]
-        self.learn(set().union(*[words for words in plain if words]))
-        ids = self.known.__getitem__
-        return [self.whole(t) if words is None else b"".join(map(ids, words)) for t, words in zip(batch, plain)]
+        sizes = [len(words or ()) for words in plain]
+        number = known.__getitem__
+        numbers = np.fromiter(chain.from_iterable(map(number, words) for words in plain if words), np.int64, sum(sizes))
+        self.learn()
+        ids, ends = known.ids_of(numbers)
+        ends = np.concatenate([[0], ends])[np.cumsum([0, *sizes])]
+        parts = map(slice, ends[:-1].tolist(), ends[1:].tolist())
+        return [(self.whole(t) if words is None else ids[part]).tobytes() for t, words, part in zip(batch, plain, parts)]
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1) -> DataFrame:

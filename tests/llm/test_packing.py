@@ -29,6 +29,14 @@ def test_encoder_equals_the_tokenizer():
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_encoder_parts_marks_from_words():
+    words = ["é***", "é×.", "x÷,", "क़.", "e\u0301!", "²;", "ŉ%", "don'", "it's.", "'s.", "s''", "a_", "_a_", "ſ-", "日.", "a.|", "|.", "Ohm\u2126.", "...", "x<=", "<\u0338."]
+    texts = [" ".join(words), *words, *[a + b for a in words for b in words]]
+    whole = Tokenizer.from_file(PATH)
+    for text, ids in zip(texts, Encoder(PATH).encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
 def test_encoder_on_documents():
     whole = Tokenizer.from_file(PATH)
     texts = [t or "" for _, t in documents()]
@@ -46,6 +54,14 @@ def test_forgetting_words_changes_nothing(monkeypatch):
             assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_words_without_ids_are_learnt_again():
+    encoder = Encoder(PATH)
+    text = "left over by a task that failed."
+    expected = encoder.encode([text])
+    encoder.known["unfinished"]  # numbered, never given ids
+    assert encoder.encode([text, "unfinished"]) == [*expected, encoder.whole("unfinished").tobytes()]
+
+
 def test_pieces_and_places(spark):
     texts = [(1, None), (2, ""), (3, "word " * 5000), (3, "word " * 5000), (None, "a b"), (4, "same"), (5, "same")]
     texts += documents()
