@@ -92,6 +92,54 @@ def test_longest_sequence_against_all_subsets(spark):
     assert found == {k: plain(hits) for k, hits in enumerate(cases)}
 
 
+def test_words_in_order_against_all_subsequences(spark):
+    import random
+    from itertools import combinations
+
+    from pyspark.sql import functions as F
+
+    from smogline.llm.licenses import _words_in_order
+
+    def plain(hits):
+        best = 0
+        for n in range(1, len(hits) + 1):
+            for some in combinations(hits, n):
+                if all(x[0] < y[0] and x[1] < y[1] for x, y in zip(some, some[1:])):
+                    best = max(best, len({w for _, j in some for w in (j, j + 1)}))
+        return best or None
+
+    pick = random.Random(6)
+    cases = [sorted({(pick.randrange(9), pick.randrange(6)) for _ in range(pick.randint(1, 8))}, key=lambda h: (h[0], -h[1])) for _ in range(60)]
+    df = spark.createDataFrame([(k, [(at, -j) for at, j in hits]) for k, hits in enumerate(cases)], "k int, hits array<struct<at: int, back: int>>")
+    found = {r["k"]: r["n"] for r in df.select("k", _words_in_order(F.col("hits"), F.lit(6)).alias("n")).collect()}
+    assert found == {k: plain(hits) for k, hits in enumerate(cases)}
+
+
+def test_one_word_replaced_inserted_or_left_out(spark):
+    """Long templates keep their label at any inner word; a notice never keeps it without the license's name.
+
+    The one of five words loses it where its first word is parted from the rest: four of five are not enough.
+    """
+    from smogline.llm.licenses import NAMES, TEMPLATES
+
+    texts, expected = [], {}
+    for template, label in TEMPLATES.items():
+        words = template.split()
+        for j in range(1, len(words) - 1):
+            for changed, kept in (
+                (words[:j] + ["zzz"] + words[j + 1 :], len(words) > 10 and words[j] not in NAMES),
+                (words[:j] + ["zzz"] + words[j:], len(words) > 5 or j > 1), (words[:j] + words[j + 1 :], len(words) > 10 and words[j] not in NAMES),
+            ):
+                if kept:
+                    expected[len(texts)] = label
+                texts.append((len(texts), "before " + " ".join(changed) + " after"))
+    found = {r["doc_id"]: set(r["labels"].split(",")) for r in license_scan(rows(spark, texts)).collect()}
+    assert [i for i, label in expected.items() if label not in found[i]] == []
+    others = {1: "licensed under the bsd license version 2 0", 2: "released under the bsd license", 3: "licensed under cc by sa 4 0", 4: "licensed under the apache licence version 2 0", 5: "released under the standard mit license"}
+    found = {r["doc_id"]: r["labels"] for r in license_scan(rows(spark, list(others.items()))).collect()}
+    assert found == {1: "", 2: "", 3: "cc-by", 4: "apache-2.0", 5: "mit,mit-notice"}
+
+
 def test_no_python_in_the_plan(spark):
     plan = license_scan(rows(spark, TEXTS))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
