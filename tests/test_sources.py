@@ -48,9 +48,10 @@ def test_cleaned_sink_counts_while_writing(spark, csv_file, tmp_path):
         assert rows(readers.read_json(spark, facts, "clean_path string, rows long, cols int")) == [(path, 3, 7)]
 
 
-def test_unset_folder_on_a_cluster_is_an_error():
+@pytest.mark.parametrize("url", ["spark://somewhere", "local-cluster[3,2,1024]", "yarn"])
+def test_unset_folder_on_a_cluster_is_an_error(url):
     class Context:
-        master = "spark://somewhere"
+        master = url
 
         def getCheckpointDir(self):
             return None
