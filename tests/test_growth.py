@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from conftest import plan, rows
+from pyspark.sql import functions as F
 
+from smogline.operators import split
 from smogline.plans import observations as source
 
 
@@ -29,3 +31,23 @@ def test_long_tables_are_staged_tightly(spark, folder):
     files = source.staged_observations(spark, folder).inputFiles()
     assert files and all(f.endswith(".zstd.parquet") for f in files)
     assert rows(source.staged_observations(spark, folder).groupBy().count()) == [(6_126,)]
+
+
+def test_even_keys_need_one_scan(spark, monkeypatch):
+    df = spark.range(20_000).select("id", F.concat(F.lit("c"), F.col("id") % 3).alias("label"))
+    searched = sorted(rows(split.stratified_split(df, "label", ranked_rows=50))), sorted(rows(split.random_split(df, ranked_rows=50)))
+
+    def never(*_):
+        raise AssertionError("even keys are searched by levels")
+
+    monkeypatch.setattr(split, "_searched_thresholds", never)
+    monkeypatch.setattr(split, "select_ranks", never)
+    assert (sorted(rows(split.stratified_split(df, "label"))), sorted(rows(split.random_split(df)))) == searched
+
+
+def test_keys_that_are_not_even_are_searched(spark):
+    df = spark.range(9_000).select("id", F.concat(F.lit("c"), F.col("id") % 3).alias("label"))
+    marked = split.stratified_split(df, "label", F.col("id") + (1 << 51))
+    assert rows(marked.groupBy("label").agg(F.count_if("is_test"), F.max(F.when(F.col("is_test"), F.col("id"))) < 1_810).orderBy("label")) == [
+        (f"c{k}", 600, True) for k in range(3)
+    ]
