@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from smogline.operators import split
 from smogline.plans import observations as source
+from smogline.plans import queries
 
 
 def test_one_large_file_is_not_dealt_to_a_fixed_number_of_tasks(spark, tmp_path):
@@ -51,3 +52,10 @@ def test_keys_that_are_not_even_are_searched(spark):
     assert rows(marked.groupBy("label").agg(F.count_if("is_test"), F.max(F.when(F.col("is_test"), F.col("id"))) < 1_810).orderBy("label")) == [
         (f"c{k}", 600, True) for k in range(3)
     ]
+
+
+def test_the_board_stages_only_what_it_reads(spark, folder):
+    queries._board(spark, folder)
+    staged = {kind: df.columns for (app, where, kind), df in source._STAGED.items() if where == folder}
+    assert staged["marked-places"] == ["City", "Date", "AQI", "is_test"]
+    assert staged["classes"] == ["AQI_Bucket", "by_pm2_5", "by_pm10"]
