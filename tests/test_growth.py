@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from smogline.operators import split
+from smogline.operators.correlation import correlation_matrix
 from smogline.plans import observations as source
 from smogline.plans import queries
+from smogline.schema import CORRELATED
 
 
 def test_one_large_file_is_not_dealt_to_a_fixed_number_of_tasks(spark, tmp_path):
@@ -59,3 +62,19 @@ def test_the_board_stages_only_what_it_reads(spark, folder):
     staged = {kind: df.columns for (app, where, kind), df in source._STAGED.items() if where == folder}
     assert staged["marked-places"] == ["City", "Date", "AQI", "is_test"]
     assert staged["classes"] == ["AQI_Bucket", "by_pm2_5", "by_pm10"]
+
+
+def test_correlation_of_a_complete_table_needs_plain_sums(spark, cleaned):
+    text = plan(correlation_matrix(cleaned, CORRELATED))
+    assert "covar" not in text and text.count("Exchange") == 2
+
+
+@pytest.mark.parametrize("shift", [0.0, -7e5, 3e9])
+def test_correlation_of_a_complete_table(spark, shift):
+    df = spark.range(4_000).select((F.rand(1) + shift).alias("a"), (F.rand(2) * 1e-6).alias("b"), F.lit(2.0).alias("c"))
+    df = df.withColumn("d", F.col("a") - shift + F.col("b") * 1e6).cache()
+    found = {(r["row"], r["col"]): r["value"] for r in correlation_matrix(df, list("abcd")).collect()}
+    for x in "abd":
+        assert found[x, "c"] is None and found["c", x] is None
+        for y in "abd":
+            assert abs(found[x, y] - df.agg(F.corr(x, y)).first()[0]) < 1e-7
