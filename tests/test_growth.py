@@ -31,6 +31,20 @@ def test_one_large_file_is_not_dealt_to_a_fixed_number_of_tasks(spark, tmp_path)
             spark.conf.unset(key)
 
 
+def test_lines_are_not_shuffled_for_few_sellers(spark, folder, monkeypatch):
+    """Whatever Spark's own bound: at 360 times sf0.1 sellers are beyond it, and the widest rows were shuffled for them."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = source.observations(spark, folder)
+        assert "s_suppkey" not in "".join(line for line in plan(few).splitlines() if "hashpartitioning" in line)
+        monkeypatch.setattr(source, "FEW_SELLERS", 0)
+        many = source.observations(spark, folder)
+        assert "hashpartitioning(s_suppkey" in plan(many)
+        assert few.exceptAll(many).isEmpty() and few.count() == many.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_long_tables_are_staged_tightly(spark, folder):
     files = source.staged_observations(spark, folder).inputFiles()
     assert files and all(f.endswith(".zstd.parquet") for f in files)
