@@ -41,7 +41,7 @@ def assign_shards(shuffled: DataFrame, shards: int = 24) -> DataFrame:
     With fewer records than shards the last shards stay empty.
     """
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = shuffled.groupBy("bucket").agg(F.count("*").alias("n"))  # a row per bucket
+    counts = shuffled.groupBy("bucket").agg(F.count("*").alias("n"))  # a row per bucket, a million at most
     starts = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"), F.sum("n").over(Window.partitionBy()).alias("total"))
     at = F.col("first") + F.col("place")
     share, more = F.expr(f"total div {shards}"), F.expr(f"total % {shards}")
@@ -49,7 +49,7 @@ def assign_shards(shuffled: DataFrame, shards: int = 24) -> DataFrame:
     large = more * (share + 1)
     shard = F.when(at < large, F.expr(f"at div (total div {shards} + 1)")).otherwise(more + F.expr(f"(at - (total % {shards}) * (total div {shards} + 1)) div greatest(total div {shards}, 1)"))
     slot = F.when(at < large, F.expr(f"at % (total div {shards} + 1)")).otherwise(F.expr(f"(at - (total % {shards}) * (total div {shards} + 1)) % greatest(total div {shards}, 1)"))
-    placed = shuffled.join(starts, "bucket").withColumn("at", at)
+    placed = shuffled.join(F.broadcast(starts), "bucket").withColumn("at", at)  # else the texts are shuffled once more
     return placed.withColumns({"shard": shard.cast("int"), "slot": slot.cast("long")}).drop("first", "total", "at", "bucket", "place")
 
 

@@ -49,6 +49,18 @@ def test_no_python_in_the_plan(spark):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
+def test_texts_are_shuffled_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = [(i, f"t{i}") for i in range(100)]
+        placed = assign_shards(shuffled_buckets(rows(spark, texts)), 7)
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning(bucket" in plan
+        assert sorted((r["doc_id"], r["text"]) for r in placed.collect()) == texts
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_written_shards(spark, tmp_path):
     texts = [(i, f"t{i}") for i in range(100)]
     write_shards(assign_shards(shuffled_buckets(rows(spark, texts)), 7), str(tmp_path / "shards"))
