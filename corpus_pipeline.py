@@ -20,12 +20,27 @@ from smogline.llm.toxicity import score, train
 from smogline.session import stage
 
 
+#: Documents that a Python worker gets at once.
+BATCH = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Make the session's Arrow batches smaller: rows are whole documents.
+
+    Every stage asks for it, as each may be run alone: workers live through all
+    stages and keep what their largest batch took.
+    """
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(batch, str(min(int(spark.conf.get(batch)), BATCH)))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below one half; the network learns from their labelled rows.
 
     Missing and empty texts are scored as a blank word; repeated rows stay; all
     stay where there is nothing to learn from.
     """
+    small_batches(spark)
     name = fresh(docs, "toxic_score")
     model = train(docs, table(spark, sf_dir, "labels"))
     return score(docs, model, name).where(F.col(name) < 0.5).select(*docs.columns)
@@ -37,6 +52,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document that loses lines and keeps nothing but blanks goes; documents
     that lose nothing stay as they are, empty ones too.
     """
+    small_batches(spark)
     n_lines, n_removed = fresh(docs, "n_lines"), fresh(docs, "n_removed")
     found = dedup_lines(docs, exact_chars=1, counts=(n_lines, n_removed))
     rest = F.regexp_replace(F.coalesce("text", F.lit("")), r"\s", "")
@@ -50,6 +66,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are compared by their texts, whatever their ids; texts without words stay.
     """
+    small_batches(spark)
     columns, row = docs.columns, fresh(docs, "row")
     docs = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     parts = jaccard_components(docs.select(F.col(row).alias("doc_id"), "text"))
@@ -64,6 +81,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents with their sequences; missing and empty texts are an end id each."""
+    small_batches(spark)
     return pack(pieces_of(docs, tokenizer_path("word_bpe_49k.json")))
 
 
@@ -73,18 +91,8 @@ STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("near_copies", ne
 ORACLE_SQL = None
 
 
-#: Documents that a Python worker gets at once.
-BATCH = 2_000
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents.
-
-    Rows are whole documents, so the session's Arrow batches are made smaller:
-    workers live through all stages and keep what their largest batch took.
-    """
-    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    spark.conf.set(batch, str(min(int(spark.conf.get(batch)), BATCH)))
+    """All stages over the documents."""
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name)

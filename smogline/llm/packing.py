@@ -96,6 +96,12 @@ def _words(path: str) -> Words:
     return Words()
 
 
+def forget_words() -> None:
+    """Free what this worker keeps for encoding; workers live on, and other operators need the room."""
+    _words.cache_clear()
+    _tokenizer.cache_clear()
+
+
 class Encoder:
     """Ids of whole texts as bytes (little-endian, 4 per id).
 
@@ -317,6 +323,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, unit: int = 8) -> DataFrame:
     )
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_words()  # the pieces are written, so all texts are encoded
         for batch in batches:
             rank, width = batch["rank"].to_numpy(), batch["width"].to_numpy()
             sequence = np.zeros(len(batch), dtype=np.int64)

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import pickle
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +32,8 @@ GATES = 3 * HIDDEN
 TOXIC_ROWS, CLEAN_ROWS, WINDOWS = 800, 1600, 8_000
 #: Words whose gate inputs a worker keeps; windows that run at once.
 KEPT, AT_ONCE = 150_000, 2048
+#: Words whose trigrams are looked up together.
+SPELT = 8192
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -62,8 +63,14 @@ def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def inputs(net: dict, known: np.ndarray, codes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    chars = np.add.reduceat(net["char"][codes], starts, axis=0) / counts[:, None]
-    return np.concatenate([net["word"][known], chars.astype(np.float32)], axis=1)
+    x = np.empty((len(known), 2 * DIMS), np.float32)
+    x[:, :DIMS] = net["word"][known]
+    for at in range(0, len(known), SPELT):
+        some = slice(at, at + SPELT)
+        end = starts[at + SPELT] if at + SPELT < len(known) else len(codes)
+        chars = np.add.reduceat(net["char"][codes[starts[at] : end]], starts[some] - starts[at], axis=0)
+        x[some, DIMS:] = chars / counts[some, None]
+    return x
 
 
 def halves(gates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,8 +154,11 @@ def windows_of(sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def window_index(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    at = starts[:, None] + np.arange(WIDTH)
-    return np.where(np.arange(WIDTH) < lengths[:, None], words[np.minimum(at, len(words) - 1)], 0)
+    at = starts.astype(np.int32)[:, None] + np.arange(WIDTH, dtype=np.int32)  # a batch has far fewer than 2^31 words
+    np.minimum(at, len(words) - 1, out=at)
+    index = words[at]
+    index[np.arange(WIDTH) >= lengths[:, None]] = 0
+    return index
 
 
 def tokens(text: str) -> list[str]:
@@ -192,13 +202,16 @@ class Scorer:
 def fit(rows: list[tuple[str, int]], toxic_share: float, windows: int = WINDOWS, epochs: int = 4, seed: int = 7) -> dict:
     """Train on (text, label) rows. The vocabulary is the words of three or more of them."""
     random = np.random.default_rng(seed)
-    words = [tokens(t) for t, _ in rows]
     labels = np.array([y for _, y in rows], np.float32)
-    seen = Counter(w for some in words for w in set(some))
-    vocabulary = {w: k + 1 for k, w in enumerate(sorted(w for w, n in seen.items() if n >= 3))}
-    every = sorted(seen)
-    number = {w: k for k, w in enumerate(every)}
-    flat = np.array([number[w] for some in words for w in some], np.int64)
+    found: dict[str, int] = {}
+    words = [np.array([found.setdefault(w, len(found)) for w in tokens(t)], np.int32) for t, _ in rows]  # numbers, not texts
+    seen = np.bincount(np.concatenate([np.unique(w) for w in words]), minlength=len(found))
+    every = sorted(found)
+    order = np.array([found[w] for w in every])
+    number = np.empty(len(every), np.int32)
+    number[order] = np.arange(len(every))
+    vocabulary = {w: k + 1 for k, w in enumerate(w for w, n in zip(every, seen[order]) if n >= 3)}
+    flat = number[np.concatenate(words)]
     known = np.array([vocabulary.get(w, 0) for w in every])
     codes, first, counts = trigrams(every)
     starts, lengths, owner = windows_of([len(w) for w in words])

@@ -160,3 +160,11 @@ def test_knapsack_against_all_patterns():
         best = max(sum(p * n for p, n in zip(prices, ns)) for ns in itertools.product(range(13), repeat=len(widths)) if sum(w * n for w, n in zip(widths, ns)) <= 12)
         assert abs(value - best) < 1e-9 and abs(sum(p * n for p, n in zip(prices, pattern)) - best) < 1e-9
         assert sum(w * n for w, n in zip(widths, pattern)) <= 12
+
+
+def test_a_worker_forgets_the_words_once_all_texts_are_encoded():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    first = packing.Encoder(path).encode(["some words, and more"])
+    assert packing._words(path)
+    packing.forget_words()
+    assert not packing._words(path) and packing.Encoder(path).encode(["some words, and more"]) == first

@@ -93,3 +93,17 @@ def test_copies_without_id(spark):
     texts = [(None, a), (None, a), (None, a + " x"), (None, b), (3, b), (None, words("c")), (None, None), (None, " "), (None, " ")]
     expected = [(None, a + " x"), (3, b), (None, words("c")), (None, None), (None, " "), (None, " ")]
     assert near(spark, texts) == sorted(expected, key=str)
+
+
+def test_each_stage_asks_for_small_batches(spark):
+    """The stages may be run without ``run``."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    docs = spark.createDataFrame([(1, "one two", 7)], "doc_id long, text string, n_chars long")
+    try:
+        for _, function in corpus_pipeline.STAGES:
+            spark.conf.set(batch, "10000")
+            function(spark, docs, FOLDER)
+            assert spark.conf.get(batch) == str(corpus_pipeline.BATCH)
+    finally:
+        spark.conf.set(batch, before)

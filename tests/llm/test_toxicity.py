@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -72,6 +73,16 @@ def test_held_out_accuracy_and_planted_texts(spark):
     assert all(got[i] >= 0.5 for i in got if i < 100) and sum(got[i] >= 0.5 for i in got if i >= 100) <= 1
 
 
+def test_fitting_keeps_numbers_instead_of_words():
+    random = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in random.integers(0, 40_000, 1_200)) for _ in range(400)]
+    tracemalloc.start()
+    tox.fit([(t, k % 2) for k, t in enumerate(texts)], 0.5, windows=256, epochs=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 110 * 2**20  # 125 MB with a text per word
+
+
 def test_edges(spark):
     texts = [(1, None), (2, ""), (3, "idiot " * 30_000), (None, "x"), (4, "same"), (4, "same"), (5, "%%% !!!")]
     for pairs in ([], [(1, 0), (2, 0)], [(None, 1), (1, None)], [(3, 1), (4, 0), (5, 0), (6, 0), (1, 1), (2, 0), (3, 1)]):
