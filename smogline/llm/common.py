@@ -7,6 +7,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from smogline import session
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Code points and bytes that separate words: space, tab, line feed, vertical tab, form feed, return.
@@ -30,6 +32,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reachable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stage(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """``session.stage`` that removes the shuffle files behind a table as soon as it is written.
+
+    Nothing reads them again, and else they stay until the driver collects its garbage.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return session.stage(df, name, compression)
+    finally:
+        conf.set(key, before) if before is not None else conf.unset(key)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """The name, with underscores behind it until no column of the table has it."""
     taken = {c.lower() for c in df.columns}

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smogline.session import stage
+from smogline.llm.common import stage
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -60,7 +60,8 @@ def linked(
     be linked if they share a key. verify: pairs ``a < b`` -> those that are
     links. may_link: a cheap necessary condition on the attributes of aliases.
     sketches: ``item`` once and more attributes, and near a second necessary
-    condition on these; a pair with a missing attribute stays.
+    condition on these; a pair with a missing attribute stays. They serve the
+    pairs of the second step, of which there are many more than links.
 
     First only neighbours in each key's order and the pairs of extra are verified;
     their number is linear, and they join the members of a large group. Then every
@@ -79,12 +80,7 @@ def linked(
     if extra is not None:
         first = first.unionByName(extra)
     first = stage(first.distinct(), "pairs")
-    likely = first
-    if sketches is not None:
-        x, y = sketches.alias("x"), sketches.alias("y")
-        likely = first.join(x, F.col("a") == F.col("x.item"), "left").join(y, F.col("b") == F.col("y.item"), "left")
-        likely = stage(likely.where(F.coalesce(near("x", "y"), F.lit(True))).select("a", "b"), "near")
-    links = stage(verify(likely), "links")
+    links = stage(verify(first), "links")
     labels = components(links)
 
     # keys of two items have had their only pair

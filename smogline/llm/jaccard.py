@@ -12,23 +12,24 @@ sketch only keeps very common shingles out of the prefixes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smogline.llm.common import texts, words_of
+from smogline.llm.common import stage, texts, words_of
 from smogline.llm.components import linked
 from smogline.llm.shingles import digest, distinct, rolling
-from smogline.session import stage
 
 #: Slots of the rarity sketch and of the map of wanted documents: 4 MB and 2 MB at any size of the input.
 SLOTS = 1 << 22
 WANTED = 1 << 24
 #: Odd factors that permute hashes; a set's smallest product under each is one of its least hashes.
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x9FB21C651E98DF25, 0xD1342543DE82EF95], dtype=np.uint64)
+#: Bins of the widest sketch.
+WIDEST = 1 << 15
 #: Different sets per salt, so that a chain of equal least hashes stays bounded.
 SALTED = 200_000
 #: Shingles counted before a task hands on its heavy slots.
@@ -62,18 +63,28 @@ def common_slots(docs: DataFrame, k: int) -> np.ndarray:
     return level
 
 
+def sketch_of(s: np.ndarray) -> np.ndarray:
+    """Whether bins of the hashes hold an odd number: 512 bins first, then for more hashes a power of two that is at least their number.
+
+    A bin in which two sketches differ holds a hash that only one set has. Halves
+    of a sketch fold into the next smaller one, so different widths compare.
+    """
+    wide = min(WIDEST, max(512, 1 << (len(s) - 1).bit_length()))
+    odd = np.bincount(((s >> np.uint64(40)) & np.uint64(wide - 1)).astype(np.int64), minlength=wide) & 1
+    folded = odd.reshape(-1, 512).sum(axis=0) & 1
+    return np.packbits(np.concatenate([folded, odd] if wide > 512 else [folded]).astype(np.uint8)).view(np.int64)
+
+
 def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Per document the size of its set, a digest of the set and of its prefix; the prefix with its first document in a task.
 
-    ``shape`` counts a set's hashes by their first nine bits, once per set and
-    task; it is left out where a count does not fit in a byte. ``sketch`` has
-    the last bit of every count, 512 in all. ``least`` has three bytes
+    ``sketch`` is of the whole set, once per set and task. ``least`` has three bytes
     of its least hash under each of the FACTORS, once per set and task.
     """
     level = docs.sparkSession.sparkContext.broadcast(common_slots(docs, k))  # SLOTS bytes
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        done = set()  # copies hand on prefix and shape once a task
+        done = set()  # copies hand on prefix and sketch once a task
         for batch in batches:
             rows = []
             for text in batch["text"]:
@@ -85,67 +96,84 @@ def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     prefix = s[np.argsort(rank, kind="stable")[:size]] if rank.any() else s[:size]
                     group = digest(prefix)
                     item = digest(s)
-                    counts = np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=512)
-                    shape = counts.astype(np.uint8).tobytes() if item not in done and counts.max() < 256 else b""
-                    sketch = np.packbits((counts & 1).astype(np.uint8)).view(np.int64) if item not in done else np.empty(0, dtype=np.int64)
+                    sketch = sketch_of(s) if item not in done else np.empty(0, dtype=np.int64)
                     least = b"" if item in done else b"".join(int((s * f).min()).to_bytes(8, "little")[:3] for f in FACTORS)
-                    rows.append((n, item, shape, sketch, least, group, prefix[: 0 if (group, n) in done else size].view(np.int64)))
+                    rows.append((n, item, sketch, least, group, prefix[: 0 if (group, n) in done else size].view(np.int64)))
                     done |= {(group, n), item}
                 else:
-                    rows.append((0, 0, b"", np.empty(0, dtype=np.int64), b"", 0, np.empty(0, dtype=np.int64)))
-            out = pd.DataFrame(rows, columns=["n_shingles", "item", "shape", "sketch", "least", "prefix_digest", "prefix"], index=batch.index)
+                    rows.append((0, 0, np.empty(0, dtype=np.int64), b"", 0, np.empty(0, dtype=np.int64)))
+            out = pd.DataFrame(rows, columns=["n_shingles", "item", "sketch", "least", "prefix_digest", "prefix"], index=batch.index)
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
             yield out
 
-    return docs.mapInPandas(describe, "doc_id long, n_shingles long, item long, shape binary, sketch array<long>, least binary, prefix_digest long, prefix array<long>")
+    return docs.mapInPandas(describe, "doc_id long, n_shingles long, item long, sketch array<long>, least binary, prefix_digest long, prefix array<long>")
 
 
-def fetch_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``item`` and its sorted shingles for the wanted items (``item``, ``doc_id`` of one document with that set).
-
-    A bit map of the wanted documents' slots keeps most texts out of the
-    shuffle; the join then keeps the wanted items only.
-    """
+def marked(rows: DataFrame, value: Column) -> np.ndarray:
+    """Bit map of the slots of a number in all rows, WANTED bits in all."""
     width = 1 << 15
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(WANTED))
-    marked = wanted.groupBy(F.floor(slot / width).cast("int").alias("part")).agg(F.expr(f"bitmap_construct_agg(pmod(pmod(xxhash64(doc_id), {WANTED}), {width}))").alias("bits"))
+    slot = F.pmod(value, F.lit(WANTED))
+    parts = rows.groupBy(F.floor(slot / width).cast("int").alias("part")).agg(F.bitmap_construct_agg(F.pmod(slot, F.lit(width))).alias("bits"))
     bits = np.zeros(WANTED // 8, dtype=np.uint8)
-    for r in marked.collect():  # WANTED / width rows of 4 KB at most
+    for r in parts.collect():  # WANTED / width rows of 4 KB at most
         bits[r["part"] * 4096 : (r["part"] + 1) * 4096] = np.frombuffer(r["bits"], dtype=np.uint8)[:4096]
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    return bits
+
+
+def fetch_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """``item`` and its sorted shingles for the wanted items (``item``, ``doc_id`` of one document with that set), once per task.
+
+    Bit maps of the wanted documents and items keep nearly all others out, so
+    that no set is shuffled here; a few sets that nobody wants may come along.
+    """
+    number = F.xxhash64("doc_id")
+    shared = docs.sparkSession.sparkContext.broadcast((marked(wanted, number), marked(wanted, F.col("item"))))
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        by_doc, by_item = shared.value
+        done = set()
         for batch in batches:
             s = batch["slot"].to_numpy(dtype=np.int64)
             rows = []
-            for text in batch["text"][(shared.value[s >> 3] >> (s & 7)) & 1 == 1]:
+            for text in batch["text"][(by_doc[s >> 3] >> (s & 7)) & 1 == 1]:
                 found = distinct(rolling(words_of(text), k))
-                rows.append((digest(found), len(found), found.tobytes()))
+                item = digest(found)
+                if item not in done and (by_item[item % WANTED >> 3] >> (item % WANTED & 7)) & 1:
+                    rows.append((item, found.tobytes()))
+                    done.add(item)
             if rows:
-                yield pd.DataFrame(rows, columns=["item", "n", "shingles"])
+                yield pd.DataFrame(rows, columns=["item", "shingles"])
 
-    rows = docs.select("text", slot.alias("slot")).mapInPandas(fetch, "item long, n long, shingles binary")
-    return rows.join(wanted.select("item"), "item", "left_semi").groupBy("item", "n").agg(F.first("shingles").alias("shingles"))
+    return docs.select("text", F.pmod(number, F.lit(WANTED)).alias("slot")).mapInPandas(fetch, "item long, shingles binary")
 
 
-def similar(docs: DataFrame, described: DataFrame, members: DataFrame, k: int, percent: int):
-    """Keep the pairs whose sets have at least that similarity.
+def near(percent: int, wide: bool) -> Callable[[str, str], Column]:
+    """Necessary condition on ``size`` and ``sketch`` of two sets; all bins are compared if ``wide``, else the first 512.
 
-    Two sets share at most the sum of the smaller counts of their shapes; only
-    the sets of pairs for which that is enough are fetched and intersected.
+    Every bit in which sketches differ is an element that only one set has; sizes alone may tell, too.
     """
 
-    def may_reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch["x"], batch["y"]):
-                if x is None or y is None:
-                    keep.append(True)
-                    continue
-                x, y = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
-                most, total = int(np.minimum(x, y).sum(dtype=np.int64)), int(x.sum(dtype=np.int64) + y.sum(dtype=np.int64))
-                keep.append(100 * most >= percent * (total - most))
-            yield batch.loc[keep, ["a", "b"]]
+    def condition(x: str, y: str) -> Column:
+        nx, ny = F.col(f"{x}.size"), F.col(f"{y}.size")
+        sx, sy = F.col(f"{x}.sketch"), F.col(f"{y}.sketch")
+        most = F.lit(100 - percent) * (nx + ny)
+        bits = [F.bit_count(sx[i].bitwiseXOR(sy[i])) for i in range(8)]
+        may = (F.lit(100) * F.least(nx, ny) >= F.lit(percent) * F.greatest(nx, ny)) & (F.lit(100 + percent) * sum(bits[1:], bits[0]) <= most)
+        if not wide:
+            return may
+        words = F.least(F.size(sx), F.size(sy)) - 8  # sizes so near have at most twice as many
+        word = lambda s, i: F.coalesce(F.get(s, 8 + i), F.lit(0)).bitwiseXOR(F.coalesce(F.get(s, 8 + words + i), F.lit(0)))
+        differing = F.aggregate(F.sequence(F.lit(0), words - 1), F.lit(0), lambda n, i: n + F.bit_count(word(sx, i).bitwiseXOR(word(sy, i))))
+        return may & (F.lit(100 + percent) * F.when(words > 0, differing).otherwise(F.lit(0)) <= most)
+
+    return condition
+
+
+def similar(docs: DataFrame, members: DataFrame, sketches: DataFrame, k: int, percent: int):
+    """Keep the pairs whose sets have at least that similarity.
+
+    Only the sets of pairs whose sketches allow it are fetched and intersected.
+    """
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -157,14 +185,12 @@ def similar(docs: DataFrame, described: DataFrame, members: DataFrame, k: int, p
             yield batch.loc[keep, ["a", "b"]]
 
     def verify(pairs: DataFrame) -> DataFrame:
-        items = pairs.select(F.explode(F.array("a", "b")).alias("item")).distinct()
-        shapes = described.where("length(shape) > 0").select("item", "shape").join(items, "item", "left_semi")
-        shapes = shapes.groupBy("item").agg(F.first("shape").alias("shape"))
-        x, y = shapes.select(F.col("item").alias("a"), F.col("shape").alias("x")), shapes.select(F.col("item").alias("b"), F.col("shape").alias("y"))
-        likely = pairs.join(x, "a", "left").join(y, "b", "left").select("a", "b", "x", "y")
-        pairs = stage(likely.mapInPandas(may_reach, "a long, b long"), "likely")
+        x, y = sketches.alias("x"), sketches.alias("y")
+        likely = pairs.join(x, F.col("a") == F.col("x.item"), "left").join(y, F.col("b") == F.col("y.item"), "left")
+        pairs = stage(likely.where(F.coalesce(near(percent, wide=True)("x", "y"), F.lit(True))).select("a", "b"), "near")
         items = pairs.select(F.explode(F.array("a", "b")).alias("item")).distinct()
         sets = stage(fetch_sets(docs, items.join(members.select("item", "doc_id"), "item"), k), "wanted")
+        sets = sets.groupBy("item").agg(F.first("shingles").alias("shingles"))  # shuffled once for both joins
         a = sets.select(F.col("item").alias("a"), F.col("shingles").alias("x"))
         b = sets.select(F.col("item").alias("b"), F.col("shingles").alias("y"))
         return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInPandas(check, "a long, b long")
@@ -208,14 +234,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
     group = F.xxhash64("prefix_digest", "n_shingles").alias("g")
     # equal sets are one member: the smallest document stands for it
     members = stage(full.groupBy("item", group, "n_shingles").agg(F.min("doc_id").alias("doc_id")), "members")
-    # groups go by a short number from here on; it is read from the written table
-    groups = stage(members.select("g", F.col("n_shingles").cast("int").alias("n")).distinct().withColumn("no", F.monotonically_increasing_id()), "groups")
     # a key of one group alone links nothing, and most keys are of one group
     in_key = Window.partitionBy("key")
-    keyed = full.where("size(prefix) > 0").select(group, "prefix").join(groups, "g").select("no", F.posexplode("prefix").alias("pos", "key"))
-    shared = keyed.withColumns({"lo": F.min("no").over(in_key), "hi": F.max("no").over(in_key)}).where("lo <> hi").select("key", "no", "pos").distinct()
-    numbered = members.join(groups, "g").select("no", "n", "item")
-    postings = shared.join(numbered, "no").select("key", "item", "n", "pos")
+    keyed = full.where("size(prefix) > 0").select(group, F.posexplode("prefix").alias("pos", "key"))
+    shared = keyed.withColumns({"lo": F.min("g").over(in_key), "hi": F.max("g").over(in_key)}).where("lo <> hi").select("key", "g", "pos").distinct()
+    postings = shared.join(members, "g").select("key", "item", F.col("n_shingles").cast("int").alias("n"), "pos")
     # members of one group have all prefix shingles in common: one key, their group, is enough
     sizes = members.groupBy("g").agg(F.count("*").alias("m"))
     inside = members.join(sizes.where("m > 1").select("g"), "g")
@@ -232,13 +255,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
             & (F.lit(100 + percent) * overlap >= F.lit(percent) * (nx + ny))
         )
 
-    def near(x: str, y: str) -> Column:
-        """Every bit in which sketches differ is an element that only one set has."""
-        bits = [F.bit_count(F.col(f"{x}.sketch")[i].bitwiseXOR(F.col(f"{y}.sketch")[i])) for i in range(8)]
-        return F.lit(100 + percent) * sum(bits[1:], bits[0]) <= F.lit(100 - percent) * (F.col(f"{x}.size") + F.col(f"{y}.size"))
-
     sketches = stage(full.where("size(sketch) > 0").groupBy("item").agg(F.first("sketch").alias("sketch"), F.first("n_shingles").alias("size")), "sketches")
-    labels = linked(postings, similar(docs, described, members, k, percent), may_link, ["n"], neighbours(full, members.count()), sketches, near)
+    narrow = sketches.select("item", F.slice("sketch", 1, 8).alias("sketch"), "size")
+    labels = linked(postings, similar(docs, members, sketches, k, percent), may_link, ["n"], neighbours(full, members.count()), narrow, near(percent, wide=False))
     label = members.join(labels, "item", "left").select("item", "doc_id", F.coalesce("label", "item").alias("label"))
     lowest = label.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     found = label.join(lowest, "label").select("item", "component_id")

@@ -107,3 +107,37 @@ def test_verified_pairs_of_one_large_group_stay_linear(spark, monkeypatch):
         staged.append(0)
         check(spark, texts)
     assert staged[1] < 3 * staged[0], staged
+
+
+def test_sketches_bound_the_difference_at_any_widths(spark):
+    import numpy as np
+
+    from smogline.llm.jaccard import near, sketch_of
+
+    chance = np.random.default_rng(5)
+    pool = np.unique(chance.integers(0, 1 << 63, 200_000, dtype=np.uint64))
+    cases = []
+    for n, m, both in [(40, 44, 40), (500, 520, 470), (510, 600, 505), (1000, 1100, 900), (1000, 1100, 5), (5000, 4000, 3990), (5000, 5000, 100), (60_000, 60_000, 55_000), (60_000, 60_000, 9)]:
+        cases.append((both, pool[:n], np.concatenate([pool[:both], pool[n : n + m - both]])))
+    rows = [(k, sketch_of(x).tolist(), len(x), sketch_of(y).tolist(), len(y)) for k, (_, x, y) in enumerate(cases)]
+    pairs = spark.createDataFrame(rows, "k int, s array<long>, n int, t array<long>, m int").selectExpr("k", "struct(s sketch, n size) x", "struct(t sketch, m size) y")
+    kept = {wide: {r["k"] for r in pairs.where(near(75, wide)("x", "y")).collect()} for wide in (False, True)}
+    links = {k for k, (both, x, y) in enumerate(cases) if 100 * both >= 75 * (len(x) + len(y) - both)}
+    assert links <= kept[True] <= kept[False]
+    assert kept[True] == links | {8}  # beyond the widest sketch nothing is told apart
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    from smogline.llm.common import stage
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for f in blocks.getAllFiles().mkString("|").split("|") if f.endswith(".data")}
+
+    before, setting = shuffled(), spark.conf.get(key)
+    rows = stage(spark.range(10_000).repartition(3, "id"), "shuffled")
+    assert not shuffled() - before
+    assert rows.distinct().count() == 10_000
+    assert spark.conf.get(key) == setting
