@@ -20,18 +20,30 @@ from smogline.llm.toxicity import score, train
 from smogline.session import stage
 
 
-#: Documents that a Python worker gets at once.
-BATCH = 2_000
+#: Documents that a Python worker gets at once, and bytes of them.
+BATCH, BATCH_BYTES = 2_000, 4 << 20
+
+
+#: Workers give freed arrays back to the system instead of keeping them for the next stage.
+FREED = {
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(1 << 20),
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Make the session's Arrow batches smaller: rows are whole documents.
+    """Make the session's Arrow batches smaller, and let workers keep less: rows are whole documents.
 
     Every stage asks for it, as each may be run alone: workers live through all
-    stages and keep what their largest batch took.
+    stages and would keep what their largest batch took.
     """
-    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    batch, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
     spark.conf.set(batch, str(min(int(spark.conf.get(batch)), BATCH)))
+    spark.conf.set(size, str(BATCH_BYTES))
+    for key, value in FREED.items():
+        spark.sparkContext.environment.setdefault(key, value)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -107,3 +107,21 @@ def test_each_stage_asks_for_small_batches(spark):
             assert spark.conf.get(batch) == str(corpus_pipeline.BATCH)
     finally:
         spark.conf.set(batch, before)
+
+
+def test_workers_get_small_batches_and_give_memory_back(spark):
+    import corpus_pipeline
+
+    corpus_pipeline.small_batches(spark)
+
+    def seen(batches):
+        import os
+
+        for batch in batches:
+            yield batch.head(1).assign(n=len(batch), pool=os.environ.get("ARROW_DEFAULT_MEMORY_POOL"))[["n", "pool"]]
+
+    long_texts = spark.range(0, 2000, 1, 1).selectExpr("repeat('x', 20000) as text")
+    found = long_texts.mapInPandas(seen, "n long, pool string").collect()
+    assert sum(r["n"] for r in found) == 2000
+    assert max(r["n"] for r in found) * 20_000 <= 2 * corpus_pipeline.BATCH_BYTES
+    assert {r["pool"] for r in found} == {"system"}
