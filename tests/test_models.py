@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from smogline.operators import evaluate, models, split
-from smogline.plans import pipeline
+from smogline.plans import pipeline, queries
 from smogline.plans.observations import staged_observations
 from smogline.schema import BUCKET, FEATURES
 from smogline.sources import readers, writers
@@ -39,6 +39,20 @@ def test_parameters_of_the_full_profile(spark):
     assert logistic.getRegParam() == 0.001 and logistic.getMaxIter() == 1000
 
 
+def test_regressors_are_registered_at_their_full_sizes(spark, folder, monkeypatch):
+    taken = []
+
+    def trained(task, marked, profile):
+        taken.append((task, profile.name, profile.trees, profile.depth, profile.stages, marked.count()))
+        return models.Trained(task, profile.name, {}, {}, marked, "")
+
+    monkeypatch.setattr(models, "train", trained)
+    monkeypatch.setattr(queries, "_TRAINED", {})
+    queries.fit_regressors(spark, folder)
+    queries.fit_regressors(spark, folder)
+    assert taken == [("regression", "full", 200, 15, 200, queries.marked(spark, folder).count())]
+
+
 def test_trees_beat_the_linear_model(regression):
     r2 = scores(regression, "R2")
     assert r2["Random Forest Regressor"] > r2["Linear Regression"] > 0.5
