@@ -1,16 +1,20 @@
 from __future__ import annotations
 
+import threading
+import time
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from conftest import rows
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from smogline.operators import evaluate, models, split
 from smogline.plans import pipeline, queries
 from smogline.plans.observations import staged_observations
-from smogline.schema import BUCKET, FEATURES
+from smogline.schema import BUCKET, FEATURES, POLLUTANTS
 from smogline.sources import readers, writers
 
 TINY = models.Profile("tiny", trees=4, depth=6, stages=3, stage_depth=4, iterations=20, bins=32, memory_mb=64)
@@ -53,6 +57,40 @@ def test_regressors_are_registered_at_their_full_sizes(spark, folder, monkeypatc
     assert taken == [("regression", "full", 200, 15, 200, queries.marked(spark, folder).count())]
 
 
+def test_a_forest_is_the_same_whatever_the_room(cleaned):
+    """Less room for node statistics means more passes, not other trees; four tasks of 1 GB do not fit a heap of 6 GB."""
+    assert models.FULL.memory_mb <= 256
+    encoded = Pipeline(stages=models.encoding_stages(models.REGRESSION)).fit(cleaned).transform(cleaned)
+    vectors = Pipeline(stages=models.scaling_stages(POLLUTANTS)).fit(encoded).transform(encoded).withColumn("label", F.col("AQI"))
+    deep = replace(TINY, depth=9)
+    forests = [models.regressors(replace(deep, memory_mb=m))["Random Forest Regressor"].fit(vectors) for m in (4, 256)]
+    assert [t.toDebugString.split("\n", 1)[1] for t in forests[0].trees] == [t.toDebugString.split("\n", 1)[1] for t in forests[1].trees]
+
+
+@pytest.mark.parametrize("few, most", [(0, 1), (10**9, 3)])
+def test_models_are_fitted_at_once_only_where_rows_are_few(spark, cleaned, monkeypatch, few, most):
+    lock, running, seen = threading.Lock(), [0], []
+
+    class Slow:
+        def __init__(self, estimator):
+            self.estimator = estimator
+
+        def fit(self, df):
+            with lock:
+                running[0] += 1
+                seen.append(running[0])
+            time.sleep(0.5)
+            with lock:
+                running[0] -= 1
+            return self.estimator.fit(df)
+
+    line = models.regressors(TINY)["Linear Regression"]
+    monkeypatch.setattr(models, "regressors", lambda _: {n: Slow(line.copy()) for n in "abc"})
+    monkeypatch.setattr(models, "FEW_ROWS", few)
+    trained = models.train(models.REGRESSION, split.random_split(cleaned.drop("k")), replace(TINY, at_once=3))
+    assert max(seen) == most and list(trained.models) == ["a", "b", "c"]
+
+
 def test_trees_beat_the_linear_model(regression):
     r2 = scores(regression, "R2")
     assert r2["Random Forest Regressor"] > r2["Linear Regression"] > 0.5
