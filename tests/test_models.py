@@ -67,6 +67,16 @@ def test_a_forest_is_the_same_whatever_the_room(cleaned):
     assert [t.toDebugString.split("\n", 1)[1] for t in forests[0].trees] == [t.toDebugString.split("\n", 1)[1] for t in forests[1].trees]
 
 
+def test_many_rows_in_few_splits_are_dealt_to_all_cores(spark, monkeypatch):
+    df = spark.range(0, 1_000, 1, 5)
+    assert models._dealt(df, 1_000) is df
+    monkeypatch.setattr(models, "FEW_ROWS", 100)
+    parts = models._dealt(df, 1_000).rdd.glom().map(len).collect()
+    assert len(parts) == 16 and sum(parts) == 1_000 and min(parts) > 50
+    fine = spark.range(0, 1_000, 1, 16)
+    assert models._dealt(fine, 1_000) is fine
+
+
 @pytest.mark.parametrize("few, most", [(0, 1), (10**9, 3)])
 def test_models_are_fitted_at_once_only_where_rows_are_few(spark, cleaned, monkeypatch, few, most):
     lock, running, seen = threading.Lock(), [0], []
